@@ -40,3 +40,28 @@ def dense_ids(df: DataFrame, order: list[Column], id_col: str, num_partitions: i
     out = placed.join(F.broadcast(offsets), "_pid")
     ident = (F.col("_off") + F.col("_pos") + F.lit(start)).cast(id_type).alias(id_col)
     return out.select(ident, *[F.col(c) for c in df.columns])
+
+
+def running_sum(df: DataFrame, order: list[Column], weight: str, out_col: str,
+                num_partitions: int | None = None) -> DataFrame:
+    """Inclusive running sum of ``weight`` along a total order, plus ``_total`` (grand sum).
+
+    Same layout as ``dense_ids``: range partitions fixed by a checkpoint, per-partition
+    sums (bounded by the partition count) turned into broadcast offsets, and a window
+    confined to one range partition for the in-partition running sum.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    placed = ranged.select(F.spark_partition_id().alias("_pid"),
+                           (F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))).alias("_pos"), "*")
+    per = placed.groupBy("_pid").agg(F.sum(weight).alias("_s"))
+    offsets = per.select("_pid",
+                         F.coalesce(F.sum("_s").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+                                    F.lit(0)).alias("_off"),
+                         F.sum("_s").over(Window.partitionBy()).alias("_total"))
+    within = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = placed.join(F.broadcast(offsets), "_pid")
+    return out.select(*[F.col(c) for c in df.columns], (F.col("_off") + F.sum(weight).over(within)).alias(out_col),
+                      "_total")
