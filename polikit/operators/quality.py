@@ -43,10 +43,11 @@ class Check:
 @dataclass(frozen=True)
 class Duplicates:
     keys: tuple[str, ...]
+    label: str | None = None
 
     @property
     def column(self) -> str:
-        return " + ".join(self.keys)
+        return self.label or " + ".join(self.keys)
 
 
 def nulls(df: DataFrame, columns=None) -> list[Check]:
@@ -173,10 +174,10 @@ def primary_key_findings(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Not-null + unique per table key, as findings ('table.key' in the column text)."""
     out = []
     for name, (df, key) in tables.items():
-        k = df.select(F.col(key).alias(f"{name}.{key}"))
-        items = nulls(k) + [duplicates(f"{name}.{key}")]
-        out.append(run_suite(k, [Check(c.check, c.column, c.issue, F.col(f"`{c.column}`").isNull())
-                                 if isinstance(c, Check) else c for c in items]))
+        label = f"{name}.{key}"
+        k = df.select(F.col(key).alias("_pk"))
+        out.append(run_suite(k, [Check("completeness", label, "null values", F.col("_pk").isNull()),
+                                 Duplicates(("_pk",), label)]))
     return reduce(lambda a, b: a.unionByName(b), out)
 
 
