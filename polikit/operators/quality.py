@@ -259,10 +259,14 @@ def eda_findings(df: DataFrame, rules: PolicyRules = DEFAULT_RULES) -> DataFrame
         "row_count", pct(F.col("row_count"), F.col("_total")).alias("pct"), "action")
 
 
+def report_line() -> Column:
+    """Fixed-width report line of a finding row (check, column, issue, rows, %, status)."""
+    return F.format_string("%-20s %-35s %-25s %8s %7.2f  %s", "check", "column", "issue",
+                           F.format_number(F.col("row_count"), 0), "pct", "status")
+
+
 def report_lines(findings: DataFrame) -> DataFrame:
-    """Fixed-width report line per finding (check, column, issue, rows, %, status)."""
-    return findings.select(F.format_string("%-20s %-35s %-25s %8s %7.2f  %s", "check", "column", "issue",
-                                           F.format_number(F.col("row_count"), 0), "pct", "status").alias("line"))
+    return findings.select(report_line().alias("line"))
 
 
 def report_header() -> str:
