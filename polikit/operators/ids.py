@@ -1,16 +1,18 @@
-"""Dense surrogate keys 1..N in a total order, without a single-partition window.
+"""Dense surrogate keys and running sums along a total order, without a
+single-partition window.
 
 ``row_number() over (order by k)`` puts every row in one task. Instead:
 
-1. range-partition on the order (sampled bounds; a hot leading key is still split,
+1. range-partition on the order (sampled bounds; a hot leading value is still split,
    because the full order key is unique) and sort within partitions;
-2. checkpoint to the shared checkpoint folder: partitions and their row order are now
-   fixed, so every later read sees the same rows in the same place, and a lost
-   executor re-reads the checkpoint instead of re-sampling range bounds;
-3. count rows per partition (one row per partition, so the offsets table is bounded by
-   the partition count, not by the data) and take running offsets;
-4. id = offset(partition) + position in partition + start, via a broadcast join on
-   the partition id.
+2. in that same stage, record each row's range-partition id and its position in the
+   partition as columns, and write the rows as a staging Parquet table in the shared
+   checkpoint folder: ids no longer depend on any later re-execution (a lost executor
+   re-reads the staged files instead of re-sampling range bounds);
+3. count rows per range partition (a one-column scan; one row per partition, so the
+   offsets table is bounded by the partition count, not by the data) and take running
+   offsets;
+4. id = offset(partition) + position + start, via a broadcast join on the partition id.
 
 The order must be total (unique) for the ids to be reproducible; ties are broken by
 whatever the sort does, like ``row_number``.
@@ -18,6 +20,8 @@ whatever the sort does, like ``row_number``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,14 +30,28 @@ from ..session import ensure_checkpoint_dir
 _LOW33 = (1 << 33) - 1
 
 
-def dense_ids(df: DataFrame, order: list[Column], id_col: str, num_partitions: int | None = None,
-              start: int = 1, id_type: str = "long") -> DataFrame:
+def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back
+    (cuts lineage; the next reads see exactly the written rows)."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _placed(df: DataFrame, order: list[Column], num_partitions: int | None) -> DataFrame:
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     placed = ranged.select(F.spark_partition_id().alias("_pid"),
                            (F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))).alias("_pos"), "*")
+    return stage_table(placed, "ranked")
+
+
+def dense_ids(df: DataFrame, order: list[Column], id_col: str, num_partitions: int | None = None,
+              start: int = 1, id_type: str = "long") -> DataFrame:
+    placed = _placed(df, order, num_partitions)
     counts = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
@@ -46,16 +64,9 @@ def running_sum(df: DataFrame, order: list[Column], weight: str, out_col: str,
                 num_partitions: int | None = None) -> DataFrame:
     """Inclusive running sum of ``weight`` along a total order, plus ``_total`` (grand sum).
 
-    Same layout as ``dense_ids``: range partitions fixed by a checkpoint, per-partition
-    sums (bounded by the partition count) turned into broadcast offsets, and a window
-    confined to one range partition for the in-partition running sum.
-    """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
-    placed = ranged.select(F.spark_partition_id().alias("_pid"),
-                           (F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))).alias("_pos"), "*")
+    Same layout as ``dense_ids``; the in-partition running sum is a window confined to
+    one range partition (bounded by the range split, not by a key)."""
+    placed = _placed(df, order, num_partitions)
     per = placed.groupBy("_pid").agg(F.sum(weight).alias("_s"))
     offsets = per.select("_pid",
                          F.coalesce(F.sum("_s").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),

@@ -101,7 +101,8 @@ def feed_with_period(spark: SparkSession, sf_dir: str, date_format: str = "dd-MM
         "CLAIM_PAID": F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"),
                              F.round(F.col("o_totalprice"))).cast(MONEY),
     }
-    return j.select(*[c.alias(n) for n, c in cols.items()], (bd < F.lit(PERIOD_SPLIT)).alias("_early"))
+    return j.select(*[c.alias(n) for n, c in cols.items()], (bd < F.lit(PERIOD_SPLIT)).alias("_early"),
+                    "l_shipdate")
 
 
 def policy_feed(spark: SparkSession, sf_dir: str, date_format: str = "dd-MMM-yy") -> DataFrame:
@@ -111,8 +112,15 @@ def policy_feed(spark: SparkSession, sf_dir: str, date_format: str = "dd-MMM-yy"
 
 def policy_feed_files(spark: SparkSession, sf_dir: str, date_format: str = "dd-MMM-yy") -> tuple[DataFrame, DataFrame]:
     """The feed as two period 'files'; the second has its columns in reverse order
-    (so only a by-name union assembles them correctly)."""
+    (so only a by-name union assembles them correctly).
+
+    The period test ``ship date + shift < split`` is applied as an equivalent bound on
+    the raw ``l_shipdate`` column, so it reaches the Parquet scan (row-group pruning)
+    and each file joins only its own rows."""
     f = feed_with_period(spark, sf_dir, date_format)
-    first = f.filter(F.col("_early")).select(*RAW_COLUMNS)
-    second = f.filter(~F.col("_early")).select(*reversed(RAW_COLUMNS))
+    ship = spark.read.parquet(f"{sf_dir}/lineitem.parquet").schema["l_shipdate"].dataType
+    bound = F.lit(f"{PERIOD_SPLIT - _dt.timedelta(days=SHIFT_DAYS)} 00:00:00").cast(ship)
+    early = F.col("l_shipdate") < bound
+    first = f.filter(early).select(*RAW_COLUMNS)
+    second = f.filter(~early).select(*reversed(RAW_COLUMNS))
     return first, second
