@@ -21,6 +21,29 @@ from . import kpis as K
 Star = dict[str, DataFrame]
 
 
+# -- report slicers (FLT-6) ------------------------------------------------------------
+
+def slice_star(star: Star, year: int | None = None, product: str | None = None, risk_score: int | None = None,
+               make: str | None = None) -> Star:
+    """The star with the fact restricted by the dashboard slicers.
+
+    Attribute filters apply to their (small) dimension, and the fact keeps the rows
+    whose key survives, through a left-semi join (no fact columns are added). The year
+    slicer becomes a date-key range on the fact itself (pushed to the fact scan)."""
+    fact = star["fact_policies"]
+    if year is not None:
+        fact = fact.filter((F.col("insr_begin_id") >= year * 10000) & (F.col("insr_begin_id") < (year + 1) * 10000))
+    if risk_score is not None:
+        fact = fact.filter(F.col("risk_score") == risk_score)
+    if product is not None:
+        ids = star["dim_insurance_type"].filter(F.col("insr_type_name") == product).select("insurance_type_id")
+        fact = fact.join(ids, "insurance_type_id", "left_semi")
+    if make is not None:
+        ids = star["dim_vehicle"].filter(F.col("make") == make).select("vehicle_id")
+        fact = fact.join(ids, "vehicle_id", "left_semi")
+    return {**star, "fact_policies": fact}
+
+
 # -- views (AG-2, AG-4, AG-6) ----------------------------------------------------
 
 def vw_portfolio_kpis(star: Star, rules: PolicyRules = DEFAULT_RULES) -> DataFrame:
@@ -152,13 +175,8 @@ def bi_make_scatter(star: Star, rules: PolicyRules = DEFAULT_RULES) -> DataFrame
 
 
 def bi_make_detail(star: Star, make: str, rules: PolicyRules = DEFAULT_RULES) -> DataFrame:
-    """Drill-through to one make: lifecycle breakdown with its measures.
-
-    The make filter applies to the vehicle dimension; the fact is reduced with a
-    left-semi join on the matching vehicle ids before aggregating.
-    """
-    ids = star["dim_vehicle"].filter(F.col("make") == make).select("vehicle_id")
-    f = star["fact_policies"].join(ids, "vehicle_id", "left_semi")
+    """Drill-through to one make: lifecycle breakdown with its measures."""
+    f = slice_star(star, make=make)["fact_policies"]
     return K.aggregate(f, ["lifecycle_status"], ["policy_count", "total_premium", "total_claim_paid",
                                                  "loss_ratio", "avg_risk_score"], rules).orderBy("lifecycle_status")
 

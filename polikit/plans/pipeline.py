@@ -63,7 +63,9 @@ def write_report(findings: DataFrame, path: str) -> None:
 
 
 def run_pipeline(spark: SparkSession, feed_files: list[DataFrame], out_dir: str,
-                 rules: PolicyRules = DEFAULT_RULES) -> RunResult:
+                 rules: PolicyRules = DEFAULT_RULES, jdbc: dict | None = None) -> RunResult:
+    """Run every stage. ``jdbc`` (optional: url, table, properties, num_partitions) also
+    stages the gold table into a database, as the reference's BI path does."""
     out_dir = out_dir.rstrip("/")
     res = RunResult()
     obs: dict[str, Observation] = {}
@@ -95,6 +97,10 @@ def run_pipeline(spark: SparkSession, feed_files: list[DataFrame], out_dir: str,
     g5 = gold.select(*quality.GOLD_CHECK_COLUMNS)
     _dq(quality.run_suite(g5, quality.gold_suite(g5, rules), with_ordinal=True), "gold")
 
+    if jdbc:
+        files.write_jdbc(gold, jdbc["url"], jdbc.get("table", "policies_lifecycle"), jdbc.get("properties"),
+                         num_partitions=jdbc.get("num_partitions"))
+
     # KPI tables (no sort before a Parquet write: row order on read is not a contract)
     kpis.portfolio_kpis(gold, rules).write.mode("overwrite").parquet(path("kpi_portfolio"))
     kpis.vehicle_kpis(gold, rules).write.mode("overwrite").parquet(path("kpi_vehicle"))

@@ -86,3 +86,11 @@ _star_q("bi_make_detail",
         lambda s: reports.bi_make_detail(s, BRAND))
 _star_q("bi_top10_makes", kpi_select(FV, ["make"], ["policy_count", "avg_premium", "loss_ratio", "avg_risk_score"])
         + " ORDER BY policy_count DESC, make ASC NULLS LAST LIMIT 10", reports.bi_top10_makes)
+
+_star_q("bi_slice_year_product",
+        kpi_select(f"{FT} JOIN dim_date d ON fp.insr_begin_id = d.date_id "
+                   "WHERE d.year = 2016 AND i.insr_type_name = 'Comprehensive'", [],
+                   ["policy_count", "total_premium", "total_claim_paid", "loss_ratio", "avg_risk_score"]),
+        lambda s: kpis.aggregate(reports.slice_star(s, year=2016, product="Comprehensive")["fact_policies"], [],
+                                 ["policy_count", "total_premium", "total_claim_paid", "loss_ratio",
+                                  "avg_risk_score"]))

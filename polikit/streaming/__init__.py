@@ -1,0 +1 @@
+"""Incremental ingestion of raw feed files (Structured Streaming, file source)."""
