@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,18 +41,29 @@ def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _placed(df: DataFrame, order: list[Column], num_partitions: int | None) -> DataFrame:
+def _placed(df: DataFrame, order: list[Column], num_partitions: int | None, reuse_input: bool) -> DataFrame:
+    """Range-partition + sort, then stage with (_pid, _pos) columns.
+
+    Range partitioning samples its input in a separate job; ``reuse_input`` keeps the
+    input (memory, spilling to disk) for the sampling and the shuffle so it is computed
+    once. A lost cached block is recomputed from lineage, which is safe: the staged
+    positions come from sorting on a total order, not from arrival order."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    placed = ranged.select(F.spark_partition_id().alias("_pid"),
-                           (F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))).alias("_pos"), "*")
-    return stage_table(placed, "ranked")
+    src = df.persist(StorageLevel.MEMORY_AND_DISK) if reuse_input else df
+    try:
+        ranged = src.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        placed = ranged.select(F.spark_partition_id().alias("_pid"),
+                               (F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))).alias("_pos"), "*")
+        return stage_table(placed, "ranked")
+    finally:
+        if reuse_input:
+            src.unpersist()
 
 
 def dense_ids(df: DataFrame, order: list[Column], id_col: str, num_partitions: int | None = None,
-              start: int = 1, id_type: str = "long") -> DataFrame:
-    placed = _placed(df, order, num_partitions)
+              start: int = 1, id_type: str = "long", reuse_input: bool = False) -> DataFrame:
+    placed = _placed(df, order, num_partitions, reuse_input)
     counts = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
@@ -61,12 +73,12 @@ def dense_ids(df: DataFrame, order: list[Column], id_col: str, num_partitions: i
 
 
 def running_sum(df: DataFrame, order: list[Column], weight: str, out_col: str,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, reuse_input: bool = True) -> DataFrame:
     """Inclusive running sum of ``weight`` along a total order, plus ``_total`` (grand sum).
 
     Same layout as ``dense_ids``; the in-partition running sum is a window confined to
     one range partition (bounded by the range split, not by a key)."""
-    placed = _placed(df, order, num_partitions)
+    placed = _placed(df, order, num_partitions, reuse_input)
     per = placed.groupBy("_pid").agg(F.sum(weight).alias("_s"))
     offsets = per.select("_pid",
                          F.coalesce(F.sum("_s").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),

@@ -6,13 +6,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import parse_date
 from ..functions.money import ratio_half_up
 from ..rules import DEFAULT_RULES, PolicyRules
-from .ids import running_sum
+from .ids import running_sum, stage_table
 
 # ---------------------------------------------------------------------------
 # Fixed values of the EDA profile:
@@ -60,28 +61,53 @@ def date_range(df: DataFrame, fmt: str = DEFAULT_RULES.date_format) -> DataFrame
                   F.min(e).alias("min_insr_end"), F.max(e).alias("max_insr_end"))
 
 
-def exact_percentiles(df: DataFrame, column: str, probs=PERCENTILES) -> DataFrame:
+def _common_type(df: DataFrame, columns) -> str:
+    """A numeric type holding every column exactly (decimal when all are decimal)."""
+    types = [df.schema[c].dataType for c in columns]
+    if all(isinstance(t, T.DecimalType) for t in types):
+        scale = max(t.scale for t in types)
+        digits = max(t.precision - t.scale for t in types)
+        return f"decimal({min(38, digits + scale)},{scale})"
+    if all(isinstance(t, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)) for t in types):
+        return "long"
+    return "double"
+
+
+def percentiles_exact(df: DataFrame, columns=PERCENTILE_COLUMNS, probs=PERCENTILES) -> DataFrame:
     """Discrete percentiles (the first value whose cumulative share reaches p), exact and
-    distributed: distinct values with counts -> running count in value order -> each
-    row emits the labels whose target rank falls inside its count interval."""
-    vc = (df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_v"))
-          .agg(F.count(F.lit(1)).alias("_w")))
-    cum = running_sum(vc, [F.col("_v").asc()], "_w", "_cum")
-    total = F.col("_total")
+    distributed, for several columns in one pass:
+
+    (column, value) pairs -> distinct pairs with counts (partial aggregation) -> running
+    count along (column, value) (range-partitioned, ``ids.running_sum``) -> rank within
+    the column = running count - rows of the earlier columns (a table with one row per
+    column, broadcast) -> each pair emits the labels whose target rank it covers.
+    No aggregate ever holds all values of a column in one buffer.
+    """
+    columns = list(columns)
+    vt = _common_type(df, columns)
+    pairs = _long(df, [F.struct(F.lit(c).alias("_c"), F.col(c).cast(vt).alias("_v")) for c in columns])
+    vc = pairs.filter(F.col("_v").isNotNull()).groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_w"))
+    cum = running_sum(vc, [F.col("_c").asc(), F.col("_v").asc()], "_w", "_cum")
+    per_col = cum.groupBy("_c").agg(F.sum("_w").alias("_n"))  # from the staged rows
+    starts = per_col.select("_c", "_n", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
+    ranked = cum.join(F.broadcast(starts), "_c").select(
+        "_c", "_v", "_w", (F.col("_cum") - F.col("_start")).alias("_rank"), "_n")
+    n = F.col("_n")
     targets = F.array(*[
         F.struct(F.lit(lbl).alias("label"), F.lit(i).alias("ord"),
                  F.greatest(F.lit(1).cast("long"),
-                            ((total * num + (den - 1)) - F.pmod(total * num + (den - 1), F.lit(den))) / den)
+                            ((n * num + (den - 1)) - F.pmod(n * num + (den - 1), F.lit(den))) / den)
                  .cast("long").alias("r"))
         for i, (lbl, num, den) in enumerate(probs)])
-    hit = F.filter(targets, lambda t: (t["r"] > F.col("_cum") - F.col("_w")) & (t["r"] <= F.col("_cum")))
-    return (cum.select(F.col("_v"), F.explode(hit).alias("t"))
-            .select(F.lit(column).alias("column_name"), F.col("t.label").alias("percentile"),
+    hit = F.filter(targets, lambda t: (t["r"] > F.col("_rank") - F.col("_w")) & (t["r"] <= F.col("_rank")))
+    return (ranked.select("_c", "_v", F.explode(hit).alias("t"))
+            .select(F.col("_c").alias("column_name"), F.col("t.label").alias("percentile"),
                     F.col("t.ord").alias("ordinal"), F.col("_v").cast("double").alias("value")))
 
 
-def percentiles_exact(df: DataFrame, columns=PERCENTILE_COLUMNS, probs=PERCENTILES) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), [exact_percentiles(df, c, probs) for c in columns])
+def exact_percentiles(df: DataFrame, column: str, probs=PERCENTILES) -> DataFrame:
+    return percentiles_exact(df, [column], probs)
 
 
 def percentiles_approx(df: DataFrame, columns=PERCENTILE_COLUMNS, probs=PERCENTILES,
@@ -140,11 +166,14 @@ def _segment(x: Column, lo: Column, hi: Column) -> Column:
 def quantile_segments(silver: DataFrame, cuts=SEGMENT_CUTS) -> DataFrame:
     """Low / Medium / High from the data's own 33rd / 66th percentiles (a proposed rule).
 
-    The four cut values come from one-row aggregates attached as scalar subqueries
-    (evaluated once, inlined as values): no join with the policy rows."""
+    The four cut values come from one percentile pass (staged: four rows) and are
+    attached as scalar subqueries (evaluated once, inlined as values): no join with
+    the policy rows."""
+    cuts = stage_table(percentiles_exact(silver, ["premium", "insured_value"], cuts), "cuts")
+
     def cut(column: str, label: str) -> Column:
-        p = exact_percentiles(silver, column, cuts).filter(F.col("percentile") == label)
-        return p.agg(F.max("value")).scalar()
+        return cuts.filter((F.col("column_name") == column) & (F.col("percentile") == label)) \
+            .agg(F.max("value")).scalar()
     prem_lo, prem_hi = cut("premium", "p33"), cut("premium", "p66")
     val_lo, val_hi = cut("insured_value", "p33"), cut("insured_value", "p66")
     return silver.select("object_id", "insr_begin", "insr_end",

@@ -26,12 +26,13 @@ def dim_vehicle(gold: DataFrame, rules: PolicyRules = DEFAULT_RULES, num_partiti
     attrs = list(rules.vehicle_attributes)
     distinct = gold.select(*attrs).distinct()
     return dense_ids(distinct, [F.col(a).asc_nulls_last() for a in attrs], "vehicle_id",
-                     num_partitions, id_type="int")
+                     num_partitions, id_type="int", reuse_input=True)
 
 
 def dim_insurance_type(gold: DataFrame, rules: PolicyRules = DEFAULT_RULES) -> DataFrame:
     codes = gold.select(F.col("insr_type").alias("insr_type_code")).distinct()
-    ided = dense_ids(codes, [F.col("insr_type_code").asc_nulls_last()], "insurance_type_id", id_type="int")
+    ided = dense_ids(codes, [F.col("insr_type_code").asc_nulls_last()], "insurance_type_id", id_type="int",
+                     reuse_input=True)
     return ided.select("insurance_type_id", "insr_type_code",
                        P.insr_type_name(F.col("insr_type_code"), rules.insr_type_names,
                                         rules.unknown_type_name).alias("insr_type_name"))

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import MONEY, PREMIUM, RAW_COLUMNS
+from .files import ensure_parallel
 
 # ---------------------------------------------------------------------------
 # Fixed values of the feed (fixture rules, shared with the SQL oracle):
@@ -62,9 +63,9 @@ def _type_code(p_type: Column) -> Column:
 
 def feed_with_period(spark: SparkSession, sf_dir: str, date_format: str = "dd-MMM-yy") -> DataFrame:
     """Feed rows plus a ``_early`` flag (first / second period file)."""
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+    li = ensure_parallel(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
+        "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"), "l_orderkey")
     od = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice")
     pt = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_type", "p_brand", "p_size")
     cu = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_mktsegment")

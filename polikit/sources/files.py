@@ -30,6 +30,17 @@ def read_csv(spark: SparkSession, path, schema: T.StructType = RAW_SCHEMA, optio
     return reader.csv(path)
 
 
+def ensure_parallel(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores (e.g. a file
+    written as one row group), hash-partitioned on ``keys`` so a following shuffle join
+    on them reuses the partitioning. A scan with enough splits is returned unchanged,
+    so large inputs never pay an extra shuffle. Deciding costs only split planning."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
