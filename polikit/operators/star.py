@@ -54,22 +54,30 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFr
 
 def fact_policies(gold: DataFrame, vehicles: DataFrame, types: DataFrame, rules: PolicyRules = DEFAULT_RULES,
                   num_partitions: int | None = None) -> DataFrame:
-    """One row per gold policy with a vehicle and a known type code; dense ``fact_id``
-    in (insr_begin, insr_end, object_id) order (unique in silver)."""
+    """One row per gold policy with a known type code; dense ``fact_id`` in
+    (insr_begin, insr_end, object_id) order (unique in silver).
+
+    The dimensions are built from this same gold, so each kept gold row matches exactly
+    one vehicle (null-safe on all six attributes) and one type: the inner joins keep the
+    row count. The ids are therefore assigned to the gold rows first (range sampling
+    scans gold only) and the dimension lookups run once, on the staged rows."""
     attrs = list(rules.vehicle_attributes)
-    g = null_safe_join(gold, vehicles, attrs)
+    rows = gold.filter(F.col("insr_type").isNotNull()).select(
+        "object_id", "insr_begin", "insr_end", "insr_type", *attrs, *[c for c, _ in FACT_MEASURE_COLUMNS])
+    order = [F.col("insr_begin").asc_nulls_last(), F.col("insr_end").asc_nulls_last(),
+             F.col("object_id").asc_nulls_last()]
+    ided = dense_ids(rows, order, "fact_id", num_partitions)
+    g = null_safe_join(ided, vehicles, attrs)
     g = g.join(types.select("insurance_type_id", "insr_type_code"),
                g["insr_type"] == F.col("insr_type_code"), "inner")
-    rows = g.select(
+    return g.select(
+        "fact_id",
         F.col("object_id").cast("long").alias("object_id"),
         "vehicle_id", "insurance_type_id",
         date_key(F.col("insr_begin")).alias("insr_begin_id"),
         date_key(F.col("insr_end")).alias("insr_end_id"),
         *[(F.col(c).cast(t) if t else F.col(c)).alias(c) for c, t in FACT_MEASURE_COLUMNS],
-        F.col("insr_begin").alias("_b"), F.col("insr_end").alias("_e"),
     )
-    order = [F.col("_b").asc_nulls_last(), F.col("_e").asc_nulls_last(), F.col("object_id").asc_nulls_last()]
-    return dense_ids(rows, order, "fact_id", num_partitions).drop("_b", "_e")
 
 
 def build_star(gold: DataFrame, rules: PolicyRules = DEFAULT_RULES) -> dict[str, DataFrame]:
