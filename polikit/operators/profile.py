@@ -131,7 +131,7 @@ def describe(df: DataFrame, columns=DESCRIBE_COLUMNS) -> DataFrame:
                  F.max(x).cast("double").alias(f"{c}__max")]
     agg = df.agg(*aggs)
     entries = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__n").alias("n"),
-                        ratio_half_up(F.col(f"{c}__s"), F.col(f"{c}__n"), 4).alias("mean"),
+                        ratio_half_up(f"`{c}__s`", f"`{c}__n`", 4).alias("mean"),
                         F.round(F.col(f"{c}__sd"), 4).alias("stddev"),
                         F.col(f"{c}__min").alias("min_value"), F.col(f"{c}__max").alias("max_value"))
                for c in columns]

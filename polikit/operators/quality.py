@@ -82,9 +82,9 @@ def duplicates(*keys: str) -> Duplicates:
     return Duplicates(tuple(keys))
 
 
-def pct(n: Column, total: Column) -> Column:
-    """100 * n / total, 2 decimals (exact half-up); 0.0 on an empty table."""
-    return F.coalesce(ratio_half_up(n * 100, total, 2), F.lit(0.0))
+def pct(n: str, total: str) -> Column:
+    """100 * n / total (column names), 2 decimals (exact half-up); 0.0 on an empty table."""
+    return F.coalesce(ratio_half_up(f"{n} * 100", total, 2), F.lit(0.0))
 
 
 def run_suite(df: DataFrame, items: list, with_ordinal: bool = False) -> DataFrame:
@@ -117,7 +117,7 @@ def run_suite(df: DataFrame, items: list, with_ordinal: bool = False) -> DataFra
     long = totals.select("_total", F.inline(F.array(*rows)))
     out = long.select(
         "ordinal", "check", "column", "issue", "row_count",
-        pct(F.col("row_count"), F.col("_total")).alias("pct"),
+        pct("row_count", "_total").alias("pct"),
         F.when(F.col("row_count") > 0, "FAIL").otherwise("PASS").alias("status"),
     )
     return out if with_ordinal else out.select(*FINDING_COLUMNS)
@@ -203,7 +203,7 @@ def foreign_key_findings(child: DataFrame, child_name: str, refs: list[tuple[str
             F.coalesce(F.sum(F.when(missing, F.col("_rows"))), F.lit(0)).cast("long").alias("row_count"))
             .select(F.lit("referential integrity").alias("check"), F.lit(f"{child_name}.{fk}").alias("column"),
                     F.lit(f"missing in {parent_name}.{pk}").alias("issue"), "row_count",
-                    pct(F.col("row_count"), F.col("_total")).alias("pct"),
+                    pct("row_count", "_total").alias("pct"),
                     F.when(F.col("row_count") > 0, "FAIL").otherwise("PASS").alias("status")))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
@@ -256,7 +256,7 @@ def eda_findings(df: DataFrame, rules: PolicyRules = DEFAULT_RULES) -> DataFrame
     return long.select(
         "column", "dq_dimension",
         F.concat(F.col("_pre"), F.format_number(F.col("row_count"), 0), F.col("_suf")).alias("issue"),
-        "row_count", pct(F.col("row_count"), F.col("_total")).alias("pct"), "action")
+        "row_count", pct("row_count", "_total").alias("pct"), "action")
 
 
 def report_line() -> Column:

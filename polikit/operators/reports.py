@@ -144,8 +144,8 @@ def bi_measures(star: Star, rules: PolicyRules = DEFAULT_RULES) -> DataFrame:
         F.col("policy_count").alias("total_policies"), F.col("active_count").alias("active_policies"),
         F.col("expired_count").alias("expired_policies"), F.col("renewal_candidate_count").alias("renewal_candidates"),
         "total_premium", F.col("total_claim_paid").alias("total_claims"), "loss_ratio", "avg_risk_score",
-        ratio_half_up(F.col("active_count") * 100, F.col("policy_count"), 2).alias("active_rate_pct"),
-        ratio_half_up(F.col("renewal_candidate_count") * 100, F.col("policy_count"), 2).alias("renewal_rate_pct"),
+        ratio_half_up("active_count * 100", "policy_count", 2).alias("active_rate_pct"),
+        ratio_half_up("renewal_candidate_count * 100", "policy_count", 2).alias("renewal_rate_pct"),
     )
 
 

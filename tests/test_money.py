@@ -39,3 +39,13 @@ def test_scaled_decimals(spark):
     df = spark.createDataFrame([(Decimal("10.00"), Decimal("3.0000"))], "c decimal(18,2), p decimal(18,4)")
     got = df.select(ratio_half_up(F.col("c"), F.col("p"), 4, 2, 4)).collect()[0][0]
     assert got == 3.3333
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(st.integers(-10 ** 14, 10 ** 14), st.integers(-10 ** 9, 10 ** 9)), min_size=1, max_size=30),
+       st.integers(0, 4), st.integers(0, 4), st.integers(0, 4))
+def test_sql_and_column_paths_agree(spark, pairs, digits, ns, ds):
+    df = spark.createDataFrame(pairs, "n long, d long")
+    a = df.select(ratio_half_up("n", "d", digits, ns, ds).alias("x")).collect()
+    b = df.select(ratio_half_up(F.col("n"), F.col("d"), digits, ns, ds).alias("x")).collect()
+    assert a == b
