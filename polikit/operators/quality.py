@@ -37,7 +37,7 @@ class Check:
     check: str
     column: str
     issue: str
-    violation: Column  # true for a violating row; null counts as passing
+    violation: Column | str  # true for a violating row (SQL text or Column); null counts as passing
 
 
 @dataclass(frozen=True)
@@ -50,38 +50,56 @@ class Duplicates:
         return self.label or " + ".join(self.keys)
 
 
+def _q(name: str) -> str:
+    return f"`{name}`"
+
+
+def _lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(v)
+
+
 def nulls(df: DataFrame, columns=None) -> list[Check]:
-    return [Check("completeness", c, "null values", F.col(c).isNull()) for c in (columns or df.columns)]
+    return [Check("completeness", c, "null values", f"{_q(c)} IS NULL") for c in (columns or df.columns)]
 
 
 def positive(column: str) -> Check:
-    return Check("validity", column, "zero or negative value", F.col(column) <= 0)
+    return Check("validity", column, "zero or negative value", f"{_q(column)} <= 0")
 
 
 def at_least(column: str, minimum) -> Check:
-    return Check("validity", column, f"value below {minimum}", F.col(column) < minimum)
+    return Check("validity", column, f"value below {minimum}", f"{_q(column)} < {_lit(minimum)}")
 
 
 def allowed_values(column: str, allowed) -> Check:
     vals = sorted(allowed)
-    return Check("validity", column, f"value not in {vals}", ~F.col(column).isin(vals))
+    return Check("validity", column, f"value not in {vals}",
+                 f"NOT ({_q(column)} IN ({', '.join(_lit(v) for v in vals)}))")
+
+
+def _parsed(column: str, fmt: str) -> str:
+    return f"try_to_date({_q(column)}, {_lit(fmt)})"
 
 
 def date_parseable(column: str, fmt: str) -> Check:
     return Check("validity", column, f"unparseable date (expected {fmt})",
-                 F.col(column).isNotNull() & parse_date(F.col(column), fmt).isNull())
+                 f"{_q(column)} IS NOT NULL AND {_parsed(column, fmt)} IS NULL")
 
 
 def date_order(start: str, end: str, fmt: str | None = None) -> Check:
-    s = parse_date(F.col(start), fmt) if fmt else F.col(start)
-    e = parse_date(F.col(end), fmt) if fmt else F.col(end)
-    return Check("consistency", f"{end} vs {start}", "end date before start date", e < s)
+    s, e = (_parsed(start, fmt), _parsed(end, fmt)) if fmt else (_q(start), _q(end))
+    return Check("consistency", f"{end} vs {start}", "end date before start date", f"{e} < {s}")
 
 
 def duplicates(*keys: str) -> Duplicates:
     return Duplicates(tuple(keys))
 
 
+def _count_if(v: Column | str, name: str) -> Column:
+    return (F.expr(f"count_if({v})") if isinstance(v, str) else F.count_if(v)).alias(name)
+
+
 def pct(n: str, total: str) -> Column:
     """100 * n / total (column names), 2 decimals (exact half-up); 0.0 on an empty table."""
     return F.coalesce(ratio_half_up(f"{n} * 100", total, 2), F.lit(0.0))
@@ -93,32 +111,25 @@ def run_suite(df: DataFrame, items: list, with_ordinal: bool = False) -> DataFra
     dups = [(i, it) for i, it in enumerate(items) if isinstance(it, Duplicates)]
     if len(dups) > 1:
         raise ValueError("one duplicate-key check per suite")
-    counts = [F.count_if(c.violation).alias(f"_c{i}") for i, c in checks]
+    counts = [_count_if(c.violation, f"_c{i}") for i, c in checks]
     if dups:
         i_dup, dup = dups[0]
         per_key = df.groupBy(*dup.keys).agg(F.count(F.lit(1)).alias("_n"), *counts)
-        totals = per_key.agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("_total"),
-            *[F.coalesce(F.sum(f"_c{i}"), F.lit(0)).cast("long").alias(f"_c{i}") for i, _ in checks],
-            F.count_if(F.col("_n") > 1).alias(f"_c{i_dup}"),
-        )
+        totals = per_key.selectExpr(
+            "CAST(COALESCE(SUM(_n), 0) AS BIGINT) AS _total",
+            *[f"CAST(COALESCE(SUM(_c{i}), 0) AS BIGINT) AS _c{i}" for i, _ in checks],
+            f"count_if(_n > 1) AS _c{i_dup}")
     else:
         totals = df.agg(F.count(F.lit(1)).alias("_total"), *counts)
     rows = []
     for i, it in enumerate(items):
-        if isinstance(it, Check):
-            rows.append(F.struct(F.lit(i).alias("ordinal"), F.lit(it.check).alias("check"),
-                                 F.lit(it.column).alias("column"), F.lit(it.issue).alias("issue"),
-                                 F.col(f"_c{i}").cast("long").alias("row_count")))
-        else:
-            rows.append(F.struct(F.lit(i).alias("ordinal"), F.lit("uniqueness").alias("check"),
-                                 F.lit(it.column).alias("column"), F.lit("duplicate keys").alias("issue"),
-                                 F.col(f"_c{i}").cast("long").alias("row_count")))
-    long = totals.select("_total", F.inline(F.array(*rows)))
+        kind, issue = (it.check, it.issue) if isinstance(it, Check) else ("uniqueness", "duplicate keys")
+        rows.append(f"named_struct('ordinal', {i}, 'check', {_lit(kind)}, 'column', {_lit(it.column)}, "
+                    f"'issue', {_lit(issue)}, 'row_count', CAST(_c{i} AS BIGINT))")
+    long = totals.selectExpr("_total", f"inline(array({', '.join(rows)}))")
     out = long.select(
-        "ordinal", "check", "column", "issue", "row_count",
-        pct("row_count", "_total").alias("pct"),
-        F.when(F.col("row_count") > 0, "FAIL").otherwise("PASS").alias("status"),
+        "ordinal", "check", "column", "issue", "row_count", pct("row_count", "_total").alias("pct"),
+        F.expr("CASE WHEN row_count > 0 THEN 'FAIL' ELSE 'PASS' END").alias("status"),
     )
     return out if with_ordinal else out.select(*FINDING_COLUMNS)
 
@@ -176,7 +187,7 @@ def primary_key_findings(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     for name, (df, key) in tables.items():
         label = f"{name}.{key}"
         k = df.select(F.col(key).alias("_pk"))
-        out.append(run_suite(k, [Check("completeness", label, "null values", F.col("_pk").isNull()),
+        out.append(run_suite(k, [Check("completeness", label, "null values", "_pk IS NULL"),
                                  Duplicates(("_pk",), label)]))
     return reduce(lambda a, b: a.unionByName(b), out)
 
@@ -223,39 +234,39 @@ EDA_COLUMNS = ["column", "dq_dimension", "issue", "row_count", "pct", "action"]
 
 
 def eda_findings(df: DataFrame, rules: PolicyRules = DEFAULT_RULES) -> DataFrame:
-    """Profiling findings of the raw feed: only non-zero findings, each with an action."""
+    """Profiling findings of the raw feed: only non-zero findings, each with an action.
+
+    Same layout as ``run_suite``: one group-by on the policy key carries every count."""
     fmt = rules.date_format
-    b, e = parse_date(F.col("INSR_BEGIN"), fmt), parse_date(F.col("INSR_END"), fmt)
-    specs = []  # (column, dimension, prefix, suffix, violation, action)
+    b, e = _parsed("INSR_BEGIN", fmt), _parsed("INSR_END", fmt)
+    specs = []  # (column, dimension, prefix, suffix, violation SQL, action)
     for c in df.columns:
         action = "keep (expected: no-claim rows)" if c == "CLAIM_PAID" else "investigate"
         specs.append((c, "Completeness", "Null / empty: ", "",
-                      F.col(c).isNull() | (F.col(c).cast("string") == ""), action))
+                      f"{_q(c)} IS NULL OR CAST({_q(c)} AS STRING) = ''", action))
     for c, parsed in (("INSR_BEGIN", b), ("INSR_END", e)):
-        specs.append((c, "Validity", f"Cannot parse as {fmt}: ", "", parsed.isNull() & F.col(c).isNotNull(),
+        specs.append((c, "Validity", f"Cannot parse as {fmt}: ", "", f"{parsed} IS NULL AND {_q(c)} IS NOT NULL",
                       "drop row"))
-    specs.append(("INSR_BEGIN / INSR_END", "Consistency", "INSR_END < INSR_BEGIN: ", "", e < b, "drop row"))
-    specs.append(("PREMIUM", "Validity", "Zero or negative: ", "", F.col("PREMIUM") <= 0, "drop row"))
-    specs.append(("INSURED_VALUE", "Validity", "Zero or negative: ", "", F.col("INSURED_VALUE") <= 0, "drop row"))
+    specs.append(("INSR_BEGIN / INSR_END", "Consistency", "INSR_END < INSR_BEGIN: ", "", f"{e} < {b}", "drop row"))
+    specs.append(("PREMIUM", "Validity", "Zero or negative: ", "", "PREMIUM <= 0", "drop row"))
+    specs.append(("INSURED_VALUE", "Validity", "Zero or negative: ", "", "INSURED_VALUE <= 0", "drop row"))
     dom = ",".join(str(v) for v in rules.eda_sex_domain)
-    specs.append(("SEX", "Validity", f"Value not in {{{dom}}}: ", "", ~F.col("SEX").isin(list(rules.eda_sex_domain)),
-                  "flag"))
+    specs.append(("SEX", "Validity", f"Value not in {{{dom}}}: ", "",
+                  f"NOT (SEX IN ({', '.join(_lit(v) for v in rules.eda_sex_domain)}))", "flag"))
     keys = list(rules.policy_key)
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                    *[F.count_if(s[4]).alias(f"_c{i}") for i, s in enumerate(specs)])
+                                    *[_count_if(sp[4], f"_c{i}") for i, sp in enumerate(specs)])
     dup_i = len(specs)
-    totals = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("_total"),
-                         *[F.coalesce(F.sum(f"_c{i}"), F.lit(0)).cast("long").alias(f"_c{i}")
-                           for i in range(len(specs))],
-                         F.count_if(F.col("_n") > 1).alias(f"_c{dup_i}"))
+    totals = per_key.selectExpr("CAST(COALESCE(SUM(_n), 0) AS BIGINT) AS _total",
+                                *[f"CAST(COALESCE(SUM(_c{i}), 0) AS BIGINT) AS _c{i}" for i in range(len(specs))],
+                                f"count_if(_n > 1) AS _c{dup_i}")
     specs.append((" + ".join(keys), "Uniqueness", "Duplicate policy keys (", " groups)", None, "dropDuplicates"))
-    rows = [F.struct(F.lit(i).alias("ordinal"), F.lit(s[0]).alias("column"), F.lit(s[1]).alias("dq_dimension"),
-                     F.lit(s[2]).alias("_pre"), F.lit(s[3]).alias("_suf"), F.col(f"_c{i}").alias("row_count"),
-                     F.lit(s[5]).alias("action")) for i, s in enumerate(specs)]
-    long = totals.select("_total", F.inline(F.array(*rows))).filter(F.col("row_count") > 0)
+    rows = [f"named_struct('ordinal', {i}, 'column', {_lit(sp[0])}, 'dq_dimension', {_lit(sp[1])}, "
+            f"'_pre', {_lit(sp[2])}, '_suf', {_lit(sp[3])}, 'row_count', CAST(_c{i} AS BIGINT), "
+            f"'action', {_lit(sp[5])})" for i, sp in enumerate(specs)]
+    long = totals.selectExpr("_total", f"inline(array({', '.join(rows)}))").filter("row_count > 0")
     return long.select(
-        "column", "dq_dimension",
-        F.concat(F.col("_pre"), F.format_number(F.col("row_count"), 0), F.col("_suf")).alias("issue"),
+        "column", "dq_dimension", F.expr("concat(_pre, format_number(row_count, 0), _suf)").alias("issue"),
         "row_count", pct("row_count", "_total").alias("pct"), "action")
 
 
