@@ -41,12 +41,21 @@ def _long(df: DataFrame, entries: list[Column]) -> DataFrame:
     return df.select(F.inline(F.array(*entries)))
 
 
+def _q(name: str) -> str:
+    return f"`{name}`"
+
+
+def _long_sql(df: DataFrame, structs: list[str]) -> DataFrame:
+    """Long form from SQL ``named_struct`` texts: one JVM call for the whole array."""
+    return df.selectExpr(f"inline(array({', '.join(structs)}))")
+
+
 def value_counts(df: DataFrame, all_columns=FREQ_ALL, top_columns=FREQ_TOP, top_n: int = FREQ_TOP_N) -> DataFrame:
     """(column_name, value, row_count): every value of ``all_columns``, the top ``top_n``
     of ``top_columns`` (count desc, value asc). One scan + one partially-aggregated
     shuffle of (column, value) pairs; top-k per column is a distributed take-ordered."""
     cols = list(all_columns) + list(top_columns)
-    pairs = _long(df, [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols])
+    pairs = _long_sql(df, [f"named_struct('column_name', '{c}', 'value', CAST({_q(c)} AS STRING))" for c in cols])
     counts = pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("row_count"))
     parts = [counts.filter(F.col("column_name").isin(list(all_columns)))]
     for c in top_columns:
@@ -85,7 +94,7 @@ def percentiles_exact(df: DataFrame, columns=PERCENTILE_COLUMNS, probs=PERCENTIL
     """
     columns = list(columns)
     vt = _common_type(df, columns)
-    pairs = _long(df, [F.struct(F.lit(c).alias("_c"), F.col(c).cast(vt).alias("_v")) for c in columns])
+    pairs = _long_sql(df, [f"named_struct('_c', '{c}', '_v', CAST({_q(c)} AS {vt}))" for c in columns])
     vc = pairs.filter(F.col("_v").isNotNull()).groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_w"))
     cum = running_sum(vc, [F.col("_c").asc(), F.col("_v").asc()], "_w", "_cum")
     per_col = cum.groupBy("_c").agg(F.sum("_w").alias("_n"))  # from the staged rows
@@ -125,29 +134,29 @@ def describe(df: DataFrame, columns=DESCRIBE_COLUMNS) -> DataFrame:
     """count, mean (exact, 4 decimals), sample stddev (4 decimals), min, max per column; one pass."""
     aggs = []
     for c in columns:
-        x = F.col(c)
-        aggs += [F.count(x).alias(f"{c}__n"), F.sum(x.cast("decimal(38,0)")).alias(f"{c}__s"),
-                 F.stddev_samp(x.cast("double")).alias(f"{c}__sd"), F.min(x).cast("double").alias(f"{c}__min"),
-                 F.max(x).cast("double").alias(f"{c}__max")]
-    agg = df.agg(*aggs)
-    entries = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__n").alias("n"),
-                        ratio_half_up(f"`{c}__s`", f"`{c}__n`", 4).alias("mean"),
-                        F.round(F.col(f"{c}__sd"), 4).alias("stddev"),
-                        F.col(f"{c}__min").alias("min_value"), F.col(f"{c}__max").alias("max_value"))
+        x = _q(c)
+        aggs += [f"count({x}) AS `{c}__n`", f"sum(CAST({x} AS DECIMAL(38,0))) AS `{c}__s`",
+                 f"stddev_samp(CAST({x} AS DOUBLE)) AS `{c}__sd`", f"CAST(min({x}) AS DOUBLE) AS `{c}__min`",
+                 f"CAST(max({x}) AS DOUBLE) AS `{c}__max`"]
+    agg = df.selectExpr(*aggs)
+    from ..functions.money import ratio_half_up_sql
+    entries = [f"named_struct('column_name', '{c}', 'n', `{c}__n`, "
+               f"'mean', {ratio_half_up_sql(f'`{c}__s`', f'`{c}__n`', 4)}, "
+               f"'stddev', round(`{c}__sd`, 4), 'min_value', `{c}__min`, 'max_value', `{c}__max`)"
                for c in columns]
-    return _long(agg, entries)
+    return _long_sql(agg, entries)
 
 
 def null_counts(df: DataFrame) -> DataFrame:
-    agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
-    return _long(agg, [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("null_count"))
-                       for c in df.columns])
+    agg = df.selectExpr(*[f"count_if({_q(c)} IS NULL) AS {_q(c)}" for c in df.columns])
+    return _long_sql(agg, [f"named_struct('column_name', '{c}', 'null_count', {_q(c)})" for c in df.columns])
 
 
 def null_or_empty_counts(df: DataFrame) -> DataFrame:
-    agg = df.agg(*[F.count_if(F.col(c).isNull() | (F.col(c).cast("string") == "")).alias(c) for c in df.columns])
-    return _long(agg, [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("null_or_empty_count"))
-                       for c in df.columns])
+    agg = df.selectExpr(*[f"count_if({_q(c)} IS NULL OR CAST({_q(c)} AS STRING) = '') AS {_q(c)}"
+                          for c in df.columns])
+    return _long_sql(agg, [f"named_struct('column_name', '{c}', 'null_or_empty_count', {_q(c)})"
+                           for c in df.columns])
 
 
 def duplicate_groups(df: DataFrame, keys) -> DataFrame:
