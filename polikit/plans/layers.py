@@ -25,8 +25,17 @@ def gold(spark: SparkSession, sf_dir: str, rules: PolicyRules = DEFAULT_RULES) -
     return to_gold(silver(spark, sf_dir, rules), rules)
 
 
+_STARS: dict[tuple, dict[str, DataFrame]] = {}
+
+
 def star(spark: SparkSession, sf_dir: str, rules: PolicyRules = DEFAULT_RULES) -> dict[str, DataFrame]:
-    return build_star(gold(spark, sf_dir, rules), rules)
+    """The star schema over the whole input tables. Its surrogate keys are staged in the
+    checkpoint folder, so it is built once per session and input folder and then
+    shared by every report over it (as the written star tables are in the pipeline)."""
+    key = (spark.sparkContext.applicationId, spark.sparkContext.getCheckpointDir(), sf_dir, rules)
+    if key not in _STARS:
+        _STARS[key] = build_star(gold(spark, sf_dir, rules), rules)
+    return _STARS[key]
 
 
 def portable(df: DataFrame) -> DataFrame:
