@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.dates import parse_date
 from ..functions.money import ratio_half_up
-from ..rules import DEFAULT_RULES, PolicyRules
+from ..rules import DEFAULT_RULES
 from .ids import running_sum, stage_table
 
 # ---------------------------------------------------------------------------

@@ -16,7 +16,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import parse_date
 from ..functions.money import ratio_half_up
 from ..rules import DEFAULT_RULES, PolicyRules
 from ..schemas import FINDING_COLUMNS

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ..operators import profile as PF
 from ..operators import quality as Q
-from ..operators.star import dim_date as star_dim_date
 from ..rules import DEFAULT_RULES as R
 from ..schemas import RAW_SCHEMA
 from ..session import ensure_checkpoint_dir
@@ -381,5 +380,3 @@ def snk_star_tables(spark, sf):
                      .select(F.lit(name).alias("table_name"), "row_count"))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
-
-_ = star_dim_date  # calendar dimension is exercised through the star tables
