@@ -47,3 +47,39 @@ def test_dedup_is_partially_aggregated(spark):
     # map-side (partial) aggregation below the shuffle: a hot key ships one row per task
     assert plan.count("SortAggregate") + plan.count("HashAggregate") >= 2
     assert "Window" not in plan
+
+
+def _written_star(spark, scratch):
+    from polikit.plans import layers as L
+    out = {}
+    for name, df in L.star(spark, SMOKE).items():
+        df.write.mode("overwrite").parquet(f"{scratch}/{name}")
+        out[name] = spark.read.parquet(f"{scratch}/{name}")
+    return out
+
+
+def test_reports_aggregate_fact_before_join(spark, scratch):
+    from polikit.operators import reports
+    plan = plan_of(spark, reports.q03_top_makes(_written_star(spark, scratch)))
+    tree = plan.split("\n\n")[0]
+    # fact scan -> partial/final aggregate keyed by vehicle_id -> join -> aggregate by make
+    assert re.search(r"HashAggregate.*\n(.*\n)*?Keys \[1\]: \[vehicle_id", plan)
+    join_line = next(i for i, l in enumerate(tree.splitlines()) if "Join" in l)
+    assert any("HashAggregate" in l for l in tree.splitlines()[join_line + 1:])
+    assert re.search(r"Keys \[1\]: \[make", plan)
+
+
+def test_calendar_is_broadcast(spark, scratch):
+    from polikit.operators import reports
+    plan = plan_of(spark, reports.q02_by_year(_written_star(spark, scratch)))
+    assert "BroadcastExchange" in plan and "BroadcastHashJoin" in plan
+
+
+def test_dq_suite_is_one_keyed_aggregation(spark):
+    from polikit.operators import quality
+    from polikit.plans import layers as L
+    plan = plan_of(spark, quality.dq_bronze(L.bronze(spark, SMOKE)))
+    tree = plan.split("\n\n")[0]
+    above_union = tree.split("Union")[0]
+    # keyed partial + final aggregate, then the global one: no join or window over the rows
+    assert above_union.count("HashAggregate") >= 3 and "Join" not in above_union and "Window" not in tree
