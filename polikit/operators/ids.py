@@ -88,3 +88,21 @@ def running_sum(df: DataFrame, order: list[Column], weight: str, out_col: str,
     out = placed.join(F.broadcast(offsets), "_pid")
     return out.select(*[F.col(c) for c in df.columns], (F.col("_off") + F.sum(weight).over(within)).alias(out_col),
                       "_total")
+
+
+def storage_ids(table: DataFrame, id_col: str, start: int = 1, id_type: str = "long") -> DataFrame:
+    """Dense ids 1..N in storage order, with no shuffle of the rows.
+
+    ``table`` must be a scan of a written table followed only by deterministic row-local
+    operators (filters, projections): its splits and their row order are then fixed, so
+    the per-split counts (a scan of no data columns; one row per split, broadcast) and
+    the in-split positions agree between the two reads. For the row order of an
+    unordered ``ROW_NUMBER() OVER ()`` this avoids sorting the whole table."""
+    placed = table.select(F.spark_partition_id().alias("_pid"),
+                          (F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))).alias("_pos"), "*")
+    counts = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    out = placed.join(F.broadcast(offsets), "_pid")
+    ident = (F.col("_off") + F.col("_pos") + F.lit(start)).cast(id_type).alias(id_col)
+    return out.select(ident, *[F.col(c) for c in table.columns])

@@ -11,7 +11,7 @@ from ..functions import policy as P
 from ..functions.dates import date_key
 from ..rules import DEFAULT_RULES, PolicyRules
 from ..sources.calendar import dim_date as _calendar_dim
-from .ids import dense_ids
+from .ids import dense_ids, storage_ids
 
 FACT_MEASURE_COLUMNS = [
     ("prod_year", "int"), ("sex", "int"), ("insured_value", None), ("premium", None), ("claim_paid", None),
@@ -53,20 +53,23 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFr
 
 
 def fact_policies(gold: DataFrame, vehicles: DataFrame, types: DataFrame, rules: PolicyRules = DEFAULT_RULES,
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None, ordered_ids: bool = True) -> DataFrame:
     """One row per gold policy with a known type code; dense ``fact_id`` in
     (insr_begin, insr_end, object_id) order (unique in silver).
 
     The dimensions are built from this same gold, so each kept gold row matches exactly
     one vehicle (null-safe on all six attributes) and one type: the inner joins keep the
     row count. The ids are therefore assigned to the gold rows first (range sampling
-    scans gold only) and the dimension lookups run once, on the staged rows."""
+    scans gold only) and the dimension lookups run once, on the staged rows.
+
+    ``ordered_ids=False`` (gold read from a written table) numbers the rows in storage
+    order instead: no sort of the fact, ids dense and unique but not in date order."""
     attrs = list(rules.vehicle_attributes)
     rows = gold.filter(F.col("insr_type").isNotNull()).select(
         "object_id", "insr_begin", "insr_end", "insr_type", *attrs, *[c for c, _ in FACT_MEASURE_COLUMNS])
     order = [F.col("insr_begin").asc_nulls_last(), F.col("insr_end").asc_nulls_last(),
              F.col("object_id").asc_nulls_last()]
-    ided = dense_ids(rows, order, "fact_id", num_partitions)
+    ided = dense_ids(rows, order, "fact_id", num_partitions) if ordered_ids else storage_ids(rows, "fact_id")
     g = null_safe_join(ided, vehicles, attrs)
     g = g.join(types.select("insurance_type_id", "insr_type_code"),
                g["insr_type"] == F.col("insr_type_code"), "inner")
@@ -80,7 +83,7 @@ def fact_policies(gold: DataFrame, vehicles: DataFrame, types: DataFrame, rules:
     )
 
 
-def build_star(gold: DataFrame, rules: PolicyRules = DEFAULT_RULES) -> dict[str, DataFrame]:
+def build_star(gold: DataFrame, rules: PolicyRules = DEFAULT_RULES, ordered_fact_ids: bool = True) -> dict[str, DataFrame]:
     spark = gold.sparkSession
     vehicles = dim_vehicle(gold, rules)
     types = dim_insurance_type(gold, rules)
@@ -88,5 +91,5 @@ def build_star(gold: DataFrame, rules: PolicyRules = DEFAULT_RULES) -> dict[str,
         "dim_vehicle": vehicles,
         "dim_insurance_type": types,
         "dim_date": dim_date(spark, rules),
-        "fact_policies": fact_policies(gold, vehicles, types, rules),
+        "fact_policies": fact_policies(gold, vehicles, types, rules, ordered_ids=ordered_fact_ids),
     }

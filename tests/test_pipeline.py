@@ -23,3 +23,12 @@ def test_run_pipeline(spark, scratch):
     assert lines[2].startswith("completeness") and "SEX" in lines[2]
     gold = spark.read.parquet(res.paths["gold"])
     assert {"bronze_processed_at", "silver_processed_at", "gold_processed_at"} <= set(gold.columns)
+
+
+def test_run_pipeline_storage_order_fact_ids(spark, scratch):
+    from pyspark.sql import functions as F
+    res = run_pipeline(spark, list(policy_feed_files(spark, SMOKE)), scratch, ordered_fact_ids=False)
+    fact = spark.read.parquet(res.paths["fact_policies"])
+    n = fact.count()
+    assert tuple(fact.agg(F.min("fact_id"), F.max("fact_id"), F.countDistinct("fact_id")).collect()[0]) == (1, n, n)
+    assert n == spark.read.parquet(res.paths["gold"]).filter("insr_type IS NOT NULL").count()

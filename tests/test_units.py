@@ -189,3 +189,15 @@ def test_union_by_name_rejects_drift(spark):
         clean.to_bronze(a, b).collect()
     ok = clean.to_bronze(a, raw(spark, [{"OBJECT_ID": 2}]).select(*reversed(a.columns)))
     assert ok.columns == a.columns and ok.count() == 2
+
+
+def test_storage_ids_dense_unique_without_shuffle(spark, scratch):
+    from polikit.operators.ids import storage_ids
+    spark.range(5000).selectExpr("id AS k", "id % 7 AS g").repartition(5).write.parquet(f"{scratch}/t")
+    t = spark.read.parquet(f"{scratch}/t").filter("g <> 3")
+    out = storage_ids(t, "rid")
+    rows = out.collect()
+    assert sorted(r["rid"] for r in rows) == list(range(1, len(rows) + 1))
+    assert sorted(r["k"] for r in rows) == sorted(r["k"] for r in t.collect())
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" not in plan and "rangepartitioning" not in plan
