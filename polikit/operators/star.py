@@ -42,6 +42,16 @@ def dim_date(spark: SparkSession, rules: PolicyRules = DEFAULT_RULES) -> DataFra
     return _calendar_dim(spark, rules.calendar_start, rules.calendar_end)
 
 
+def calendar_usage(calendar: DataFrame, fact: DataFrame, key: str = "insr_begin_id",
+                   out: str = "begin_policies") -> DataFrame:
+    """Every calendar day with the number of fact rows whose ``key`` is that day (0 if
+    none). The fact is reduced to one row per day before the join (partial aggregation),
+    so the join sees at most one row per calendar day on each side."""
+    per_day = fact.groupBy(key).agg(F.count(F.lit(1)).alias(out))
+    j = calendar.join(per_day, calendar["date_id"] == per_day[key], "left")
+    return j.select(*[calendar[c] for c in calendar.columns], F.coalesce(per_day[out], F.lit(0)).alias(out))
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join on ``keys`` with IS NOT DISTINCT FROM; right key columns dropped.
 

@@ -176,12 +176,16 @@ def q_dim_insurance_type(spark, sf):
     return dim_insurance_type(L.gold(spark, sf))
 
 
-@register("dim_date", O.with_ctes("dim_date", f"""
-SELECT date_id, {_iso('full_date')} AS full_date, year, quarter, month, month_name, day, day_of_week, day_name,
-       is_weekend FROM dim_date"""))
+@register("dim_date", O.with_ctes("fact", f"""
+SELECT d.date_id, {_iso('d.full_date')} AS full_date, d.year, d.quarter, d.month, d.month_name, d.day, d.day_of_week,
+       d.day_name, d.is_weekend, COALESCE(c.n, 0) AS begin_policies
+FROM dim_date d LEFT JOIN (SELECT insr_begin_id, count(*) AS n FROM fact GROUP BY insr_begin_id) c
+  ON d.date_id = c.insr_begin_id"""))
 def q_dim_date(spark, sf):
-    from ..operators.star import dim_date
-    return L.portable(dim_date(spark))
+    """The calendar dimension, each day with the policies beginning on it (reads the tables)."""
+    from ..operators.star import calendar_usage
+    st = L.star(spark, sf)
+    return L.portable(calendar_usage(st["dim_date"], st["fact_policies"]))
 
 
 FACT_COLS = ["fact_id", "object_id", "vehicle_id", "insurance_type_id", "insr_begin_id", "insr_end_id", "prod_year",
