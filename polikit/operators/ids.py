@@ -61,15 +61,27 @@ def _placed(df: DataFrame, order: list[Column], num_partitions: int | None, reus
             src.unpersist()
 
 
+def _with_offsets(placed: DataFrame, weight: Column) -> DataFrame:
+    """Join each row to ``_off`` = total ``weight`` of all earlier partitions (and ``_total``).
+
+    The per-partition table has one row per partition (bounded by the partition count,
+    not by the data), so its running window and its broadcast are bounded too."""
+    per = placed.groupBy("_pid").agg(F.sum(weight).alias("_s"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per.select("_pid", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"),
+                         F.sum("_s").over(Window.partitionBy()).alias("_total"))
+    return placed.join(F.broadcast(offsets), "_pid")
+
+
+def _numbered(placed: DataFrame, columns: list[str], id_col: str, start: int, id_type: str) -> DataFrame:
+    out = _with_offsets(placed, F.lit(1))
+    ident = (F.col("_off") + F.col("_pos") + F.lit(start)).cast(id_type).alias(id_col)
+    return out.select(ident, *[F.col(c) for c in columns])
+
+
 def dense_ids(df: DataFrame, order: list[Column], id_col: str, num_partitions: int | None = None,
               start: int = 1, id_type: str = "long", reuse_input: bool = False) -> DataFrame:
-    placed = _placed(df, order, num_partitions, reuse_input)
-    counts = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    out = placed.join(F.broadcast(offsets), "_pid")
-    ident = (F.col("_off") + F.col("_pos") + F.lit(start)).cast(id_type).alias(id_col)
-    return out.select(ident, *[F.col(c) for c in df.columns])
+    return _numbered(_placed(df, order, num_partitions, reuse_input), df.columns, id_col, start, id_type)
 
 
 def running_sum(df: DataFrame, order: list[Column], weight: str, out_col: str,
@@ -79,13 +91,8 @@ def running_sum(df: DataFrame, order: list[Column], weight: str, out_col: str,
     Same layout as ``dense_ids``; the in-partition running sum is a window confined to
     one range partition (bounded by the range split, not by a key)."""
     placed = _placed(df, order, num_partitions, reuse_input)
-    per = placed.groupBy("_pid").agg(F.sum(weight).alias("_s"))
-    offsets = per.select("_pid",
-                         F.coalesce(F.sum("_s").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                                    F.lit(0)).alias("_off"),
-                         F.sum("_s").over(Window.partitionBy()).alias("_total"))
     within = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = placed.join(F.broadcast(offsets), "_pid")
+    out = _with_offsets(placed, F.col(weight))
     return out.select(*[F.col(c) for c in df.columns], (F.col("_off") + F.sum(weight).over(within)).alias(out_col),
                       "_total")
 
@@ -100,9 +107,4 @@ def storage_ids(table: DataFrame, id_col: str, start: int = 1, id_type: str = "l
     unordered ``ROW_NUMBER() OVER ()`` this avoids sorting the whole table."""
     placed = table.select(F.spark_partition_id().alias("_pid"),
                           (F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))).alias("_pos"), "*")
-    counts = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    out = placed.join(F.broadcast(offsets), "_pid")
-    ident = (F.col("_off") + F.col("_pos") + F.lit(start)).cast(id_type).alias(id_col)
-    return out.select(ident, *[F.col(c) for c in table.columns])
+    return _numbered(placed, table.columns, id_col, start, id_type)
