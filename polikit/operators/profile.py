@@ -52,11 +52,16 @@ def _long_sql(df: DataFrame, structs: list[str]) -> DataFrame:
 
 def value_counts(df: DataFrame, all_columns=FREQ_ALL, top_columns=FREQ_TOP, top_n: int = FREQ_TOP_N) -> DataFrame:
     """(column_name, value, row_count): every value of ``all_columns``, the top ``top_n``
-    of ``top_columns`` (count desc, value asc). One scan + one partially-aggregated
-    shuffle of (column, value) pairs; top-k per column is a distributed take-ordered."""
+    of ``top_columns`` (count desc, value asc).
+
+    One scan and one partially-aggregated shuffle of (column, value) pairs, staged (one
+    row per distinct pair, far fewer than the rows) so the per-column branches read the
+    staged counts instead of each rescanning the input; top-k per column is a
+    distributed take-ordered, never a window over all values of a column."""
     cols = list(all_columns) + list(top_columns)
     pairs = _long_sql(df, [f"named_struct('column_name', '{c}', 'value', CAST({_q(c)} AS STRING))" for c in cols])
-    counts = pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("row_count"))
+    counts = stage_table(pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("row_count")),
+                         "value_counts")
     parts = [counts.filter(F.col("column_name").isin(list(all_columns)))]
     for c in top_columns:
         parts.append(counts.filter(F.col("column_name") == c)
