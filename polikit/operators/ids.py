@@ -85,16 +85,27 @@ def dense_ids(df: DataFrame, order: list[Column], id_col: str, num_partitions: i
 
 
 def running_sum(df: DataFrame, order: list[Column], weight: str, out_col: str,
-                num_partitions: int | None = None, reuse_input: bool = True) -> DataFrame:
+                num_partitions: int | None = None, reuse_input: bool = True,
+                group_col: str | None = None) -> DataFrame:
     """Inclusive running sum of ``weight`` along a total order, plus ``_total`` (grand sum).
 
     Same layout as ``dense_ids``; the in-partition running sum is a window confined to
-    one range partition (bounded by the range split, not by a key)."""
+    one range partition (bounded by the range split, not by a key). With ``group_col``
+    (the leading, ascending order column) each row also gets ``_group_start`` (weight of
+    all earlier groups) and ``_group_total``, from a per-group table computed on the
+    staged rows (one row per group, broadcast)."""
     placed = _placed(df, order, num_partitions, reuse_input)
     within = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = _with_offsets(placed, F.col(weight))
-    return out.select(*[F.col(c) for c in df.columns], (F.col("_off") + F.sum(weight).over(within)).alias(out_col),
-                      "_total")
+    res = out.select(*[F.col(c) for c in df.columns], (F.col("_off") + F.sum(weight).over(within)).alias(out_col),
+                     "_total")
+    if group_col is None:
+        return res
+    per_group = placed.groupBy(group_col).agg(F.sum(weight).alias("_group_total"))
+    before = Window.orderBy(group_col).rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_group.select(group_col, "_group_total",
+                              F.coalesce(F.sum("_group_total").over(before), F.lit(0)).alias("_group_start"))
+    return res.join(F.broadcast(starts), group_col)
 
 
 def storage_ids(table: DataFrame, id_col: str, start: int = 1, id_type: str = "long") -> DataFrame:

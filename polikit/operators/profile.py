@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,20 +93,17 @@ def percentiles_exact(df: DataFrame, columns=PERCENTILE_COLUMNS, probs=PERCENTIL
 
     (column, value) pairs -> distinct pairs with counts (partial aggregation) -> running
     count along (column, value) (range-partitioned, ``ids.running_sum``) -> rank within
-    the column = running count - rows of the earlier columns (a table with one row per
-    column, broadcast) -> each pair emits the labels whose target rank it covers.
+    the column = running count - rows of the earlier columns (from a table with one row
+    per column) -> each pair emits the labels whose target rank it covers.
     No aggregate ever holds all values of a column in one buffer.
     """
     columns = list(columns)
     vt = _common_type(df, columns)
     pairs = _long_sql(df, [f"named_struct('_c', '{c}', '_v', CAST({_q(c)} AS {vt}))" for c in columns])
     vc = pairs.filter(F.col("_v").isNotNull()).groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_w"))
-    cum = running_sum(vc, [F.col("_c").asc(), F.col("_v").asc()], "_w", "_cum")
-    per_col = cum.groupBy("_c").agg(F.sum("_w").alias("_n"))  # from the staged rows
-    starts = per_col.select("_c", "_n", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
-    ranked = cum.join(F.broadcast(starts), "_c").select(
-        "_c", "_v", "_w", (F.col("_cum") - F.col("_start")).alias("_rank"), "_n")
+    cum = running_sum(vc, [F.col("_c").asc(), F.col("_v").asc()], "_w", "_cum", group_col="_c")
+    ranked = cum.select("_c", "_v", "_w", (F.col("_cum") - F.col("_group_start")).alias("_rank"),
+                        F.col("_group_total").alias("_n"))
     n = F.col("_n")
     targets = F.array(*[
         F.struct(F.lit(lbl).alias("label"), F.lit(i).alias("ord"),
