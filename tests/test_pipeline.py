@@ -32,3 +32,15 @@ def test_run_pipeline_storage_order_fact_ids(spark, scratch):
     n = fact.count()
     assert tuple(fact.agg(F.min("fact_id"), F.max("fact_id"), F.countDistinct("fact_id")).collect()[0]) == (1, n, n)
     assert n == spark.read.parquet(res.paths["gold"]).filter("insr_type IS NOT NULL").count()
+
+
+def test_observed_counts_equal_funnel_job(spark, scratch):
+    from polikit.operators.clean import funnel_counts, to_bronze
+    files_ = list(policy_feed_files(spark, SMOKE))
+    res = run_pipeline(spark, files_, scratch)
+    f = funnel_counts(to_bronze(*files_)).collect()[0].asDict()
+    c = res.counts
+    assert (f["bronze_rows"], f["after_sex_filter"], f["after_date_parse"], f["after_date_order"],
+            f["after_premium_filter"], f["after_dedup"]) == (
+        c["bronze"], c["after_sex_filter"], c["after_date_parse"], c["after_date_order"],
+        c["after_premium_filter"], c["after_dedup"])
