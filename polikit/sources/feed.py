@@ -65,7 +65,7 @@ def feed_with_period(spark: SparkSession, sf_dir: str, date_format: str = "dd-MM
     """Feed rows plus a ``_early`` flag (first / second period file)."""
     li = ensure_parallel(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"), "l_orderkey")
+        "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"))
     od = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice")
     pt = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_type", "p_brand", "p_size")
     cu = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_mktsegment")

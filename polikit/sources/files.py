@@ -32,9 +32,11 @@ def read_csv(spark: SparkSession, path, schema: T.StructType = RAW_SCHEMA, optio
 
 def ensure_parallel(df: DataFrame, *keys: str) -> DataFrame:
     """Spread a scan that yields fewer splits than the cluster has cores (e.g. a file
-    written as one row group), hash-partitioned on ``keys`` so a following shuffle join
-    on them reuses the partitioning. A scan with enough splits is returned unchanged,
-    so large inputs never pay an extra shuffle. Deciding costs only split planning."""
+    written as one row group). Round-robin by default (skew-free: later key-based
+    operators keep their own map-side partial aggregation); with ``keys``, hash-
+    partitioned so a following shuffle join on them reuses the partitioning. A scan with
+    enough splits is returned unchanged, so large inputs never pay an extra shuffle.
+    Deciding costs only split planning."""
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
