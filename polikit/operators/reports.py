@@ -29,9 +29,12 @@ def slice_star(star: Star, year: int | None = None, product: str | None = None,
 
     Attribute filters apply to their (small) dimension, and the fact keeps the rows
     whose key survives, through a left-semi join (no fact columns are added). The year
-    slicer becomes a date-key range on the fact itself (pushed to the fact scan)."""
+    slicer becomes a date-key range on the fact itself (pushed to the fact scan), or a
+    partition filter when the fact is stored partitioned by ``begin_year``."""
     fact = star["fact_policies"]
-    if year is not None:
+    if year is not None and "begin_year" in fact.columns:
+        fact = fact.filter(F.col("begin_year") == year)
+    elif year is not None:
         fact = fact.filter((F.col("insr_begin_id") >= year * 10000) & (F.col("insr_begin_id") < (year + 1) * 10000))
     if risk_score is not None:
         fact = fact.filter(F.col("risk_score") == risk_score)

@@ -44,3 +44,19 @@ def test_observed_counts_equal_funnel_job(spark, scratch):
             f["after_premium_filter"], f["after_dedup"]) == (
         c["bronze"], c["after_sex_filter"], c["after_date_parse"], c["after_date_order"],
         c["after_premium_filter"], c["after_dedup"])
+
+
+def test_year_partitioned_fact_prunes(spark, scratch):
+    from polikit.operators import kpis, reports
+    res = run_pipeline(spark, list(policy_feed_files(spark, SMOKE)), scratch, partition_fact_by_year=True)
+    names = ("dim_vehicle", "dim_insurance_type", "dim_date", "fact_policies")
+    star = {n: spark.read.parquet(res.paths[n]) for n in names}
+    assert "begin_year" in star["fact_policies"].columns
+    sliced = reports.slice_star(star, year=2016)["fact_policies"]
+    plan = sliced._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(begin_year" in plan and "(begin_year" in plan
+    plain = star["fact_policies"].drop("begin_year")
+    by_range = reports.slice_star({**star, "fact_policies": plain}, year=2016)["fact_policies"]
+    m = ["policy_count", "total_premium", "loss_ratio"]
+    assert kpis.aggregate(sliced, [], m).collect() == kpis.aggregate(by_range, [], m).collect()
+    assert reports.q02_by_year(star).collect() == reports.q02_by_year({**star, "fact_policies": plain}).collect()
