@@ -201,3 +201,18 @@ def test_storage_ids_dense_unique_without_shuffle(spark, scratch):
     assert sorted(r["k"] for r in rows) == sorted(r["k"] for r in t.collect())
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(k" not in plan and "rangepartitioning" not in plan
+
+
+def test_read_csv_explicit_schema_keeps_corrupt_rows(spark, scratch):
+    from polikit.sources.files import CORRUPT_COLUMN, read_csv
+    from polikit.schemas import RAW_COLUMNS
+    good = ",".join(["1", "01-JAN-15", "31-DEC-15", "15", "1201", "100.00", "10.0000", "7", "2010", "4", "1000.00",
+                     "Pick-up", "2000.00", "TOYOTA", "Private", ""])
+    bad = good.replace("1201", "twelve")
+    with open(f"{scratch}/feed.csv", "w") as fh:
+        fh.write(",".join(RAW_COLUMNS) + "\n" + good + "\n" + bad + "\n")
+    rows = read_csv(spark, f"{scratch}/feed.csv", keep_corrupt=True).collect()
+    assert len(rows) == 2
+    ok, broken = sorted(rows, key=lambda r: r[CORRUPT_COLUMN] is not None)
+    assert ok["INSR_TYPE"] == 1201 and ok["CLAIM_PAID"] is None and ok[CORRUPT_COLUMN] is None
+    assert broken["INSR_TYPE"] is None and broken[CORRUPT_COLUMN] == bad
