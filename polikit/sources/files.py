@@ -43,6 +43,21 @@ def ensure_parallel(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(target, *keys) if keys else df.repartition(target)
 
 
+def read_feed_csv(spark: SparkSession, path, schema: T.StructType = RAW_SCHEMA,
+                  options: dict | None = None) -> DataFrame:
+    """A header CSV feed file read by column NAME, whatever its column order.
+
+    An explicit CSV schema binds columns by position; feed files whose columns come in
+    another order would be silently mis-read. Here every column is read as text under
+    its header name (no inference pass) and cast by name to ``schema``; a value that does
+    not parse becomes null (like PERMISSIVE mode), a missing column is an error."""
+    reader = spark.read.option("header", True).option("inferSchema", False)
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
+    text = reader.csv(path)
+    return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 

@@ -6,6 +6,9 @@ explicit raw schema, stamped with the bronze audit column, appended to the bronz
 Parquet table. ``availableNow`` processes what is there and stops (a scheduled run);
 the checkpoint (in the shared checkpoint folder) remembers the files already ingested,
 so a re-run, or a restart after a lost executor, never ingests a file twice.
+A streaming CSV source binds its schema by position, so the files of one stream must
+share the raw column order (``sources.files.read_feed_csv`` handles mixed orders in
+batch).
 """
 
 from __future__ import annotations
