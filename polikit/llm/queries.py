@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash, token_codes
+from . import decontaminate, language_id, mixing, simhash, token_codes
 from .common import table
 
 QUERIES: dict = {}
@@ -31,3 +31,19 @@ def op1_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language_id.fit_text_model(table(spark, sf_dir, "documents"))
+    return language_id.identify_pages(table(spark, sf_dir, "pages"), model)
+
+
+@query
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_digest(table(spark, sf_dir, "documents"))
