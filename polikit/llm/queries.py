@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, mixing, simhash, token_codes
+from . import decontaminate, html_extract, language_id, mixing, simhash, token_codes
 from .common import table
 
 QUERIES: dict = {}
@@ -47,3 +47,8 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
