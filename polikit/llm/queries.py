@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_extract, language_id, mixing, simhash, token_codes
+from . import decontaminate, html_extract, language_id, mixing, simhash, token_codes, vector_search
 from .common import table
 
 QUERIES: dict = {}
@@ -52,3 +52,26 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op8_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.search_every(table(spark, sf_dir, "embeddings"), 100)
+
+
+ORACLE["op8_vector_search"] = """
+WITH usable AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND list_bool_and(list_transform(embedding, x -> x IS NOT NULL AND isfinite(x)))
+      AND list_bool_or(list_transform(embedding, x -> x <> 0))
+), pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_sum(list_transform(
+        list_zip(q.v, c.v), z -> (z[1] - z[2]) * (z[1] - z[2])))) AS score
+    FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank,
+           vec_id, score FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
