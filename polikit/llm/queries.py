@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_extract, language_id, mixing, simhash, token_codes, vector_search
+from . import decontaminate, html_extract, language_id, mixing, simhash, token_codes, url_filter, vector_search
 from .common import table
 
 QUERIES: dict = {}
@@ -75,3 +75,9 @@ WITH usable AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+
+@query
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, url_filter.fit(pages))
