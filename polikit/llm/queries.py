@@ -4,8 +4,9 @@ parameters, to its whole table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, language_id, mixing, simhash, token_codes, url_filter, vector_search
+from . import chat_format, decontaminate, html_extract, language_id, license_scan, mixing, simhash, token_codes, url_filter, vector_search
 from .common import table
 
 QUERIES: dict = {}
@@ -81,3 +82,43 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return url_filter.judge(pages, url_filter.fit(pages))
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views = chat_format.rotate(table(spark, sf_dir, "conversations"))
+    span = lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string"))
+    return views.withColumn("spans", F.array_join(F.transform("spans", span), ","))
+
+
+ORACLE["op7_chat_rotation"] = r"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '< |') AS text,
+           CAST(coalesce(floor(turn / 256), -1) AS BIGINT) AS part
+    FROM conversations
+), speakers AS (
+    SELECT DISTINCT conv_id, role AS assistant FROM t WHERE role <> 'system'
+), seg AS (
+    SELECT t.conv_id, s.assistant, t.part, t.turn, t.role, t.text,
+           CASE WHEN t.role = s.assistant THEN '<|assistant|>' || chr(10)
+                WHEN t.role = 'system' THEN '<|system|>' || chr(10)
+                ELSE '<|user:' || t.role || '|>' || chr(10) END AS head,
+           t.text || '<|end|>' || chr(10) AS body
+    FROM t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
+), placed AS (
+    SELECT *, sum(length(head) + length(body)) OVER (
+               PARTITION BY conv_id, assistant, part ORDER BY turn NULLS FIRST, role, text
+               ROWS UNBOUNDED PRECEDING) AS upto
+    FROM seg
+)
+SELECT conv_id, assistant, part, CAST(0 AS BIGINT) AS piece, CAST(count(*) AS INTEGER) AS n_turns,
+       string_agg(head || body, '' ORDER BY turn NULLS FIRST, role, text) AS text,
+       coalesce(string_agg(CASE WHEN role = assistant THEN CAST(upto - length(body) AS BIGINT) || '-' || CAST(upto AS BIGINT) END,
+                           ',' ORDER BY turn NULLS FIRST, role, text), '') AS spans
+FROM placed GROUP BY conv_id, assistant, part
+"""
