@@ -11,10 +11,6 @@ def parse_date(col: Column, fmt: str) -> Column:
     return F.try_to_date(col, fmt)
 
 
-def format_date(col: Column, fmt: str) -> Column:
-    return F.date_format(col, fmt)
-
-
 def date_key(col: Column) -> Column:
     """DATE -> integer key YYYYMMDD (arithmetic, no string round-trip)."""
     return (F.year(col) * 10000 + F.month(col) * 100 + F.dayofmonth(col)).cast("int")

@@ -11,34 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_INT = "decimal(38,0)"
-
-
-def _pow10(n: int) -> Column:
-    return F.lit(10 ** n).cast(_INT)
-
-
-def ratio_half_up(num: Column | str, den: Column | str, digits: int, num_scale: int = 0,
-                  den_scale: int = 0) -> Column:
+def ratio_half_up(num: str, den: str, digits: int, num_scale: int = 0, den_scale: int = 0) -> Column:
     """round((num / den), digits) half away from zero, as double; null if den is 0 or null.
 
-    ``num`` and ``den`` are exact numbers with at most ``num_scale`` / ``den_scale``
-    decimals (integers when 0). Given as SQL text (column names or expressions), the
-    whole expression is built on the JVM side in one call; given as Columns, it is
-    composed with the Column API (same arithmetic, same result).
-    """
-    if isinstance(num, str) and isinstance(den, str):
-        return F.expr(ratio_half_up_sql(num, den, digits, num_scale, den_scale))
-    num_c = F.expr(num) if isinstance(num, str) else num
-    den_c = F.expr(den) if isinstance(den, str) else den
-    a = (num_c * _pow10(num_scale)).cast(_INT) * _pow10(den_scale + digits)
-    b = (den_c * _pow10(den_scale)).cast(_INT) * _pow10(num_scale)
-    two_a, two_b = F.abs(a) * F.lit(2).cast(_INT), F.abs(b) * F.lit(2).cast(_INT)
-    top = two_a + F.abs(b)
-    # floor(top / two_b) without decimal-division rounding: (top - top % two_b) / two_b is exact.
-    q = ((top - top % two_b) / two_b).cast("long")
-    signed = F.when((a < 0) != (b < 0), -q).otherwise(q)
-    return F.when(b != 0, signed.cast("double") / F.lit(float(10 ** digits)))
+    ``num`` and ``den`` are SQL texts of exact numbers with at most ``num_scale`` /
+    ``den_scale`` decimals (integers when 0)."""
+    return F.expr(ratio_half_up_sql(num, den, digits, num_scale, den_scale))
 
 
 def ratio_half_up_sql(num: str, den: str, digits: int, num_scale: int = 0, den_scale: int = 0) -> str:
@@ -50,18 +28,3 @@ def ratio_half_up_sql(num: str, den: str, digits: int, num_scale: int = 0, den_s
     q = f"((2 * abs({a}) + abs({b})) div (2 * abs({b})))"
     return (f"CASE WHEN {b} <> 0 THEN CAST(CASE WHEN ({a} < 0) <> ({b} < 0) THEN -{q} ELSE {q} END AS DOUBLE)"
             f" / CAST({10 ** digits} AS DOUBLE) END")
-
-
-def avg_half_up(col: Column, digits: int, scale: int = 0) -> Column:
-    """Aggregate: exact average of an exact column, rounded to ``digits``."""
-    return ratio_half_up(F.sum(col), F.count(col), digits, num_scale=scale)
-
-
-def sum_rounded(col: Column, digits: int) -> Column:
-    """Aggregate: exact decimal sum rounded half-up to ``digits`` then cast to double."""
-    return F.round(F.sum(col), digits).cast("double")
-
-
-def safe_ratio(num: Column, den: Column) -> Column:
-    """num / NULLIF(den, 0)."""
-    return F.try_divide(num, F.nullif(den, F.lit(0)))

@@ -42,8 +42,3 @@ def insr_type_name(code: Column, names: tuple[tuple[int, str], ...], unknown: st
 
 def claim_status(claim_paid: Column) -> Column:
     return F.when(claim_paid > 0, "With Claim").otherwise("No Claim")
-
-
-def not_in_domain(col: Column, domain) -> Column:
-    """True for a non-null value outside ``domain`` (null passes, like SQL NOT IN)."""
-    return ~col.isin(list(domain))

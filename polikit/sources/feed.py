@@ -1,6 +1,7 @@
 """The raw policy feed, derived from the TPC-H-like driver tables.
 
-One raw policy per ``lineitem`` row, inner-joined to its order, part and customer.
+One raw policy per ``lineitem`` row with its order, part and customer (left joins: a
+row without one of them stays, with nulls).
 Every value is an integer/decimal function of the inputs, so any engine computes
 the same rows. Dirty values (null/unknown SEX, unparseable dates, zero/negative
 money, repeated keys) are injected by fixed rules so every cleaning branch is hit.
@@ -21,7 +22,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import MONEY, PREMIUM, RAW_COLUMNS
-from .files import ensure_parallel
 
 # ---------------------------------------------------------------------------
 # Fixed values of the feed (fixture rules, shared with the SQL oracle):
@@ -63,16 +63,17 @@ def _type_code(p_type: Column) -> Column:
 
 def feed_with_period(spark: SparkSession, sf_dir: str, date_format: str = "dd-MMM-yy") -> DataFrame:
     """Feed rows plus a ``_early`` flag (first / second period file)."""
-    li = ensure_parallel(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"))
+        "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
     od = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice")
     pt = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_type", "p_brand", "p_size")
     cu = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_mktsegment")
     # customer is joined onto orders (4x fewer rows than lineitem) first, so without
     # broadcasts the lineitem-width stream is shuffled twice (order key, part key), not 3x.
-    oc = od.join(cu, od.o_custkey == cu.c_custkey)
-    j = li.join(oc, li.l_orderkey == oc.o_orderkey).join(pt, li.l_partkey == pt.p_partkey)
+    oc = od.join(cu, od.o_custkey == cu.c_custkey, "left")
+    j = (li.join(oc, li.l_orderkey == oc.o_orderkey, "left")
+         .join(pt, li.l_partkey == pt.p_partkey, "left"))
 
     ok, pk = F.col("l_orderkey"), F.col("l_partkey")
     bd = F.date_add(F.to_date("l_shipdate"), SHIFT_DAYS)
@@ -118,11 +119,11 @@ def policy_feed_files(spark: SparkSession, sf_dir: str, date_format: str = "dd-M
 
     The period test ``ship date + shift < split`` is applied as an equivalent bound on
     the raw ``l_shipdate`` column, so it reaches the Parquet scan (row-group pruning)
-    and each file joins only its own rows."""
+    and each file joins only its own rows. A row without a ship date is in the second."""
     f = feed_with_period(spark, sf_dir, date_format)
     ship = spark.read.parquet(f"{sf_dir}/lineitem.parquet").schema["l_shipdate"].dataType
     bound = F.lit(f"{PERIOD_SPLIT - _dt.timedelta(days=SHIFT_DAYS)} 00:00:00").cast(ship)
     early = F.col("l_shipdate") < bound
     first = f.filter(early).select(*RAW_COLUMNS)
-    second = f.filter(~early).select(*reversed(RAW_COLUMNS))
+    second = f.filter(~early | F.col("l_shipdate").isNull()).select(*reversed(RAW_COLUMNS))
     return first, second

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,51 +13,65 @@ from ..schemas import RAW_SCHEMA
 CORRUPT_COLUMN = "_corrupt_record"
 
 
-def read_csv(spark: SparkSession, path, schema: T.StructType = RAW_SCHEMA, options: dict | None = None,
-             keep_corrupt: bool = False) -> DataFrame:
-    """Header CSV with an explicit schema; caller options override the defaults.
+def _typed(text: Column, kind: T.DataType) -> Column:
+    """Text as ``kind``; null if it does not parse. Whole numbers may be written as decimals
+    (``2007.0``); a fraction is cut off, as a cast of the number would."""
+    if isinstance(kind, T.IntegralType):
+        return F.trim(text).try_cast("decimal(38,10)").try_cast(kind)
+    return text if isinstance(kind, T.StringType) else F.trim(text).try_cast(kind)
 
-    Malformed lines are kept (PERMISSIVE) with their text in ``_corrupt_record`` when
-    ``keep_corrupt``; otherwise the bad fields are null, as inference-free CSV reading does.
-    ``path`` may be one path or a list (a multi-file feed is one scan).
-    """
-    s = schema
-    if keep_corrupt:
-        s = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-    reader = spark.read.schema(s).option("header", True).option("mode", "PERMISSIVE")
+
+def _read_text(spark: SparkSession, path: str, options: dict | None, keep_corrupt: bool) -> DataFrame:
+    """One header CSV (file or folder) with every column as text under its header name."""
+    reader = spark.read.option("header", True).options(**(options or {}))
+    names = reader.csv(path).columns  # reads the header only
+    fields = [T.StructField(n, T.StringType()) for n in names]
     if keep_corrupt:
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-    for k, v in (options or {}).items():
-        reader = reader.option(k, v)
-    return reader.csv(path)
-
-
-def ensure_parallel(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores (e.g. a file
-    written as one row group). Round-robin by default (skew-free: later key-based
-    operators keep their own map-side partial aggregation); with ``keys``, hash-
-    partitioned so a following shuffle join on them reuses the partitioning. A scan with
-    enough splits is returned unchanged, so large inputs never pay an extra shuffle.
-    Deciding costs only split planning."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
-
-
-def read_feed_csv(spark: SparkSession, path, schema: T.StructType = RAW_SCHEMA,
-                  options: dict | None = None) -> DataFrame:
-    """A header CSV feed file read by column NAME, whatever its column order.
-
-    An explicit CSV schema binds columns by position; feed files whose columns come in
-    another order would be silently mis-read. Here every column is read as text under
-    its header name (no inference pass) and cast by name to ``schema``; a value that does
-    not parse becomes null (like PERMISSIVE mode), a missing column is an error."""
-    reader = spark.read.option("header", True).option("inferSchema", False)
-    for k, v in (options or {}).items():
-        reader = reader.option(k, v)
-    text = reader.csv(path)
-    return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
+        fields.append(T.StructField(CORRUPT_COLUMN, T.StringType()))
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+    return reader.schema(T.StructType(fields)).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType = RAW_SCHEMA,
+             options: dict | None = None, keep_corrupt: bool = False) -> DataFrame:
+    """Header CSV read by column NAME, whatever the column order of each path.
+
+    An explicit CSV schema binds columns by position, which silently mis-reads files in
+    another order. Here every column is read as text under its header name and cast by
+    name to ``schema``. A value that does not parse becomes null (``unparsed_counts``
+    counts them); a missing column is an error. A decimal with more places than its
+    column is rounded half up. With ``keep_corrupt`` the text of a line with too few or
+    too many fields, or with a value that does not parse, is kept in ``_corrupt_record``.
+    """
+    def one(p: str) -> DataFrame:
+        text = _read_text(spark, p, options, keep_corrupt)
+        out = [_typed(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields]
+        if keep_corrupt:
+            lost = reduce(lambda a, b: a | b, [_lost(f) for f in schema.fields])
+            line = F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in text.columns if c != CORRUPT_COLUMN])
+            out.append(F.coalesce(F.col(CORRUPT_COLUMN), F.when(lost, line)).alias(CORRUPT_COLUMN))
+        return text.select(*out)
+
+    paths = [path] if isinstance(path, str) else list(path)
+    return reduce(lambda a, b: a.unionByName(b), map(one, paths))
+
+
+def _lost(field: T.StructField) -> Column:
+    """Whether a text value is there but does not parse as the field's type."""
+    text = F.col(f"`{field.name}`")
+    return text.isNotNull() & (F.trim(text) != "") & _typed(text, field.dataType).isNull()
+
+
+def unparsed_counts(spark: SparkSession, path: str | list[str], schema: T.StructType = RAW_SCHEMA,
+                    options: dict | None = None) -> DataFrame:
+    """(column_name, unparsed_count): values that ``read_csv`` turns into null, in one pass."""
+    paths = [path] if isinstance(path, str) else list(path)
+    names = [f.name for f in schema.fields]
+    text = reduce(lambda a, b: a.unionByName(b),
+                  [_read_text(spark, p, options, False).select(*[f"`{n}`" for n in names]) for p in paths])
+    counts = text.agg(*[F.count_if(_lost(f)).alias(f.name) for f in schema.fields])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("column_name"), F.col(f"`{n}`").alias("unparsed_count")) for n in names])))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -87,10 +103,3 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
     for k, v in (properties or {}).items():
         w = w.option(k, v)
     w.save()
-
-
-def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None) -> DataFrame:
-    r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    for k, v in (properties or {}).items():
-        r = r.option(k, v)
-    return r.load()

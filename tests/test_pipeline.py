@@ -63,11 +63,11 @@ def test_year_partitioned_fact_prunes(spark, scratch):
 
 
 def test_pipeline_from_csv_feed_files(spark, scratch):
-    from polikit.sources.files import read_feed_csv, write_csv
+    from polikit.sources.files import read_csv, write_csv
     first, second = policy_feed_files(spark, SMOKE)
     write_csv(first, f"{scratch}/raw/motor_p1")
     write_csv(second, f"{scratch}/raw/motor_p2")
-    files_ = [read_feed_csv(spark, f"{scratch}/raw/motor_p1"), read_feed_csv(spark, f"{scratch}/raw/motor_p2")]
+    files_ = [read_csv(spark, f"{scratch}/raw/motor_p1"), read_csv(spark, f"{scratch}/raw/motor_p2")]
     from_csv = run_pipeline(spark, files_, f"{scratch}/csv_run")
     from_df = run_pipeline(spark, [first, second], f"{scratch}/df_run")
     assert from_csv.counts == from_df.counts

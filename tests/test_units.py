@@ -222,12 +222,12 @@ def test_feed_files_read_by_name_whatever_the_order(spark, scratch):
     from conftest import SMOKE
     from polikit.operators.clean import to_bronze
     from polikit.sources.feed import policy_feed_files
-    from polikit.sources.files import read_feed_csv, write_csv
+    from polikit.sources.files import read_csv, write_csv
     first, second = policy_feed_files(spark, SMOKE)  # second file has its columns reversed
     write_csv(first, f"{scratch}/p1")
     write_csv(second, f"{scratch}/p2")
     assert spark.read.option("header", True).csv(f"{scratch}/p2").columns[0] == "CLAIM_PAID"
-    got = to_bronze(read_feed_csv(spark, f"{scratch}/p1"), read_feed_csv(spark, f"{scratch}/p2"))
+    got = to_bronze(read_csv(spark, f"{scratch}/p1"), read_csv(spark, f"{scratch}/p2"))
     want = to_bronze(first, second)
     assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in want.schema]
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
