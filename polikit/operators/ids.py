@@ -1,18 +1,19 @@
-"""Dense surrogate keys and running sums along a total order, without a
-single-partition window.
+"""Dense surrogate keys along a total order, without a single-partition window.
 
 ``row_number() over (order by k)`` puts every row in one task. Instead:
 
-1. range-partition on the order (sampled bounds; a hot leading value is still split,
-   because the full order key is unique) and sort within partitions;
-2. in that same stage, record each row's range-partition id and its position in the
-   partition as columns, and write the rows as a staging Parquet table in the shared
-   checkpoint folder: ids no longer depend on any later re-execution (a lost executor
-   re-reads the staged files instead of re-sampling range bounds);
-3. count rows per range partition (a one-column scan; one row per partition, so the
+1. stage the rows, so that range sampling, counting and sorting read files and not the
+   plan that made them;
+2. range-partition on the order (sampled bounds; a hot leading value is still split,
+   because the full order key is unique) into as many partitions as the row count asks
+   for, and sort within partitions;
+3. in that same stage, record each row's range-partition id and its position in the
+   partition as columns, and stage the rows again: ids no longer depend on any later
+   re-execution (a lost executor re-reads the staged files instead of re-sampling);
+4. count rows per range partition (a one-column scan; one row per partition, so the
    offsets table is bounded by the partition count, not by the data) and take running
    offsets;
-4. id = offset(partition) + position + start, via a broadcast join on the partition id.
+5. id = offset(partition) + position + start, via a broadcast join on the partition id.
 
 The order must be total (unique) for the ids to be reproducible; ties are broken by
 whatever the sort does, like ``row_number``.
@@ -20,102 +21,51 @@ whatever the sort does, like ``row_number``.
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from .staging import stage_table
 
 _LOW33 = (1 << 33) - 1
 
+#: Rows that one range partition is meant to sort, unless the caller gives a count.
+ROWS_PER_PARTITION = 1_000_000
 
-def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back
-    (cuts lineage; the next reads see exactly the written rows)."""
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
-def _placed(df: DataFrame, order: list[Column], num_partitions: int | None, reuse_input: bool) -> DataFrame:
-    """Range-partition + sort, then stage with (_pid, _pos) columns.
-
-    Range partitioning samples its input in a separate job; ``reuse_input`` keeps the
-    input (memory, spilling to disk) for the sampling and the shuffle so it is computed
-    once. A lost cached block is recomputed from lineage, which is safe: the staged
-    positions come from sorting on a total order, not from arrival order."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    src = df.persist(StorageLevel.MEMORY_AND_DISK) if reuse_input else df
-    try:
-        ranged = src.repartitionByRange(n, *order).sortWithinPartitions(*order)
-        placed = ranged.select(F.spark_partition_id().alias("_pid"),
-                               (F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))).alias("_pos"), "*")
-        return stage_table(placed, "ranked")
-    finally:
-        if reuse_input:
-            src.unpersist()
-
-
-def _with_offsets(placed: DataFrame, weight: Column) -> DataFrame:
-    """Join each row to ``_off`` = total ``weight`` of all earlier partitions (and ``_total``).
-
-    The per-partition table has one row per partition (bounded by the partition count,
-    not by the data), so its running window and its broadcast are bounded too."""
-    per = placed.groupBy("_pid").agg(F.sum(weight).alias("_s"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per.select("_pid", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"),
-                         F.sum("_s").over(Window.partitionBy()).alias("_total"))
-    return placed.join(F.broadcast(offsets), "_pid")
+
+def partitions_for(rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
+    return max(1, -(-rows // rows_per_partition))
+
+
+def _located(df: DataFrame) -> DataFrame:
+    """``df`` with the partition (_pid) and the place in it (_pos) of each row."""
+    return df.select(F.spark_partition_id().alias("_pid"),
+                     F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33)).alias("_pos"), "*")
+
+
+def ranged(df: DataFrame, order: list[Column], num_partitions: int | None = None) -> DataFrame:
+    """``df`` range-partitioned and sorted, staged with (_pid, _pos)."""
+    src = stage_table(df, "unranked")
+    n = num_partitions or partitions_for(src.count())
+    return stage_table(_located(src.repartitionByRange(n, *order).sortWithinPartitions(*order)), "ranked")
 
 
 def _numbered(placed: DataFrame, columns: list[str], id_col: str, start: int, id_type: str) -> DataFrame:
-    out = _with_offsets(placed, F.lit(1))
+    per = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     ident = (F.col("_off") + F.col("_pos") + F.lit(start)).cast(id_type).alias(id_col)
-    return out.select(ident, *[F.col(c) for c in columns])
+    return placed.join(F.broadcast(offsets), "_pid").select(ident, *[F.col(c) for c in columns])
 
 
 def dense_ids(df: DataFrame, order: list[Column], id_col: str, num_partitions: int | None = None,
-              start: int = 1, id_type: str = "long", reuse_input: bool = False) -> DataFrame:
-    return _numbered(_placed(df, order, num_partitions, reuse_input), df.columns, id_col, start, id_type)
-
-
-def running_sum(df: DataFrame, order: list[Column], weight: str, out_col: str,
-                num_partitions: int | None = None, reuse_input: bool = True,
-                group_col: str | None = None) -> DataFrame:
-    """Inclusive running sum of ``weight`` along a total order, plus ``_total`` (grand sum).
-
-    Same layout as ``dense_ids``; the in-partition running sum is a window confined to
-    one range partition (bounded by the range split, not by a key). With ``group_col``
-    (the leading, ascending order column) each row also gets ``_group_start`` (weight of
-    all earlier groups) and ``_group_total``, from a per-group table computed on the
-    staged rows (one row per group, broadcast)."""
-    placed = _placed(df, order, num_partitions, reuse_input)
-    within = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = _with_offsets(placed, F.col(weight))
-    res = out.select(*[F.col(c) for c in df.columns], (F.col("_off") + F.sum(weight).over(within)).alias(out_col),
-                     "_total")
-    if group_col is None:
-        return res
-    per_group = placed.groupBy(group_col).agg(F.sum(weight).alias("_group_total"))
-    before = Window.orderBy(group_col).rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_group.select(group_col, "_group_total",
-                              F.coalesce(F.sum("_group_total").over(before), F.lit(0)).alias("_group_start"))
-    return res.join(F.broadcast(starts), group_col)
+              start: int = 1, id_type: str = "long") -> DataFrame:
+    return _numbered(ranged(df, order, num_partitions), df.columns, id_col, start, id_type)
 
 
 def storage_ids(table: DataFrame, id_col: str, start: int = 1, id_type: str = "long") -> DataFrame:
-    """Dense ids 1..N in storage order, with no shuffle of the rows.
-
-    ``table`` must be a scan of a written table followed only by deterministic row-local
-    operators (filters, projections): its splits and their row order are then fixed, so
-    the per-split counts (a scan of no data columns; one row per split, broadcast) and
-    the in-split positions agree between the two reads. For the row order of an
-    unordered ``ROW_NUMBER() OVER ()`` this avoids sorting the whole table."""
-    placed = table.select(F.spark_partition_id().alias("_pid"),
-                          (F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))).alias("_pos"), "*")
-    return _numbered(placed, table.columns, id_col, start, id_type)
+    """Dense ids 1..N in the order the rows are read, with no shuffle of the rows.
+
+    Partition, place and row are written together, and the counts are taken from what was
+    written, so ids are dense and unique however the input is split or re-read. For the row
+    order of an unordered ``ROW_NUMBER() OVER ()`` this avoids sorting the whole table."""
+    return _numbered(stage_table(_located(table), "located"), table.columns, id_col, start, id_type)

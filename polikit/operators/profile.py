@@ -6,19 +6,20 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import parse_date
-from ..functions.money import ratio_half_up
+from ..functions.money import ratio_half_up_sql
 from ..rules import DEFAULT_RULES
-from .ids import running_sum, stage_table
+from .ids import ranged
+from .staging import stage_table
 
 # ---------------------------------------------------------------------------
 # Fixed values of the EDA profile:
-#   frequency tables: TYPE_VEHICLE, USAGE, INSR_TYPE, SEX (all values),
-#                     MAKE and INSURED_VALUE (top 20)
+#   frequency tables: TYPE_VEHICLE, USAGE, INSR_TYPE, SEX, MAKE, INSURED_VALUE (all values)
+#   previews: the top 20 of MAKE and INSURED_VALUE
 #   percentile columns: PREMIUM, INSURED_VALUE, CCM_TON
 #   percentile labels / fractions: min 0, p25 0.25, median 0.5, p75 0.75, p95 0.95, p99 0.99, max 1
 #   data-driven segment cuts: 33rd and 66th percentile, labels Low / Medium / High
@@ -26,14 +27,14 @@ from .ids import running_sum, stage_table
 #   anomaly flag: SEX outside {0, 1} -> sex_flag
 #   numeric-code pattern: ^\d+$
 # ---------------------------------------------------------------------------
-FREQ_ALL = ["TYPE_VEHICLE", "USAGE", "INSR_TYPE", "SEX"]
+FREQ_COLUMNS = ["TYPE_VEHICLE", "USAGE", "INSR_TYPE", "SEX", "MAKE", "INSURED_VALUE"]
 FREQ_TOP = ["MAKE", "INSURED_VALUE"]
 FREQ_TOP_N = 20
 PERCENTILE_COLUMNS = ["PREMIUM", "INSURED_VALUE", "CCM_TON"]
 PERCENTILES = [("min", 0, 100), ("p25", 25, 100), ("median", 50, 100), ("p75", 75, 100), ("p95", 95, 100),
                ("p99", 99, 100), ("max", 100, 100)]
 SEGMENT_CUTS = [("p33", 33, 100), ("p66", 66, 100)]
-DESCRIBE_COLUMNS = ["SEX", "INSR_TYPE", "OBJECT_ID", "PROD_YEAR", "SEATS_NUM"]
+APPROX_ACCURACY = 10_000
 NUMERIC_CODE = r"^\d+$"
 
 
@@ -50,22 +51,21 @@ def _long_sql(df: DataFrame, structs: list[str]) -> DataFrame:
     return df.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
-def value_counts(df: DataFrame, all_columns=FREQ_ALL, top_columns=FREQ_TOP, top_n: int = FREQ_TOP_N) -> DataFrame:
-    """(column_name, value, row_count): every value of ``all_columns``, the top ``top_n``
-    of ``top_columns`` (count desc, value asc).
-
-    One scan and one partially-aggregated shuffle of (column, value) pairs, staged (one
-    row per distinct pair, far fewer than the rows) so the per-column branches read the
-    staged counts instead of each rescanning the input; top-k per column is a
-    distributed take-ordered, never a window over all values of a column."""
-    cols = list(all_columns) + list(top_columns)
-    pairs = _long_sql(df, [f"named_struct('column_name', '{c}', 'value', CAST({_q(c)} AS STRING))" for c in cols])
-    counts = stage_table(pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("row_count")),
-                         "value_counts")
-    parts = [counts.filter(F.col("column_name").isin(list(all_columns)))]
-    for c in top_columns:
-        parts.append(counts.filter(F.col("column_name") == c)
-                     .orderBy(F.desc("row_count"), F.asc_nulls_last("value")).limit(top_n))
+def value_counts(df: DataFrame, columns=FREQ_COLUMNS) -> DataFrame:
+    """(column_name, value, row_count): every value of every column, from one scan and one
+    partially aggregated shuffle of (column, value) pairs."""
+    pairs = _long_sql(df, [f"named_struct('column_name', '{c}', 'value', CAST({_q(c)} AS STRING))" for c in columns])
+    return pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def top_values(df: DataFrame, columns=FREQ_TOP, top_n: int = FREQ_TOP_N) -> DataFrame:
+    """The ``top_n`` most frequent values of each column (count desc, value asc), for a preview.
+
+    The pair counts are staged (one row per distinct pair), so the per-column branches do
+    not rescan the input; each is a distributed take-ordered, not a window over all values."""
+    counts = stage_table(value_counts(df, columns), "value_counts")
+    parts = [counts.filter(F.col("column_name") == c)
+             .orderBy(F.desc("row_count"), F.asc_nulls_last("value")).limit(top_n) for c in columns]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -87,42 +87,49 @@ def _common_type(df: DataFrame, columns) -> str:
     return "double"
 
 
-def percentiles_exact(df: DataFrame, columns=PERCENTILE_COLUMNS, probs=PERCENTILES) -> DataFrame:
+def _target_rank(n: Column, num: int, den: int) -> Column:
+    """ceil(n * num / den), at least 1, in integers."""
+    up = n * num + (den - 1)
+    return F.greatest(F.lit(1).cast("long"), ((up - F.pmod(up, F.lit(den))) / den).cast("long"))
+
+
+def percentiles_exact(df: DataFrame, columns=PERCENTILE_COLUMNS, probs=PERCENTILES,
+                      num_partitions: int | None = None) -> DataFrame:
     """Discrete percentiles (the first value whose cumulative share reaches p), exact and
     distributed, for several columns in one pass:
 
-    (column, value) pairs -> distinct pairs with counts (partial aggregation) -> running
-    count along (column, value) (range-partitioned, ``ids.running_sum``) -> rank within
-    the column = running count - rows of the earlier columns (from a table with one row
-    per column) -> each pair emits the labels whose target rank it covers.
-    No aggregate ever holds all values of a column in one buffer.
+    (column, value) pairs -> distinct pairs with counts (partial aggregation) -> range-
+    partitioned and staged (``ids.ranged``) -> rows per (column, partition), a table bounded by
+    the partition count -> from that, the partitions that hold a target rank -> a running count
+    within those partitions only. No aggregate ever holds all values of a column in one
+    buffer, and values in partitions without a target are never ranked.
     """
     columns = list(columns)
     vt = _common_type(df, columns)
     pairs = _long_sql(df, [f"named_struct('_c', '{c}', '_v', CAST({_q(c)} AS {vt}))" for c in columns])
     vc = pairs.filter(F.col("_v").isNotNull()).groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_w"))
-    cum = running_sum(vc, [F.col("_c").asc(), F.col("_v").asc()], "_w", "_cum", group_col="_c")
-    ranked = cum.select("_c", "_v", "_w", (F.col("_cum") - F.col("_group_start")).alias("_rank"),
-                        F.col("_group_total").alias("_n"))
-    n = F.col("_n")
-    targets = F.array(*[
-        F.struct(F.lit(lbl).alias("label"), F.lit(i).alias("ord"),
-                 F.greatest(F.lit(1).cast("long"),
-                            ((n * num + (den - 1)) - F.pmod(n * num + (den - 1), F.lit(den))) / den)
-                 .cast("long").alias("r"))
-        for i, (lbl, num, den) in enumerate(probs)])
-    hit = F.filter(targets, lambda t: (t["r"] > F.col("_rank") - F.col("_w")) & (t["r"] <= F.col("_rank")))
+    placed = ranged(vc, [F.col("_c").asc(), F.col("_v").asc()], num_partitions)
+    per = placed.groupBy("_c", "_pid").agg(F.sum("_w").alias("_s"))
+    earlier = Window.partitionBy("_c").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("_c", "_pid", "_s", F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_before"),
+                     F.sum("_s").over(Window.partitionBy("_c")).alias("_n"))
+    targets = F.array(*[F.struct(F.lit(lbl).alias("label"), F.lit(i).alias("ord"),
+                                 _target_rank(F.col("_n"), num, den).alias("r"))
+                        for i, (lbl, num, den) in enumerate(probs)])
+    here = F.filter(targets, lambda t: (t["r"] > F.col("_before")) & (t["r"] <= F.col("_before") + F.col("_s")))
+    holding = per.select("_c", "_pid", "_before", here.alias("_t")).filter(F.size("_t") > 0)  # at most one a target
+    within = Window.partitionBy("_c", "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rank = F.col("_before") + F.sum("_w").over(within)
+    ranked = placed.join(F.broadcast(holding), ["_c", "_pid"]).select("_c", "_v", "_w", "_t", rank.alias("_rank"))
+    hit = F.filter("_t", lambda t: (t["r"] > F.col("_rank") - F.col("_w")) & (t["r"] <= F.col("_rank")))
     return (ranked.select("_c", "_v", F.explode(hit).alias("t"))
             .select(F.col("_c").alias("column_name"), F.col("t.label").alias("percentile"),
-                    F.col("t.ord").alias("ordinal"), F.col("_v").cast("double").alias("value")))
-
-
-def exact_percentiles(df: DataFrame, column: str, probs=PERCENTILES) -> DataFrame:
-    return percentiles_exact(df, [column], probs)
+                    F.col("t.ord").alias("ordinal"), F.col("_v").alias("exact_value"),
+                    F.col("_v").cast("double").alias("value")))
 
 
 def percentiles_approx(df: DataFrame, columns=PERCENTILE_COLUMNS, probs=PERCENTILES,
-                       accuracy: int = 10000) -> DataFrame:
+                       accuracy: int = APPROX_ACCURACY) -> DataFrame:
     """Mergeable-sketch percentiles (``percentile_approx``), one aggregate for all columns."""
     fr = [num / den for _, num, den in probs]
     agg = df.agg(*[F.percentile_approx(F.col(c).cast("double"), fr, accuracy).alias(c) for c in columns])
@@ -132,21 +139,56 @@ def percentiles_approx(df: DataFrame, columns=PERCENTILE_COLUMNS, probs=PERCENTI
     return _long(agg, entries)
 
 
-def describe(df: DataFrame, columns=DESCRIBE_COLUMNS) -> DataFrame:
-    """count, mean (exact, 4 decimals), sample stddev (4 decimals), min, max per column; one pass."""
-    aggs = []
+def approx_rank_check(df: DataFrame, columns=PERCENTILE_COLUMNS, probs=PERCENTILES,
+                      accuracy: int = APPROX_ACCURACY) -> DataFrame:
+    """(column_name, percentile, ordinal, within_bound): whether the exact rank of each value of
+    ``percentiles_approx`` is within rows / accuracy of the rank asked for. One more pass;
+    only the (columns x percentiles) approximate values pass through the driver."""
+    found = {(r["column_name"], r["percentile"]): r["value"] for r in percentiles_approx(df, columns, probs, accuracy).collect()}
+    aggs = [F.count(c).alias(f"{c}__n") for c in columns]
+    for c in columns:
+        x = F.col(c).cast("double")
+        for i, (lbl, _, _) in enumerate(probs):
+            v = F.lit(found[(c, lbl)]).cast("double")
+            aggs += [F.count_if(x < v).alias(f"{c}__{i}__below"), F.count_if(x <= v).alias(f"{c}__{i}__upto")]
+    entries = []
+    for c in columns:
+        n = F.col(f"{c}__n")
+        for i, (lbl, num, den) in enumerate(probs):
+            asked, slack = n * num / den, n / accuracy + 1
+            ok = (F.col(f"{c}__{i}__below") - slack <= asked) & (asked <= F.col(f"{c}__{i}__upto") + slack)
+            entries.append(F.struct(F.lit(c).alias("column_name"), F.lit(lbl).alias("percentile"),
+                                    F.lit(i).alias("ordinal"), ok.alias("within_bound")))
+    return _long(df.agg(*aggs), entries)
+
+
+def describe(df: DataFrame, columns=None) -> DataFrame:
+    """count, mean, sample stddev, min and max (as text) of every column; one pass.
+
+    Means of exact numbers are exact, rounded to 4 decimals. A standard deviation is a
+    sum of doubles, whose last digits depend on the order of the rows: it is given to 6
+    significant digits. Text columns have no mean and no stddev."""
+    columns = list(columns or df.columns)
+    kinds = {c: df.schema[c].dataType for c in columns}
+    aggs, entries = [], []
     for c in columns:
-        x = _q(c)
-        aggs += [f"count({x}) AS `{c}__n`", f"sum(CAST({x} AS DECIMAL(38,0))) AS `{c}__s`",
-                 f"stddev_samp(CAST({x} AS DOUBLE)) AS `{c}__sd`", f"CAST(min({x}) AS DOUBLE) AS `{c}__min`",
-                 f"CAST(max({x}) AS DOUBLE) AS `{c}__max`"]
-    agg = df.selectExpr(*aggs)
-    from ..functions.money import ratio_half_up_sql
-    entries = [f"named_struct('column_name', '{c}', 'n', `{c}__n`, "
-               f"'mean', {ratio_half_up_sql(f'`{c}__s`', f'`{c}__n`', 4)}, "
-               f"'stddev', round(`{c}__sd`, 4), 'min_value', `{c}__min`, 'max_value', `{c}__max`)"
-               for c in columns]
-    return _long_sql(agg, entries)
+        x, kind = _q(c), kinds[c]
+        aggs += [f"count({x}) AS `{c}__n`", f"min({x}) AS `{c}__min`", f"max({x}) AS `{c}__max`"]
+        mean, spread = "CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)"
+        if isinstance(kind, T.NumericType):
+            scale = kind.scale if isinstance(kind, T.DecimalType) else 0
+            aggs += [f"sum(CAST({x} AS DECIMAL(38,{scale}))) AS `{c}__s`",
+                     f"stddev_samp(CAST({x} AS DOUBLE)) AS `{c}__sd`"]
+            mean = ratio_half_up_sql(f"`{c}__s`", f"`{c}__n`", 4, scale)
+            spread = significant_sql(f"`{c}__sd`", 6)
+        entries.append(f"named_struct('column_name', '{c}', 'n', `{c}__n`, 'mean', {mean}, 'stddev', {spread}, "
+                       f"'min_value', CAST(`{c}__min` AS STRING), 'max_value', CAST(`{c}__max` AS STRING))")
+    return _long_sql(df.selectExpr(*aggs), entries)
+
+
+def significant_sql(x: str, digits: int) -> str:
+    """SQL text: a double with ``digits`` significant digits, as text read back, so engines agree."""
+    return f"CAST(format_string('%.{digits - 1}e', {x}) AS DOUBLE)"
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -177,19 +219,19 @@ def _segment(x: Column, lo: Column, hi: Column) -> Column:
 def quantile_segments(silver: DataFrame, cuts=SEGMENT_CUTS) -> DataFrame:
     """Low / Medium / High from the data's own 33rd / 66th percentiles (a proposed rule).
 
-    The four cut values come from one percentile pass (staged: four rows) and are
+    Cuts and values are compared as decimals. The four cut values come from one percentile pass (staged: four rows) and are
     attached as scalar subqueries (evaluated once, inlined as values): no join with
     the policy rows."""
     cuts = stage_table(percentiles_exact(silver, ["premium", "insured_value"], cuts), "cuts")
 
     def cut(column: str, label: str) -> Column:
         return cuts.filter((F.col("column_name") == column) & (F.col("percentile") == label)) \
-            .agg(F.max("value")).scalar()
+            .agg(F.max("exact_value")).scalar()
     prem_lo, prem_hi = cut("premium", "p33"), cut("premium", "p66")
     val_lo, val_hi = cut("insured_value", "p33"), cut("insured_value", "p66")
     return silver.select("object_id", "insr_begin", "insr_end",
-                         _segment(F.col("premium").cast("double"), prem_lo, prem_hi).alias("premium_segment_q"),
-                         _segment(F.col("insured_value").cast("double"), val_lo, val_hi).alias("value_segment_q"))
+                         _segment(F.col("premium"), prem_lo, prem_hi).alias("premium_segment_q"),
+                         _segment(F.col("insured_value"), val_lo, val_hi).alias("value_segment_q"))
 
 
 def effective_year(df: DataFrame, column: str = "effective_yr", out: str = "effective_year") -> DataFrame:

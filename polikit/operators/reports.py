@@ -105,10 +105,9 @@ def q05_renewals(star: Star, rules: PolicyRules = DEFAULT_RULES) -> DataFrame:
 def q06_risk_distribution(star: Star, rules: PolicyRules = DEFAULT_RULES) -> DataFrame:
     counts = star["fact_policies"].groupBy("risk_score").agg(F.count(F.lit(1)).alias("policy_count"))
     # Window over the aggregated rows only (one per risk score: bounded by the score domain).
-    total = F.sum("policy_count").over(Window.partitionBy())
-    return (counts.select("risk_score", "policy_count",
-                          ratio_half_up(F.col("policy_count") * 100, total, 2).alias("pct"))
-            .orderBy("risk_score"))
+    counts = counts.withColumn("all_policies", F.sum("policy_count").over(Window.partitionBy()))
+    share = ratio_half_up("policy_count * 100", "all_policies", 2)
+    return counts.select("risk_score", "policy_count", share.alias("pct")).orderBy("risk_score")
 
 
 def q07_segment_mix(star: Star, rules: PolicyRules = DEFAULT_RULES) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import policy as P
@@ -25,17 +25,17 @@ def dim_vehicle(gold: DataFrame, rules: PolicyRules = DEFAULT_RULES, num_partiti
     """Distinct vehicle attribute combinations with a dense id in attribute order (nulls last)."""
     attrs = list(rules.vehicle_attributes)
     distinct = gold.select(*attrs).distinct()
-    return dense_ids(distinct, [F.col(a).asc_nulls_last() for a in attrs], "vehicle_id",
-                     num_partitions, id_type="int", reuse_input=True)
+    return dense_ids(distinct, [F.col(a).asc_nulls_last() for a in attrs], "vehicle_id", num_partitions, id_type="int")
 
 
 def dim_insurance_type(gold: DataFrame, rules: PolicyRules = DEFAULT_RULES) -> DataFrame:
+    """One row per type code. The codes are a fixed code list (a handful), so a plain window
+    over the distinct codes numbers them; no range partitioning."""
     codes = gold.select(F.col("insr_type").alias("insr_type_code")).distinct()
-    ided = dense_ids(codes, [F.col("insr_type_code").asc_nulls_last()], "insurance_type_id", id_type="int",
-                     reuse_input=True)
-    return ided.select("insurance_type_id", "insr_type_code",
-                       P.insr_type_name(F.col("insr_type_code"), rules.insr_type_names,
-                                        rules.unknown_type_name).alias("insr_type_name"))
+    number = F.row_number().over(Window.orderBy(F.col("insr_type_code").asc_nulls_last()))
+    return codes.select(number.alias("insurance_type_id"), "insr_type_code",
+                        P.insr_type_name(F.col("insr_type_code"), rules.insr_type_names,
+                                         rules.unknown_type_name).alias("insr_type_name"))
 
 
 def dim_date(spark: SparkSession, rules: PolicyRules = DEFAULT_RULES) -> DataFrame:
@@ -69,37 +69,36 @@ def fact_policies(gold: DataFrame, vehicles: DataFrame, types: DataFrame, rules:
 
     The dimensions are built from this same gold, so each kept gold row matches exactly
     one vehicle (null-safe on all six attributes) and one type: the inner joins keep the
-    row count. The ids are therefore assigned to the gold rows first (range sampling
-    scans gold only) and the dimension lookups run once, on the staged rows.
+    row count. The lookups come first, so what is staged, sampled and sorted for the ids
+    are the narrow fact rows (date keys are in date order).
 
-    ``ordered_ids=False`` (gold read from a written table) numbers the rows in storage
-    order instead: no sort of the fact, ids dense and unique but not in date order."""
+    ``ordered_ids=False`` numbers the rows in storage order instead: no sort of the
+    fact, ids dense and unique but not in date order."""
     attrs = list(rules.vehicle_attributes)
-    rows = gold.filter(F.col("insr_type").isNotNull()).select(
-        "object_id", "insr_begin", "insr_end", "insr_type", *attrs, *[c for c, _ in FACT_MEASURE_COLUMNS])
-    order = [F.col("insr_begin").asc_nulls_last(), F.col("insr_end").asc_nulls_last(),
-             F.col("object_id").asc_nulls_last()]
-    ided = dense_ids(rows, order, "fact_id", num_partitions) if ordered_ids else storage_ids(rows, "fact_id")
-    g = null_safe_join(ided, vehicles, attrs)
+    g = null_safe_join(gold.filter(F.col("insr_type").isNotNull()), vehicles, attrs)
     g = g.join(types.select("insurance_type_id", "insr_type_code"),
                g["insr_type"] == F.col("insr_type_code"), "inner")
-    return g.select(
-        "fact_id",
+    rows = g.select(
         F.col("object_id").cast("long").alias("object_id"),
         "vehicle_id", "insurance_type_id",
         date_key(F.col("insr_begin")).alias("insr_begin_id"),
         date_key(F.col("insr_end")).alias("insr_end_id"),
         *[(F.col(c).cast(t) if t else F.col(c)).alias(c) for c, t in FACT_MEASURE_COLUMNS],
     )
+    order = [F.col(c).asc_nulls_last() for c in ("insr_begin_id", "insr_end_id", "object_id")]
+    return dense_ids(rows, order, "fact_id", num_partitions) if ordered_ids else storage_ids(rows, "fact_id")
 
 
-def build_star(gold: DataFrame, rules: PolicyRules = DEFAULT_RULES, ordered_fact_ids: bool = True) -> dict[str, DataFrame]:
+def build_star(gold: DataFrame, rules: PolicyRules = DEFAULT_RULES, ordered_fact_ids: bool = True,
+               fact_partitions: int | None = None, vehicle_partitions: int | None = None) -> dict[str, DataFrame]:
+    """The four tables. ``gold`` is read several times: pass a written table. Partition counts are
+    those of the range sorts; by default they follow the row counts (``ids.ROWS_PER_PARTITION``)."""
     spark = gold.sparkSession
-    vehicles = dim_vehicle(gold, rules)
+    vehicles = dim_vehicle(gold, rules, vehicle_partitions)
     types = dim_insurance_type(gold, rules)
     return {
         "dim_vehicle": vehicles,
         "dim_insurance_type": types,
         "dim_date": dim_date(spark, rules),
-        "fact_policies": fact_policies(gold, vehicles, types, rules, ordered_ids=ordered_fact_ids),
+        "fact_policies": fact_policies(gold, vehicles, types, rules, fact_partitions, ordered_fact_ids),
     }

@@ -8,15 +8,24 @@ from pyspark.sql import types as T
 
 from ..operators.clean import to_bronze, to_silver
 from ..operators.lifecycle import to_gold
+from ..operators.staging import stage_table
 from ..operators.star import build_star
 from ..rules import DEFAULT_RULES, PolicyRules
-from ..sources.feed import policy_feed_files
+from ..sources.feed import policy_feed, policy_feed_files
 
+FEED_TABLES = ("lineitem", "orders", "part", "customer")
 
-def bronze(spark: SparkSession, sf_dir: str, rules: PolicyRules = DEFAULT_RULES) -> DataFrame:
+
+def bronze_of_files(spark: SparkSession, sf_dir: str, rules: PolicyRules = DEFAULT_RULES) -> DataFrame:
+    """Bronze as the two period files united by name (each file joins its own rows)."""
     return to_bronze(*policy_feed_files(spark, sf_dir, rules.date_format))
 
 
+def bronze(spark: SparkSession, sf_dir: str, rules: PolicyRules = DEFAULT_RULES) -> DataFrame:
+    """The same rows as ``bronze_of_files`` from one pass over the feed."""
+    return to_bronze(policy_feed(spark, sf_dir, rules.date_format))
+
+
 def silver(spark: SparkSession, sf_dir: str, rules: PolicyRules = DEFAULT_RULES) -> DataFrame:
     return to_silver(bronze(spark, sf_dir, rules), rules)
 
@@ -25,16 +34,32 @@ def gold(spark: SparkSession, sf_dir: str, rules: PolicyRules = DEFAULT_RULES) -
     return to_gold(silver(spark, sf_dir, rules), rules)
 
 
+#: Written star tables by what they were made from (see ``star``).
 _STARS: dict[tuple, dict[str, DataFrame]] = {}
 
 
+def _input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """(path, bytes, time of change) of every input file: another state, another star."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for name in FEED_TABLES:
+        top = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        files = top.getFileSystem(conf).listFiles(top, True)
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 def star(spark: SparkSession, sf_dir: str, rules: PolicyRules = DEFAULT_RULES) -> dict[str, DataFrame]:
-    """The star schema over the whole input tables. Its surrogate keys are staged in the
-    checkpoint folder, so it is built once per session and input folder and then
-    shared by every report over it (as the written star tables are in the pipeline)."""
-    key = (spark.sparkContext.applicationId, spark.sparkContext.getCheckpointDir(), sf_dir, rules)
+    """The star schema over the whole input tables, as written tables in the checkpoint
+    folder: gold is written once, the star is built from that. Reports over the same input
+    files (their paths, sizes and times of change) share one star, as they share the
+    written star tables in the pipeline."""
+    key = (spark.sparkContext.applicationId, spark.sparkContext.getCheckpointDir(), rules, _input_state(spark, sf_dir))
     if key not in _STARS:
-        _STARS[key] = build_star(gold(spark, sf_dir, rules), rules)
+        written = stage_table(gold(spark, sf_dir, rules), "gold")
+        _STARS[key] = {name: stage_table(df, name) for name, df in build_star(written, rules).items()}
     return _STARS[key]
 
 

@@ -63,9 +63,9 @@ CTES: list[tuple[str, str]] = [
          CAST(l.l_shipdate AS DATE) + 6300 AS bd, o.o_custkey AS ck, o.o_totalprice AS tp,
          p.p_type AS ptype, p.p_brand AS brand, p.p_size AS psize, c.c_mktsegment AS seg
   FROM lineitem l
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN part p ON l.l_partkey = p.p_partkey
-  JOIN customer c ON o.o_custkey = c.c_custkey"""),
+  LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN part p ON l.l_partkey = p.p_partkey
+  LEFT JOIN customer c ON o.o_custkey = c.c_custkey"""),
     ("feed", f"""
   SELECT
     CAST(CASE WHEN ok % 1013 = 0 THEN NULL WHEN ok % 1009 = 0 THEN 9 ELSE ck % 3 END AS INTEGER) AS SEX,

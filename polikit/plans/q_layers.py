@@ -24,7 +24,7 @@ def _iso(col: str) -> str:
 
 @register("st_bronze", O.with_ctes("bronze", f"SELECT {O.portable(O.RAW)} FROM bronze"))
 def st_bronze(spark, sf):
-    return L.portable(L.bronze(spark, sf))
+    return L.portable(L.bronze_of_files(spark, sf))
 
 
 @register("so_union_by_name", O.with_ctes(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from ..rules import DEFAULT_RULES as R
 from ..schemas import RAW_SCHEMA
 from ..session import ensure_checkpoint_dir
 from ..sources import files
+from ..sources.feed import policy_feed_files
 from . import layers as L
 from . import oracle as O
 from .registry import register
@@ -236,20 +238,22 @@ def dq_report_lines(spark, sf):
 
 # -- profiling -------------------------------------------------------------------------------
 
-def _vc_sql():
-    parts = [f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS row_count FROM bronze GROUP BY 2"
-             for c in PF.FREQ_ALL]
-    parts += [f"SELECT * FROM (SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS row_count "
-              f"FROM bronze GROUP BY 2 ORDER BY row_count DESC, value ASC NULLS LAST LIMIT 20) t{i}"
-              for i, c in enumerate(PF.FREQ_TOP)]
-    return union(parts)
+def _counts_sql(column: str) -> str:
+    return f"SELECT '{column}' AS column_name, CAST({column} AS VARCHAR) AS value, count(*) AS row_count FROM bronze GROUP BY 2"
 
 
-@register("prf_value_counts", O.with_ctes("bronze", _vc_sql()))
+@register("prf_value_counts", O.with_ctes("bronze", union([_counts_sql(c) for c in PF.FREQ_COLUMNS])))
 def prf_value_counts(spark, sf):
     return PF.value_counts(L.bronze(spark, sf))
 
 
+@register("prf_top_values", O.with_ctes("bronze", union([
+    f"SELECT * FROM ({_counts_sql(c)} ORDER BY row_count DESC, value ASC NULLS LAST LIMIT 20) t{i}"
+    for i, c in enumerate(PF.FREQ_TOP)])))
+def prf_top_values(spark, sf):
+    return PF.top_values(L.bronze(spark, sf))
+
+
 @register("prf_date_range", O.with_ctes("bronze", f"""
 SELECT strftime(min({parse_sql('INSR_BEGIN')}), '%Y-%m-%d') AS min_insr_begin,
        strftime(max({parse_sql('INSR_BEGIN')}), '%Y-%m-%d') AS max_insr_begin,
@@ -271,18 +275,30 @@ def _pct_sql(src, col, probs):
 @register("prf_percentiles_exact", O.with_ctes("bronze", union(
     [_pct_sql("bronze", c, PF.PERCENTILES) for c in PF.PERCENTILE_COLUMNS])))
 def prf_percentiles_exact(spark, sf):
-    return PF.percentiles_exact(L.bronze(spark, sf))
+    return PF.percentiles_exact(L.bronze(spark, sf)).drop("exact_value")
 
 
-@register("prf_percentiles_approx")
+@register("prf_percentiles_approx", O.with_ctes("bronze", union([
+    f"SELECT '{c}' AS column_name, '{lbl}' AS percentile, {i} AS ordinal, count({c}) > 0 AS within_bound FROM bronze"
+    for c in PF.PERCENTILE_COLUMNS for i, (lbl, _, _) in enumerate(PF.PERCENTILES)])))
 def prf_percentiles_approx(spark, sf):
-    return PF.percentiles_approx(L.bronze(spark, sf))
+    return PF.approx_rank_check(L.bronze(spark, sf))
+
+
+_SCALES = {"INSURED_VALUE": 2, "PREMIUM": 4, "CARRYING_CAPACITY": 2, "CCM_TON": 2, "CLAIM_PAID": 2}
+_TEXTS = ("INSR_BEGIN", "INSR_END", "EFFECTIVE_YR", "TYPE_VEHICLE", "MAKE", "USAGE")
 
 
-@register("prf_describe", O.with_ctes("bronze", union([
-    f"SELECT '{c}' AS column_name, count({c}) AS n, {O.rhu(f'SUM({c})', f'COUNT({c})', 4)} AS mean, "
-    f"round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS stddev, CAST(min({c}) AS DOUBLE) AS min_value, "
-    f"CAST(max({c}) AS DOUBLE) AS max_value FROM bronze" for c in PF.DESCRIBE_COLUMNS])))
+def _describe_sql(c: str) -> str:
+    mean, spread = "CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)"
+    if c not in _TEXTS:
+        mean = O.rhu(f"SUM({c})", f"COUNT({c})", 4, _SCALES.get(c, 0))
+        spread = f"CAST(printf('%.5e', stddev_samp(CAST({c} AS DOUBLE))) AS DOUBLE)"
+    return (f"SELECT '{c}' AS column_name, count({c}) AS n, {mean} AS mean, {spread} AS stddev, "
+            f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM bronze")
+
+
+@register("prf_describe", O.with_ctes("bronze", union([_describe_sql(c) for c in O.RAW])))
 def prf_describe(spark, sf):
     return PF.describe(L.bronze(spark, sf))
 
@@ -301,14 +317,13 @@ def prf_null_or_empty(spark, sf):
 
 
 def _cut_sql(col, ord_):
-    return (f"(SELECT CAST(x AS DOUBLE) FROM (SELECT {col} AS x, row_number() OVER (ORDER BY {col}) AS rn, "
+    return (f"(SELECT x FROM (SELECT {col} AS x, row_number() OVER (ORDER BY {col}) AS rn, "
             f"count(*) OVER () AS n FROM silver WHERE {col} IS NOT NULL) r "
             f"WHERE rn = greatest(1, ({ord_} * n + 99) // 100))")
 
 
 def _seg_sql(col, lo, hi):
-    x = f"CAST({col} AS DOUBLE)"
-    return (f"CASE WHEN {col} IS NULL THEN 'Unknown' WHEN {x} < {lo} THEN 'Low' WHEN {x} < {hi} THEN 'Medium' "
+    return (f"CASE WHEN {col} IS NULL THEN 'Unknown' WHEN {col} < {lo} THEN 'Low' WHEN {col} < {hi} THEN 'Medium' "
             f"ELSE 'High' END")
 
 
@@ -357,6 +372,15 @@ def src_csv_roundtrip(spark, sf):
     return L.portable(files.read_csv(spark, path, RAW_SCHEMA))
 
 
+@register("src_csv_two_files", O.with_ctes("bronze", f"SELECT {O.portable(O.RAW)} FROM bronze"))
+def src_csv_two_files(spark, sf):
+    """The two period files, whose columns come in different orders, written, read and united."""
+    paths = [_scratch(spark, "period_csv") for _ in range(2)]
+    for df, path in zip(policy_feed_files(spark, sf), paths, strict=True):
+        files.write_csv(df, path)
+    return L.portable(files.read_csv(spark, paths, RAW_SCHEMA))
+
+
 @register("snk_parquet_roundtrip", O.with_ctes("gold", f"SELECT {O.portable(O.GOLD)} FROM gold"))
 def snk_parquet_roundtrip(spark, sf):
     path = _scratch(spark, "gold_parquet")
@@ -364,19 +388,27 @@ def snk_parquet_roundtrip(spark, sf):
     return L.portable(files.read_parquet(spark, path))
 
 
-@register("snk_star_tables", O.with_ctes("fact", """
-SELECT 'dim_vehicle' AS table_name, count(*) AS row_count FROM dim_vehicle
-UNION ALL SELECT 'dim_insurance_type', count(*) FROM dim_insurance_type
-UNION ALL SELECT 'dim_date', count(*) FROM dim_date
-UNION ALL SELECT 'fact_policies', count(*) FROM fact"""))
+_KEY_TEXT = {"dim_vehicle": ["vehicle_id", "make", "type_vehicle", "seats_num", "usage"],
+             "dim_insurance_type": ["insurance_type_id", "insr_type_code", "insr_type_name"],
+             "dim_date": ["date_id", "year", "quarter", "month", "month_name", "day", "day_of_week", "day_name"],
+             "fact_policies": ["fact_id", "object_id", "vehicle_id", "insurance_type_id", "insr_begin_id", "insr_end_id",
+                               "prod_year", "sex", "policy_duration_days", "vehicle_age", "premium_segment",
+                               "value_segment", "lifecycle_status", "risk_score"]}
+
+
+def _row_text_sql(table: str) -> str:
+    cols = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in _KEY_TEXT[table])
+    return f"SELECT '{table}' AS table_name, {cols} AS row_text FROM {_CTE[table]}"
+
+
+@register("snk_star_tables", O.with_ctes("fact", union([_row_text_sql(t) for t in _KEY_TEXT])))
 def snk_star_tables(spark, sf):
-    from functools import reduce
+    """The star tables written and read back: every row, its key and attribute columns as text."""
     st = L.star(spark, sf)
     base = _scratch(spark, "star")
     parts = []
-    for name, df in st.items():
-        files.write_parquet(df, f"{base}/{name}")
-        parts.append(files.read_parquet(spark, f"{base}/{name}").agg(F.count(F.lit(1)).alias("row_count"))
-                     .select(F.lit(name).alias("table_name"), "row_count"))
+    for name, cols in _KEY_TEXT.items():
+        files.write_parquet(st[name], f"{base}/{name}")
+        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in cols])
+        parts.append(files.read_parquet(spark, f"{base}/{name}").select(F.lit(name).alias("table_name"), text.alias("row_text")))
     return reduce(lambda a, b: a.unionByName(b), parts)
-

@@ -9,8 +9,8 @@ from conftest import SMOKE
 
 
 def _keys():
-    import __spark_entry__ as E
-    return sorted(E.queries())
+    from polikit.plans import catalog
+    return sorted(catalog.QUERIES)
 
 
 @pytest.fixture(scope="module")

@@ -17,8 +17,8 @@ def plan_of(spark, df):
 
 
 def _keys():
-    import __spark_entry__ as E
-    return sorted(E.queries())
+    from polikit.plans import catalog
+    return sorted(catalog.QUERIES)
 
 
 @pytest.mark.parametrize("key", _keys())
@@ -35,7 +35,7 @@ def test_plan_shape(spark, key):
 
 def test_feed_scan_pruned_and_pushed(spark):
     from polikit.plans import layers as L
-    plan = plan_of(spark, L.bronze(spark, SMOKE))
+    plan = plan_of(spark, L.bronze_of_files(spark, SMOKE))
     assert "LessThan(l_shipdate" in plan and "GreaterThanOrEqual(l_shipdate" in plan
     for schema in re.findall(r"ReadSchema: struct<([^>]*)>", plan):
         assert "l_suppkey" not in schema and "l_tax" not in schema and "o_orderpriority" not in schema

@@ -40,5 +40,5 @@ def test_hot_key_is_one_duplicate_group(spark):
 
 
 def test_hot_value_counts(spark):
-    vc = {r["value"]: r["row_count"] for r in value_counts(_skewed(spark), ["MAKE"], ["INSURED_VALUE"]).collect()}
+    vc = {r["value"]: r["row_count"] for r in value_counts(_skewed(spark), ["MAKE", "INSURED_VALUE"]).collect()}
     assert vc["M"] == 3000 and vc["100.00"] == 3000
