@@ -2,9 +2,10 @@
 
 A 64-bit fingerprint is cut into ``max_bits // 2 + 1`` segments: of two fingerprints at
 most ``max_bits`` apart, at least one segment then differs in at most one bit. Each
-fingerprint is indexed under every *one-wildcard variant* of every segment (the segment
-with one bit deleted, with its place); an equality join on the variants brings together
-all pairs that can be near, and the bit distance verifies them.
+fingerprint is indexed under the *one-wildcard variants* of its segments (the segment
+with one bit deleted, with its place); equality of variants brings together all pairs
+that can be near, and the bit distance verifies them. For two bits the last segment needs
+no wildcard: if the other one differs in two bits, it differs in none.
 
 Scale: equal fingerprints collapse first (map-side combine), so thousands of copies are
 one index entry. A bucket is counted before its members are gathered. Buckets of up to
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stage
+from .common import broadcast_if_small, stage
 
 SEED = 42
 _BLOCK = 16_384  # shingle hashes whose bits are counted at once
@@ -72,17 +73,16 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _variants(fps: DataFrame, max_bits: int) -> DataFrame:
-    """(key, fp): every one-wildcard variant of every segment; the key holds the place of the
-    deleted bit (which names the segment too) and the segment's other bits."""
-    segments = max_bits // 2 + 1
-    width = 64 // segments
-    if segments == 1:
-        rest = "shiftleft(1L, v)"
+    """(key, fp). max_bits 1: the one segment, all 64 bits, under each of its one-wildcard variants.
+    2: the 32 one-wildcard variants of the low half, and the high half as it is: where the low
+    halves differ in two bits, the high ones are equal. The key holds the variant's place above
+    the bits that are left."""
+    if max_bits == 1:
         return fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("v")).select(
-            F.expr(f"named_struct('v', v, 'rest', fp & ~{rest})").alias("key"), "fp")
-    segment = f"(shiftrightunsigned(fp, {width} * (v div {width})) & {(1 << width) - 1}L)"
-    return fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("v")).select(
-        F.expr(f"named_struct('v', v, 'rest', {segment} & ~shiftleft(1L, v % {width}))").alias("key"), "fp")
+            F.expr("struct(v, fp & ~shiftleft(1L, v))").alias("key"), "fp")
+    return fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(32))).alias("v")).select(F.expr(
+        "CASE WHEN v = 32 THEN shiftrightunsigned(fp, 32) ELSE fp & 4294967295L & ~shiftleft(1L, v) END"
+        " | shiftleft(cast(v AS long), 32)").alias("key"), "fp")
 
 
 def links(fps: DataFrame, max_bits: int = 2, bucket_cap: int = 64) -> DataFrame:
@@ -97,7 +97,7 @@ def links(fps: DataFrame, max_bits: int = 2, bucket_cap: int = 64) -> DataFrame:
     buckets = stage(keys.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
                     .filter("n > 1"), "buckets")
     twos = buckets.filter("n = 2").filter(near(F.col("a"), F.col("b"))).select("a", "b")
-    full = keys.join(buckets.filter("n > 2").select("key", "n"), "key")
+    full = keys.join(broadcast_if_small(buckets.filter("n > 2").select("key", "n")), "key")
     pair = F.filter(
         F.flatten(F.transform("fps", lambda x, i: F.transform(
             F.slice("fps", i + 2, F.size("fps")), lambda y: F.struct(x.alias("a"), y.alias("b"))))),
