@@ -90,7 +90,11 @@ def derive_silver_columns(df: DataFrame, rules: PolicyRules = DEFAULT_RULES) ->
 
 
 def snake_case_columns(df: DataFrame) -> DataFrame:
-    return df.toDF(*[c.strip().lower().replace(" ", "_") for c in df.columns])
+    """Runs of white space in a column name become ``_``, letters become small."""
+    names = {c: "_".join(c.split()).lower() for c in df.columns}
+    if len(set(names.values())) < len(names):
+        raise ValueError("column names that differ only in case or spaces")
+    return df.withColumnsRenamed(names)
 
 
 def clean_policies(bronze: DataFrame, rules: PolicyRules = DEFAULT_RULES) -> DataFrame:

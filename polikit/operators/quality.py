@@ -269,10 +269,21 @@ def eda_findings(df: DataFrame, rules: PolicyRules = DEFAULT_RULES) -> DataFrame
         "row_count", pct("row_count", "_total").alias("pct"), "action")
 
 
+# The report's titles with the columns they show and their widths (negative:
+# flush left); the share has two decimals and the status follows after two blanks.
+REPORT_LAYOUT = (("CHECK", "check", -20), ("COLUMN", "column", -35), ("ISSUE", "issue", -25), ("ROWS", "row_count", 8),
+                 ("%", "pct", 7), ("STATUS", "status", None))
+
+
+def _cell(width: int | None, kind: str = "s") -> str:
+    return f" %{kind}" if width is None else f"%{width}{kind}"
+
+
 def report_line() -> Column:
-    """Fixed-width report line of a finding row (check, column, issue, rows, %, status)."""
-    return F.format_string("%-20s %-35s %-25s %8s %7.2f  %s", "check", "column", "issue",
-                           F.format_number(F.col("row_count"), 0), "pct", "status")
+    """Fixed-width report line of a finding row."""
+    shown = {"row_count": F.format_number("row_count", 0)}
+    layout = " ".join(_cell(w, ".2f" if column == "pct" else "s") for _, column, w in REPORT_LAYOUT)
+    return F.format_string(layout, *[shown.get(column, F.col(column)) for _, column, _ in REPORT_LAYOUT])
 
 
 def report_lines(findings: DataFrame) -> DataFrame:
@@ -280,4 +291,4 @@ def report_lines(findings: DataFrame) -> DataFrame:
 
 
 def report_header() -> str:
-    return f"{'CHECK':<20} {'COLUMN':<35} {'ISSUE':<25} {'ROWS':>8} {'%':>7}  STATUS"
+    return " ".join(_cell(w) for _, _, w in REPORT_LAYOUT) % tuple(title for title, _, _ in REPORT_LAYOUT)

@@ -121,30 +121,34 @@ def st_gold(spark, sf):
 
 # -- KPI tables over gold ------------------------------------------------------
 
+def _tally(condition: str) -> str:
+    return f"count(*) FILTER (WHERE {condition})"
+
+
+def _mean(column: str, digits: int, scale: int = 0) -> str:
+    return O.rhu(f"sum({column})", f"count({column})", digits, scale)
+
+
+#: The KPI measures in SQL: tallies of rows that meet a condition, exact sums and means.
+MEASURES = {
+    "policy_count": "count(*)",
+    **{f"{status}_count": _tally(f"lifecycle_status = '{status}'") for status in ("active", "expired", "future")},
+    "renewal_candidate_count": _tally("renewal_candidate"),
+    "high_risk_count": _tally("risk_score >= 2"),
+    **{f"premium_seg_{level}": _tally(f"premium_segment = '{level}'") for level in ("low", "medium", "high")},
+    "total_premium": O.rsum("premium", 2), "avg_premium": _mean("premium", 2, 4),
+    "total_claim_paid": O.rsum("claim_paid", 2), "avg_claim_paid": _mean("claim_paid", 2, 2),
+    "loss_ratio": O.rhu("sum(claim_paid)", "sum(premium)", 4, 2, 4),
+    "avg_policy_duration_days": _mean("policy_duration_days", 1),
+    "avg_risk_score": _mean("risk_score", 2), "avg_vehicle_age": _mean("vehicle_age", 1),
+    "high_risk_pct": O.rhu("100 * " + _tally("risk_score >= 2"), "count(*)", 2),
+}
+
+
 def kpi_select(src: str, group: list[str], measures: list[str]) -> str:
-    """Hand-written SQL for the KPI measures over ``src``."""
-    m = {
-        "policy_count": "COUNT(*)",
-        "active_count": "CAST(SUM(CAST(is_active AS INTEGER)) AS BIGINT)",
-        "expired_count": "CAST(SUM(CAST(is_expired AS INTEGER)) AS BIGINT)",
-        "future_count": "CAST(SUM(CASE WHEN lifecycle_status = 'future' THEN 1 ELSE 0 END) AS BIGINT)",
-        "renewal_candidate_count": "CAST(SUM(CAST(renewal_candidate AS INTEGER)) AS BIGINT)",
-        "high_risk_count": "CAST(SUM(CASE WHEN risk_score >= 2 THEN 1 ELSE 0 END) AS BIGINT)",
-        "premium_seg_low": "CAST(SUM(CASE WHEN premium_segment = 'low' THEN 1 ELSE 0 END) AS BIGINT)",
-        "premium_seg_medium": "CAST(SUM(CASE WHEN premium_segment = 'medium' THEN 1 ELSE 0 END) AS BIGINT)",
-        "premium_seg_high": "CAST(SUM(CASE WHEN premium_segment = 'high' THEN 1 ELSE 0 END) AS BIGINT)",
-        "total_premium": O.rsum("premium", 2),
-        "avg_premium": O.rhu("SUM(premium)", "COUNT(premium)", 2, 4),
-        "total_claim_paid": O.rsum("claim_paid", 2),
-        "avg_claim_paid": O.rhu("SUM(claim_paid)", "COUNT(claim_paid)", 2, 2),
-        "loss_ratio": O.rhu("SUM(claim_paid)", "SUM(premium)", 4, 2, 4),
-        "avg_policy_duration_days": O.rhu("SUM(policy_duration_days)", "COUNT(policy_duration_days)", 1),
-        "avg_risk_score": O.rhu("SUM(risk_score)", "COUNT(risk_score)", 2),
-        "avg_vehicle_age": O.rhu("SUM(vehicle_age)", "COUNT(vehicle_age)", 1),
-    }
-    cols = ", ".join(group + [f"{m[x]} AS {x}" for x in measures])
-    gb = f" GROUP BY {', '.join(group)}" if group else ""
-    return f"SELECT {cols} FROM {src}{gb}"
+    """SQL of some measures over ``src``, by ``group`` (none: one row)."""
+    cols = ", ".join([*group, *[f"{MEASURES[m]} AS {m}" for m in measures]])
+    return f"SELECT {cols} FROM {src}" + (f" GROUP BY {', '.join(group)}" if group else "")
 
 
 @register("kpi_portfolio", O.with_ctes("gold", kpi_select("gold", [], kpis.PORTFOLIO)))
