@@ -75,3 +75,12 @@ def test_pipeline_from_csv_feed_files(spark, scratch):
     a = spark.read.parquet(from_csv.paths["gold"]).select(*cols)
     b = spark.read.parquet(from_df.paths["gold"]).select(*cols)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_run_pipeline_leaves_no_staged_table(spark, scratch):
+    import os
+    from polikit.session import ensure_checkpoint_dir
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    run_pipeline(spark, list(policy_feed_files(spark, SMOKE)), scratch)
+    assert set(os.listdir(folder)) - before == set()

@@ -78,8 +78,74 @@ def test_calendar_is_broadcast(spark, scratch):
 def test_dq_suite_is_one_keyed_aggregation(spark):
     from polikit.operators import quality
     from polikit.plans import layers as L
-    plan = plan_of(spark, quality.dq_bronze(L.bronze(spark, SMOKE)))
+    plan = plan_of(spark, quality.dq_bronze(L.bronze_of_files(spark, SMOKE)))
     tree = plan.split("\n\n")[0]
     above_union = tree.split("Union")[0]
     # keyed partial + final aggregate, then the global one: no join or window over the rows
     assert above_union.count("HashAggregate") >= 3 and "Join" not in above_union and "Window" not in tree
+
+
+def _tasks(spark, action) -> int:
+    """Tasks that the action's jobs ran."""
+    sc = spark.sparkContext
+    group = f"tasks-{id(action)}"
+    sc.setJobGroup(group, "count tasks")
+    try:
+        action()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    status = sc.statusTracker()
+    stages = {s for j in status.getJobIdsForGroup(group) for s in status.getJobInfo(j).stageIds}
+    return sum(info.numTasks for info in map(status.getStageInfo, stages) if info)
+
+
+def test_small_dimension_does_not_start_a_task_a_shuffle_partition(spark, scratch):
+    from polikit.operators.star import dim_insurance_type, dim_vehicle
+    from polikit.plans import layers as L
+    L.gold(spark, SMOKE).write.parquet(f"{scratch}/gold")
+    gold = spark.read.parquet(f"{scratch}/gold")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        assert _tasks(spark, lambda: dim_insurance_type(gold).collect()) < 64
+        placed = []
+        from polikit.operators import ids
+        keep = ids._numbered
+        ids._numbered = lambda df, *a: placed.append(df) or keep(df, *a)
+        try:
+            dim_vehicle(gold).collect()
+        finally:
+            ids._numbered = keep
+        assert placed[0].select("_pid").distinct().count() == 1  # by rows, not by shuffle partitions
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def _tree(spark, df):
+    return plan_of(spark, df).split("\n\n")[0]
+
+
+def test_no_single_partition_on_policy_rows(spark, scratch):
+    """One-task exchanges hold counts, targets or finished groups, never policy rows."""
+    from polikit.operators import profile
+    from polikit.plans import layers as L
+    L.silver(spark, SMOKE).write.parquet(f"{scratch}/silver")
+    silver = spark.read.parquet(f"{scratch}/silver")
+    for df in (profile.quantile_segments(silver), L.silver(spark, SMOKE), L.gold(spark, SMOKE)):
+        assert "SinglePartition" not in _tree(spark, df)
+
+
+def test_joins_without_broadcasts_are_sort_merge_joins(spark, scratch):
+    from polikit.operators.star import build_star
+    from polikit.plans import layers as L
+    L.gold(spark, SMOKE).write.parquet(f"{scratch}/gold")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        feed = _tree(spark, L.bronze(spark, SMOKE))
+        assert feed.count("SortMergeJoin") == 3 and "NestedLoop" not in feed and "Broadcast" not in feed
+        star = build_star(spark.read.parquet(f"{scratch}/gold"))
+        assert star["fact_policies"].count() > 0
+        assert "NestedLoop" not in _tree(spark, star["fact_policies"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -56,3 +56,31 @@ def test_eager_aggregation_equals_join_then_group(spark):
     key = ["make", "type_vehicle"]
     assert sorted(map(tuple, eager.collect()), key=str) == sorted(map(tuple, plain.select(*key, *kpis.VEHICLE)
                                                                      .collect()), key=str)
+
+
+def _sorted_by(rows, *keys):
+    """Whether rows are in order of the keys; '-x' is descending, nulls last."""
+    def key(r):
+        out = []
+        for k in keys:
+            v = r[k.lstrip("-")]
+            out.append((v is None, 0 if v is None else (-v if k[0] == "-" else v)))
+        return out
+    return [key(r) for r in rows] == sorted(key(r) for r in rows)
+
+
+def test_report_order(spark):
+    star = L.star(spark, SMOKE)
+    orders = {
+        reports.vw_vehicle_kpis: ("-policy_count", "make", "type_vehicle"),
+        reports.vw_product_kpis: ("-policy_count", "insr_type_name"),
+        reports.q02_by_year: ("year",), reports.q03_top_makes: ("-policy_count", "make"),
+        reports.q04_products: ("-policy_count", "insr_type_name"),
+        reports.q05_renewals: ("-renewal_candidates", "make"), reports.q06_risk_distribution: ("risk_score",),
+        reports.q07_segment_mix: ("insr_type_name", "premium_segment"), reports.q08_monthly: ("year", "month"),
+        reports.q09_high_risk: ("-high_risk_pct",), reports.q10_claim_rate: ("claim_status",),
+        reports.bi_top10_makes: ("-policy_count", "make"),
+    }
+    for fn, keys in orders.items():
+        rows = fn(star).collect()
+        assert rows and _sorted_by(rows, *keys), fn.__name__
