@@ -18,7 +18,7 @@ id order: part, segment, offset (ids of the part before it), total, doc_ids, len
 Scale: texts are range-partitioned by id (ties by text hash) and encoded in the task that
 writes them; only a count per part (one row each) is summed to place the parts.
 
-Encoding uses the tokenizers library. With the tokenizers meant here no token crosses ASCII
+Encoding uses the tokenizers library. With the tokenizer meant here no token crosses ASCII
 white space, so the ids of a text are those of its white-space-separated words in order;
 words are looked up in a bounded memory of past encodings and the library encodes the
 others. ``whole_texts=True`` hands it each text whole instead, for tokenizers that differ.
@@ -45,8 +45,9 @@ from .common import stage
 CHUNK_BITS = 8
 RANK_BITS = 512
 SEGMENT_IDS = 1 << 16
-REMEMBERED = 250_000  # words in each of the two generations that an encoder remembers
+REMEMBERED = 250_000  # words, and cores, in each of the two generations that an encoder remembers
 _MAGIC = b"DAC1"
+_PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 # --- the code ------------------------------------------------------------------------------
@@ -125,40 +126,80 @@ def access(codes: bytes, positions: np.ndarray) -> np.ndarray:
 
 # --- ids of texts --------------------------------------------------------------------------
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level tokenizers write bytes as: printable ones stand for
+    themselves, the others for the code points from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class WordEncoder:
-    """Ids of texts through their words, with two generations of remembered words: when the
-    young one is full it becomes the old one, so frequent words stay and memory is bounded."""
+    """Ids of texts through their words, for a lower-casing byte-level tokenizer whose tokens cross
+    neither ASCII white space nor the border between letters and ASCII punctuation (other
+    than an apostrophe). Remembers words and their cores in two generations each: when the
+    young one is full it becomes the old one, so frequent words stay and memory is bounded.
+    A core of letters goes straight to the library's model, all else through its whole pipeline."""
 
     def __init__(self, tokenizer_path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.normalize, self.model = self.tokenizer.normalizer.normalize_str, self.tokenizer.model.tokenize
         self.remembered = remembered
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.old_words: dict[bytes, bytes] = {}
+        self.cores: dict[bytes, bytes] = {}
+        self.old_cores: dict[bytes, bytes] = {}
 
-    def whole(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        plain = [(t or b"").decode("utf-8", "replace") for t in texts]
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)]
+    def whole(self, text: bytes | None) -> np.ndarray:
+        plain = (text or b"").decode("utf-8", "replace")
+        return np.array(self.tokenizer.encode(plain, add_special_tokens=False).ids, np.uint32)
 
     def __call__(self, text: bytes | None) -> np.ndarray:
-        words = (text or b"").split()
-        young = self.young
-        found = list(map(young.get, words))
+        text = text or b""
+        if b"<|" in text:  # perhaps a special token's name, which only counts as written
+            return self.whole(text)
+        words = text.lower().split()
+        found = list(map(self.words.get, words))
         if None in found:
-            missing = {w for w, ids in zip(words, found, strict=True) if ids is None}
-            fresh = dict.fromkeys(missing)
-            for w in missing:
-                fresh[w] = self.old.get(w)
-            unknown = [w for w, ids in fresh.items() if ids is None]
-            for w, ids in zip(unknown, self.whole(unknown), strict=True):
-                fresh[w] = ids.tobytes()
-            found = [fresh[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
-            young.update(fresh)
-            if len(young) > self.remembered:
-                self.old, self.young = young, {}
+            found = [self._word(w) if ids is None else ids for w, ids in zip(words, found, strict=True)]
+            if len(self.words) > self.remembered:
+                self.old_words, self.words = self.words, {}
+            if len(self.cores) > self.remembered:
+                self.old_cores, self.cores = self.cores, {}
         return np.frombuffer(b"".join(found), np.uint32)
 
-
+    def _word(self, word: bytes) -> bytes:
+        ids = self.words.get(word) or self.old_words.get(word)
+        if ids is None:
+            rest = word.lstrip(_PUNCTUATION)
+            core = rest.rstrip(_PUNCTUATION)
+            if core and len(core) < len(word) and self._plain(core).isalpha():
+                parts = word[:len(word) - len(rest)], core, rest[len(core):]
+                ids = b"".join(self._core(part) for part in parts if part)
+            else:
+                ids = self._core(word)
+        self.words[word] = ids
+        return ids
+
+    def _plain(self, core: bytes) -> str:
+        text = core.decode("utf-8", "replace")
+        return text if core.isalpha() else self.normalize(text)  # ASCII letters are as they should be
+
+    def _core(self, core: bytes) -> bytes:
+        ids = self.cores.get(core) or self.old_cores.get(core)
+        if ids is None:
+            plain = self._plain(core)
+            if plain.isalpha():
+                spelt = plain.encode().decode("latin-1").translate(_SPELT)
+                ids = np.array([t.id for t in self.model(spelt)], np.uint32).tobytes()
+            else:
+                ids = self.whole(core).tobytes()
+        self.cores[core] = ids
+        return ids
+
+
+_SPELT = _byte_letters()
 _ENCODERS: dict[str, WordEncoder] = {}  # of this Python worker
 
 
@@ -195,7 +236,7 @@ def write_codes(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text
 
         for batch in batches:
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = enc.whole([text.as_py()])[0] if whole_texts else enc(text.as_py())
+                own = enc.whole(text.as_py()) if whole_texts else enc(text.as_py())
                 ids.append(i)
                 kept.append(np.concatenate((own, end)))
                 held += len(own) + 1
