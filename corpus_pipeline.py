@@ -46,7 +46,7 @@ STAGES = [
     ("token_codes", token_stage),
 ]
 
-#: The stages hash, iterate and use tokenizers beyond what SQL expresses; see tests/llm/test_pipeline.py.
+#: The stages hash, iterate and use tokenizers beyond what SQL expresses; see tests/llm/test_llm_pipeline.py.
 ORACLE_SQL = None
 
 
