@@ -11,9 +11,9 @@ steps run over a table of (source, size, documents), not over documents. Sums ar
 so reruns agree to the last bit.
 
 Rates become copies (0, 1 or 2) by thresholds: copy k of a document is taken if its rate
-passes k - 1 + u, u being uniform by hash of id and text. One shift a source, found by
-refining histograms of (threshold - rate), moves all its thresholds so that the words
-taken come within about one document of the target.
+passes k - 1 + u, u being uniform by hash of id and text. A shift of all thresholds of a
+source, found by refining histograms of (threshold - rate), makes the words taken stop
+just short of the target; further shifts, for documents that fit in the rest, fill it up.
 
 Scale: state is one row a source, counted before it is broadcast; a source with a third
 of all rows is pre-aggregated in every step; texts are read twice and never shuffled.
@@ -35,8 +35,10 @@ MOST = 2
 WEIGHTS = (3, 1, 2)
 NEWTON_STEPS = 40
 NEAR = 1e-6  # of the target: the tilt is found; rounding evens out the rest
-BINS = 1024
-ROUNDS = 6
+BINS = 4096
+ROUNDS = 5
+LEVELS = 4
+NEAR_SHARE = 1e-4  # of the target: near enough for a source
 _WORD = r"[^\x20\x09-\x0D]+"
 _SUM = "decimal(38,9)"
 
@@ -138,19 +140,27 @@ def _thresholds(u: Column, rate: Column, most: int) -> Column:
     return F.array(*[F.lit(float(k)) + u - rate for k in range(most)])
 
 
-def shifts(places: DataFrame, tilted: DataFrame, most: int = MOST) -> DataFrame:
-    """``tilted`` with shift: the common shift of a source's thresholds. ``places``: (source, size, u)."""
-    state = stage(tilted.select("*", F.lit(-float(most) - 1).alias("low"), F.lit(float(most) + 1).alias("high"),
-                                F.lit(0).cast("long").alias("under"), (F.col("source_size") * most).alias("mass")), "shift")
+def _own_shift(size: Column, steps: Column) -> Column:
+    """The shift of a document of this size: the largest of the steps that reach its size."""
+    return F.array_max(F.transform(F.filter(steps, lambda s: size <= s["upto"]), lambda s: s["shift"]))
+
+
+def _refined(places: DataFrame, state: DataFrame, most: int) -> DataFrame:
+    """``state`` with the interval [low, high) of thresholds in which the words taken pass the
+    target, narrowed until it holds ``NEAR_SHARE`` of the target or so: under is the words
+    taken below it, mass those in it."""
     for _ in range(ROUNDS):
-        wide = F.col("mass") > F.greatest(F.lit(1.0), F.lit(1e-4) * F.col("target"))
+        wide = F.col("mass") > F.greatest(F.lit(1.0), F.lit(NEAR_SHARE) * F.col("target"))
         if not state.filter(wide).limit(1).count():
             break
-        side = broadcast_if_small(state.filter(wide).select(F.col("source").alias("source_"), "theta", "low", "high"))
-        z = F.explode(_thresholds(F.col("u"), F.least(_rate(F.col("size"), F.col("theta"), most), F.lit(float(most))), most))
+        side = broadcast_if_small(state.filter(wide).select(
+            F.col("source").alias("source_"), "theta", "low", "high", "limit", "steps"))
+        near = places.filter("size > 0").join(side, F.col("source").eqNullSafe(F.col("source_"))).filter("size <= limit")
+        rate = F.least(_rate(F.col("size"), F.col("theta"), most), F.lit(float(most)))
         bin_ = F.floor((F.col("z") - F.col("low")) / (F.col("high") - F.col("low")) * BINS)
-        sums = (places.filter("size > 0").join(side, F.col("source").eqNullSafe(F.col("source_")))
-                .select("source", "size", "low", "high", z.alias("z")).filter("z >= low and z < high")
+        sums = (near.select("source", "size", "low", "high", _own_shift(F.col("size"), F.col("steps")).alias("own"),
+                            F.explode(_thresholds(F.col("u"), rate, most)).alias("z"))
+                .filter("z >= low and z < high and (own is null or z >= own)")
                 .groupBy("source", F.least(bin_, F.lit(BINS - 1)).alias("bin")).agg(F.sum("size").alias("words")))
         # at most BINS rows a source; the bin in which the running sum passes the target
         run = Window.partitionBy("source").orderBy("bin")
@@ -159,24 +169,50 @@ def shifts(places: DataFrame, tilted: DataFrame, most: int = MOST) -> DataFrame:
             F.col("under") + F.col("upto") >= F.col("target"))
         hit = passed.groupBy(F.col("source").alias("source_")).agg(F.min(F.struct("bin", "words", "upto")).alias("hit"))
         unit = (F.col("high") - F.col("low")) / BINS
-        at = F.col("hit.bin")
-        moved = state.join(hit, F.col("source").eqNullSafe(F.col("source_")), "left")
-        here = F.col("hit").isNotNull()
+        here, at = F.col("hit").isNotNull(), F.col("hit.bin")
+        moved = state.join(hit, F.col("source").eqNullSafe(F.col("source_")), "left").withColumn("wide", wide)
         state = stage(moved.select(
-            "source", "source_size", "target", "theta",
+            "source", "source_size", "target", "theta", "steps", "limit",
             F.when(here, F.col("low") + unit * at).otherwise(F.col("low")).alias("low"),
             F.when(here, F.col("low") + unit * (at + 1)).otherwise(F.col("high")).alias("high"),
             F.when(here, F.col("under") + F.col("hit.upto") - F.col("hit.words")).otherwise(F.col("under")).alias("under"),
-            # a source none of whose bins passes has all it can take: its upper end stands
-            F.when(here, F.col("hit.words")).otherwise(F.lit(0)).alias("mass")), "shift")
-    nearer = F.col("target") - F.col("under") <= F.col("under") + F.col("mass") - F.col("target")
-    kept = F.when((F.col("mass") > 0) & nearer, F.col("low")).otherwise(F.col("high"))
-    return state.select("source", "source_size", "target", "theta", kept.alias("shift"))
+            # where no bin passes the target, all that is left is taken: the interval's upper end
+            F.when(here, F.col("hit.words")).when(F.col("wide"), F.lit(0)).otherwise(F.col("mass")).alias("mass")), "shift")
+    return state
+
+
+def shifts(places: DataFrame, tilted: DataFrame, most: int = MOST) -> DataFrame:
+    """``tilted`` with steps, an array of (upto, shift): documents of at most ``upto`` words get
+    that shift. ``places``: (source, size, u).
+
+    The first step is for all documents and stops before the document with which the words
+    taken would pass the target. The next ones go on with the documents that fit in what is
+    left, so the remainder shrinks to a small document even where documents are large."""
+    state = tilted.select("source", "source_size", "target", "theta", F.lit(0).cast("long").alias("under"),
+                          F.expr("cast(array() AS array<struct<upto:bigint,shift:double>>)").alias("steps"))
+    for level in range(LEVELS):
+        left = F.col("target") - F.col("under")
+        limit = F.lit(2 ** 62) if level == 0 else F.floor(left)
+        short = (left > F.lit(NEAR_SHARE) * F.col("target")) & (F.col("target") > 0)
+        state = stage(state.select(
+            "source", "source_size", "target", "theta", "steps", "under", limit.cast("long").alias("limit"),
+            F.lit(-float(most) - 1).alias("low"), F.lit(float(most) + 1).alias("high"),
+            F.when(short, F.col("source_size") * most).otherwise(F.lit(0)).cast("long").alias("mass")), "shift")
+        before = state.select(F.col("source").alias("source_"), (F.col("mass") > 0).alias("open"))
+        state = _refined(places, state, most).join(before, F.col("source").eqNullSafe(F.col("source_")))
+        # under is what is taken without the interval; the last level may take it if that is nearer
+        nearer = F.lit(level == LEVELS - 1) & (left > F.col("under") + F.col("mass") - F.col("target"))
+        kept = F.when((F.col("mass") > 0) & ~nearer, F.col("low")).otherwise(F.col("high"))
+        step = F.array(F.struct(F.col("limit").alias("upto"), kept.alias("shift")))
+        state = state.select("source", "source_size", "target", "theta", "under",
+                             F.when(F.col("open"), F.concat("steps", step)).otherwise(F.col("steps")).alias("steps"))
+    return stage(state.drop("under"), "shifts")
 
 
 def _copies(size: Column, u: Column, most: int) -> Column:
     rate = F.least(_rate(size, F.col("theta"), most), F.lit(float(most)))
-    passed = F.filter(_thresholds(u, rate, most), lambda z: z < F.col("shift"))
+    own = _own_shift(size, F.col("steps"))
+    passed = F.filter(_thresholds(u, rate, most), lambda z: z < own)
     plain = F.when(F.col("target") <= 0, F.lit(0)).otherwise(F.size(passed))
     return F.when(size > 0, plain).otherwise(F.lit(1))
 
@@ -184,7 +220,7 @@ def _copies(size: Column, u: Column, most: int) -> Column:
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
          share: float = SHARE, most: int = MOST, weights: tuple[int, ...] = WEIGHTS) -> tuple[DataFrame, DataFrame]:
     """(places, state): the rows of (id_col, source, size, u), and (source, source_size, target, theta,
-    shift). ``most`` is the largest number of copies."""
+    steps). ``most`` is the largest number of copies."""
     places = stage(docs.select(F.col(id_col), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"),
                                _place(id_col, text_col).alias("u")), "places")
     aims = stage(targets(places, share, most, weights), "targets")
