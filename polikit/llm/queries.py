@@ -64,11 +64,11 @@ ORACLE["op8_vector_search"] = """
 WITH usable AS (
     SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND list_bool_and(list_transform(embedding, x -> x IS NOT NULL AND isfinite(x)))
-      AND list_bool_or(list_transform(embedding, x -> x <> 0))
+      AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+      AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
 ), pairs AS (
     SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_sum(list_transform(
-        list_zip(q.v, c.v), z -> (z[1] - z[2]) * (z[1] - z[2])))) AS score
+        list_zip(q.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS score
     FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
 ), ranked AS (
     SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank,
@@ -122,3 +122,41 @@ SELECT conv_id, assistant, part, CAST(0 AS BIGINT) AS piece, CAST(count(*) AS IN
                            ',' ORDER BY turn NULLS FIRST, role, text), '') AS spans
 FROM placed GROUP BY conv_id, assistant, part
 """
+
+
+def _seeds_sql(stride: int) -> str:
+    """Texts of the words under each mask's ones, at every ``stride``-th place."""
+    def under(mask: str) -> str:
+        chosen = " || ' ' || ".join(["'%s'" % mask, *[f"w[p + {i + 1}]" for i, c in enumerate(mask) if c == "1"]])
+        return (f"list_transform(range(0, len(w) - {len(mask) - 1}, {stride}), lambda p: {{'pos': p, 'seed': {chosen}}})")
+    masks = [under(m) for m in decontaminate.MASKS]
+    return f"unnest(list_concat({', '.join(masks)}))"
+
+
+_WORDS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+
+# Items of fewer words than a mask (none in the given tables) are left to the brute-force tests.
+ORACLE["op2_decontaminate"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
+ds AS (SELECT doc_id, {_seeds_sql(decontaminate.STRIDE)} AS x FROM d),
+bs AS (SELECT item_id, {_seeds_sql(1)} AS x FROM b),
+spots AS (SELECT DISTINCT doc_id, item_id, ds.x.pos - bs.x.pos AS shift FROM ds JOIN bs ON ds.x.seed = bs.x.seed),
+beside AS (
+    SELECT doc_id, item_id, shift, least(len(b.w), {decontaminate.WINDOW}) AS size, greatest(0, -shift) AS lo,
+           least(len(b.w), len(d.w) - shift) AS hi,
+           list_transform(range(0, len(b.w)), lambda q: CASE WHEN q + shift >= 0 AND d.w[q + shift + 1] = b.w[q + 1]
+                                                             THEN 1 ELSE 0 END) AS same
+    FROM spots JOIN d USING (doc_id) JOIN b USING (item_id)
+), windows AS (
+    SELECT doc_id, item_id, size, shift, unnest(list_transform(range(lo, hi - size + 1),
+           lambda s: {{'at': s, 'matched': list_sum(list_slice(same, s + 1, s + size))}})) AS x
+    FROM beside
+), best AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY x.matched DESC, x.at + shift) AS place
+    FROM windows WHERE x.matched >= ceil(size * {decontaminate.AGREE} - 1e-9)
+)
+SELECT doc_id, item_id, CAST(x.matched AS INTEGER) AS matched, CAST(size AS INTEGER) AS "window",
+       CAST(x.at + shift AS INTEGER) AS start
+FROM best WHERE place = 1
+"""
