@@ -27,7 +27,7 @@ from polikit.operators.lifecycle import to_gold  # noqa: E402
 from polikit.operators.star import build_star  # noqa: E402
 from polikit.session import local_session  # noqa: E402
 from polikit.sources import files  # noqa: E402
-from polikit.sources.feed import policy_feed_files  # noqa: E402
+from polikit.sources.feed import policy_feed  # noqa: E402
 
 
 def run_all(spark, sf_dir: str, out: str, times: dict[str, float] | None) -> None:
@@ -42,7 +42,7 @@ def run_all(spark, sf_dir: str, out: str, times: dict[str, float] | None) -> Non
     def run(df):
         df.write.format("noop").mode("overwrite").save()
 
-    timed("bronze", lambda: files.write_parquet(to_bronze(*policy_feed_files(spark, sf_dir)), f"{out}/bronze"))
+    timed("bronze", lambda: files.write_parquet(to_bronze(policy_feed(spark, sf_dir)), f"{out}/bronze"))
     bronze = spark.read.parquet(f"{out}/bronze")
     timed("silver", lambda: files.write_parquet(to_silver(bronze), f"{out}/silver"))
     silver = spark.read.parquet(f"{out}/silver")
