@@ -28,21 +28,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, stage
+from .common import BROADCAST_ROWS, broadcast_if_small, stage
 
 SHARE = 1.5
 MOST = 2
 WEIGHTS = (3, 1, 2)
 NEWTON_STEPS = 40
-NEAR = 1e-6  # of the target: the tilt is found; rounding evens out the rest
-BINS = 4096
-ROUNDS = 5
-LEVELS = 4
+NEAR = 1e-5  # of the target: the tilt is found; rounding evens out the rest
+BINS = 1 << 13
+ROUNDS = 4
+LEVELS = 3
 NEAR_SHARE = 1e-4  # of the target: near enough for a source
 _WORD = r"[^\x20\x09-\x0D]+"
 _SUM = "decimal(38,9)"
 
 
+def _few(df: DataFrame, rows: int) -> DataFrame:
+    """A table known to have few rows, in one partition: its later steps are one task each."""
+    return df.coalesce(1) if rows <= BROADCAST_ROWS else df
+
+
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(_WORD)), F.lit(0)).cast("long")
 
@@ -104,17 +109,20 @@ def tilts(sizes: DataFrame, aims: DataFrame, most: int = MOST) -> DataFrame:
     start = F.log(F.col("target") / F.col("source_size")) / F.col("typical")
     state = state.withColumn("theta", F.when(full | F.col("typical").isNull() | (F.col("target") <= 0), F.lit(None))
                              .otherwise(start)).withColumn("low", F.lit(None).cast("double"))
-    state = stage(state.withColumn("high", F.lit(None).cast("double")).withColumn("done", F.col("theta").isNull()), "tilt")
+    n = aims.count()
+    state = state.withColumn("high", F.lit(None).cast("double")).withColumn("done", F.col("theta").isNull())
+    state = stage(_few(state, n), "tilt")
     for _ in range(NEWTON_STEPS):
-        if not state.filter("not done").limit(1).count():
+        if state.filter("not done").isEmpty():
             break
-        open_ = broadcast_if_small(state.filter("not done").select(F.col("source").alias("source_"), "theta"))
+        open_ = broadcast_if_small(state.filter("not done").select(F.col("source").alias("source_"), "theta"), n)
         x, e = F.col("size"), F.exp(F.least(F.col("theta") * F.col("size"), F.lit(50.0)))
         words, free = x * F.col("n") * F.least(e, F.lit(float(most))), e < most
         slope = F.when(free, x * x * F.col("n") * e).otherwise(0.0)
         met = (counts.join(open_, F.col("source").eqNullSafe(F.col("source_"))).groupBy("source")
                .agg(F.sum(words.cast(_SUM)).cast("double").alias("words"), F.sum(slope.cast(_SUM)).cast("double").alias("slope"))
                .withColumnRenamed("source", "source_"))
+        met = broadcast_if_small(_few(met, n), n)
         gap = F.col("words") - F.col("target")
         low = F.when(gap < 0, F.col("theta")).otherwise(F.col("low"))
         high = F.when(gap >= 0, F.col("theta")).otherwise(F.col("high"))
@@ -127,7 +135,7 @@ def tilts(sizes: DataFrame, aims: DataFrame, most: int = MOST) -> DataFrame:
         halted = low.isNotNull() & high.isNotNull() & ((high - low) * F.col("typical") < 1e-13)
         moved = state.join(met, F.col("source").eqNullSafe(F.col("source_")), "left")
         going = F.col("words").isNotNull()
-        state = stage(moved.select(
+        state = stage(_few(moved, n).select(
             "source", "source_size", "target", "typical",
             F.when(going & ~near & ~halted, F.when(inside, step).otherwise(middle)).otherwise(F.col("theta")).alias("theta"),
             F.when(going, low).otherwise(F.col("low")).alias("low"), F.when(going, high).otherwise(F.col("high")).alias("high"),
@@ -145,16 +153,16 @@ def _own_shift(size: Column, steps: Column) -> Column:
     return F.array_max(F.transform(F.filter(steps, lambda s: size <= s["upto"]), lambda s: s["shift"]))
 
 
-def _refined(places: DataFrame, state: DataFrame, most: int) -> DataFrame:
+def _refined(places: DataFrame, state: DataFrame, most: int, n: int) -> DataFrame:
     """``state`` with the interval [low, high) of thresholds in which the words taken pass the
     target, narrowed until it holds ``NEAR_SHARE`` of the target or so: under is the words
-    taken below it, mass those in it."""
+    taken below it, mass those in it. ``n``: the number of sources."""
     for _ in range(ROUNDS):
         wide = F.col("mass") > F.greatest(F.lit(1.0), F.lit(NEAR_SHARE) * F.col("target"))
-        if not state.filter(wide).limit(1).count():
+        if state.filter(wide).isEmpty():
             break
         side = broadcast_if_small(state.filter(wide).select(
-            F.col("source").alias("source_"), "theta", "low", "high", "limit", "steps"))
+            F.col("source").alias("source_"), "theta", "low", "high", "limit", "steps"), n)
         near = places.filter("size > 0").join(side, F.col("source").eqNullSafe(F.col("source_"))).filter("size <= limit")
         rate = F.least(_rate(F.col("size"), F.col("theta"), most), F.lit(float(most)))
         bin_ = F.floor((F.col("z") - F.col("low")) / (F.col("high") - F.col("low")) * BINS)
@@ -162,16 +170,17 @@ def _refined(places: DataFrame, state: DataFrame, most: int) -> DataFrame:
                             F.explode(_thresholds(F.col("u"), rate, most)).alias("z"))
                 .filter("z >= low and z < high and (own is null or z >= own)")
                 .groupBy("source", F.least(bin_, F.lit(BINS - 1)).alias("bin")).agg(F.sum("size").alias("words")))
+        sums = _few(sums, n * BINS)
         # at most BINS rows a source; the bin in which the running sum passes the target
         run = Window.partitionBy("source").orderBy("bin")
         sums = sums.select(F.col("source").alias("source_"), "bin", "words", F.sum("words").over(run).alias("upto"))
-        passed = state.join(sums, F.col("source").eqNullSafe(F.col("source_"))).filter(
-            F.col("under") + F.col("upto") >= F.col("target"))
-        hit = passed.groupBy(F.col("source").alias("source_")).agg(F.min(F.struct("bin", "words", "upto")).alias("hit"))
+        goal = broadcast_if_small(state.select("source", (F.col("target") - F.col("under")).alias("left")), n)
+        passed = sums.join(goal, F.col("source_").eqNullSafe(F.col("source"))).filter(F.col("upto") >= F.col("left"))
+        hit = broadcast_if_small(passed.groupBy("source_").agg(F.min(F.struct("bin", "words", "upto")).alias("hit")), n)
         unit = (F.col("high") - F.col("low")) / BINS
         here, at = F.col("hit").isNotNull(), F.col("hit.bin")
         moved = state.join(hit, F.col("source").eqNullSafe(F.col("source_")), "left").withColumn("wide", wide)
-        state = stage(moved.select(
+        state = stage(_few(moved, n).select(
             "source", "source_size", "target", "theta", "steps", "limit",
             F.when(here, F.col("low") + unit * at).otherwise(F.col("low")).alias("low"),
             F.when(here, F.col("low") + unit * (at + 1)).otherwise(F.col("high")).alias("high"),
@@ -188,18 +197,19 @@ def shifts(places: DataFrame, tilted: DataFrame, most: int = MOST) -> DataFrame:
     The first step is for all documents and stops before the document with which the words
     taken would pass the target. The next ones go on with the documents that fit in what is
     left, so the remainder shrinks to a small document even where documents are large."""
+    n = tilted.count()
     state = tilted.select("source", "source_size", "target", "theta", F.lit(0).cast("long").alias("under"),
                           F.expr("cast(array() AS array<struct<upto:bigint,shift:double>>)").alias("steps"))
     for level in range(LEVELS):
         left = F.col("target") - F.col("under")
         limit = F.lit(2 ** 62) if level == 0 else F.floor(left)
         short = (left > F.lit(NEAR_SHARE) * F.col("target")) & (F.col("target") > 0)
-        state = stage(state.select(
+        state = stage(_few(state, n).select(
             "source", "source_size", "target", "theta", "steps", "under", limit.cast("long").alias("limit"),
             F.lit(-float(most) - 1).alias("low"), F.lit(float(most) + 1).alias("high"),
             F.when(short, F.col("source_size") * most).otherwise(F.lit(0)).cast("long").alias("mass")), "shift")
-        before = state.select(F.col("source").alias("source_"), (F.col("mass") > 0).alias("open"))
-        state = _refined(places, state, most).join(before, F.col("source").eqNullSafe(F.col("source_")))
+        before = broadcast_if_small(state.select(F.col("source").alias("source_"), (F.col("mass") > 0).alias("open")), n)
+        state = _refined(places, state, most, n).join(before, F.col("source").eqNullSafe(F.col("source_")))
         # under is what is taken without the interval; the last level may take it if that is nearer
         nearer = F.lit(level == LEVELS - 1) & (left > F.col("under") + F.col("mass") - F.col("target"))
         kept = F.when((F.col("mass") > 0) & ~nearer, F.col("low")).otherwise(F.col("high"))

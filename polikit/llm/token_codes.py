@@ -45,7 +45,7 @@ from .common import stage
 CHUNK_BITS = 8
 RANK_BITS = 512
 SEGMENT_IDS = 1 << 16
-REMEMBERED = 250_000  # words, and cores, in each of the two generations that an encoder remembers
+REMEMBERED = 200_000  # words, and cores, in each of the two generations that an encoder remembers
 _MAGIC = b"DAC1"
 _PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
