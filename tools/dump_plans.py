@@ -14,15 +14,14 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 NOTES = {
     "silver (bronze -> silver)": "Dedup = partial aggregate per map task, shuffle on the full policy key, final "
-                                 "aggregate; no window, so a hot key ships one row per task. The round-robin "
-                                 "exchanges only appear because the driver's files are single row groups "
-                                 "(parallelism guard); a well-split scan feeds the joins directly.",
-    "fact_policies (ordered dense ids)": "Rows come from the staged range-sorted table; the per-partition offsets "
-                                         "(one row per partition) are broadcast; dimension lookups once.",
+                                 "aggregate; no window, so a hot key ships one row per task.",
+    "fact_policies (ordered dense ids)": "Narrow rows come from the staged range-sorted table, after the dimension "
+                                         "lookups; the per-partition offsets (one row per partition) are broadcast.",
     "q03_top_makes (report over the written star)": "Fact aggregated by vehicle_id before the join; "
                                                     "top-k as TakeOrderedAndProject.",
     "dq_bronze (one suite, one job)": "All checks are count_if columns of one keyed aggregate; findings via inline.",
-    "prf_percentiles_exact": "Distinct (column, value) counts, staged running count, bounded broadcasts.",
+    "prf_percentiles_exact": "Distinct (column, value) counts, staged in range order; only partitions that hold "
+                             "a target rank are ranked (bounded broadcast).",
 }
 
 
