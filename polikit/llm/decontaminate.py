@@ -3,15 +3,15 @@
 Texts become words (lower-cased runs of letters and digits). A *mask* such as
 ``110100111`` slides over them and hashes the words under its ones; words under its
 zeros may be anything, so one substitution does not hide an overlap from all masks. Items
-are hashed at every position, documents at every ``STRIDE``-th: a document holds a hashed
-place of every run of span + ``STRIDE`` - 1 aligned words. (Of passages of 15 words with two
-substituted, 99 % have a hit; of 30 with six, all but 0.3 %.) Equal hashes give a document,
+and documents are hashed at every position. ``MASKS`` are complete for ``WINDOW`` and ``AGREE``:
+whichever words of a window that verification accepts are substituted, one of the masks lies
+on agreeing words only. For items of fewer words, and for other windows, ``more_masks`` adds
+the masks that are missing, so that every overlap that verification accepts is looked at. Equal hashes give a document,
 an item and a diagonal (how far the item is shifted against the document).
 
 Every diagonal found is then verified on the words themselves: some ``WINDOW`` consecutive
 words of the item (all, if it has fewer) must agree with the document in at least
 ``AGREE`` of their places. An insertion splits an overlap into two diagonals, each verified.
-Items shorter than the masks get a mask of their own length, of ones.
 
 Scale: the large side is never shuffled in the usual case. Seeds and candidates are
 counted and broadcast if small; else the same joins shuffle. A passage that a third of all
@@ -24,15 +24,19 @@ id like any other. Rows that repeat both id and text count once. Other columns a
 
 from __future__ import annotations
 
+import math
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, broadcast_if_small, stage
 
-MASKS = ("110100111", "101101011", "111001011", "110010111")
-STRIDE = 2
+MASKS = ("11101011", "110100111")
+STRIDE = 1
 WINDOW = 13
 AGREE = 0.8
+_PATTERNS = 10_000  # places of substitutions that are enumerated
 _NO_SEEDS = "cast(array() as array<struct<pos:int,seed:bigint>>)"
 _SPLIT = r"[^\p{L}\p{N}]+"
 
@@ -61,6 +65,24 @@ def _need(window: Column, agree: float) -> Column:
     return F.ceil(window * F.lit(agree) - F.lit(1e-9)).cast("int")
 
 
+def more_masks(n: int, wrong: int, masks: tuple[str, ...]) -> list[str]:
+    """Masks to add to ``masks`` so that, whichever ``wrong`` of ``n`` words differ, one mask lies
+    at some place on none of them."""
+    if math.comb(n, wrong) > _PATTERNS:  # so many agreeing words in a row there are always
+        return ["1" * math.ceil((n - wrong) / (wrong + 1))]
+    placed = [{i + k for k, c in enumerate(m) if c == "1"} for m in masks for i in range(n - len(m) + 1)]
+    left = [set(p) for p in combinations(range(n), wrong) if all(m & set(p) for m in placed)]
+    out = []
+    while left:
+        zeros = set(left[0])
+        for p in left:
+            if len(zeros | p) <= n // 3:
+                zeros |= p
+        out.append("".join("0" if k in zeros else "1" for k in range(n)))
+        left = [p for p in left if not p <= zeros]
+    return out
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              item_col: str = "item_id", item_text_col: str = "text", masks: tuple[str, ...] = MASKS,
              stride: int = STRIDE, window: int = WINDOW, agree: float = AGREE) -> DataFrame:
@@ -68,17 +90,18 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     document and item. ``tie`` is the hash of the text: with the id it names the row."""
     items = stage(benchmark.select(F.col(item_col).alias("item_id"), _hashed(F.col(item_text_col)).alias("h"))
                   .filter("size(h) > 0").distinct(), "items")
-    span = max(map(len, masks))
-    short = [r[0] for r in items.select(F.size("h")).filter(F.size("h") < span).distinct().collect()]  # < span numbers
-    ones = {n: "1" * n for n in sorted(short)}
-    own = [F.when(F.size("h") == n, _seeds([mask], 1)).otherwise(F.expr(_NO_SEEDS)) for n, mask in ones.items()]
+    wide = F.least(F.size("h"), F.lit(window))
+    sizes = [r[0] for r in items.select(wide).distinct().collect()]  # at most ``window`` numbers
+    more = {n: more_masks(n, n - math.ceil(n * agree - 1e-9), masks) for n in sorted(sizes)}
+    own = [F.when(wide == n, _seeds(found, 1)).otherwise(F.expr(_NO_SEEDS)) for n, found in more.items() if found]
     all_seeds = F.concat(_seeds(list(masks), 1), *own)
+    extra = list(dict.fromkeys(m for found in more.values() for m in found))
     seeds = stage(items.select("item_id", F.size("h").alias("n"), F.explode(all_seeds).alias("s")).select(
         "item_id", "n", F.col("s.pos").alias("item_pos"), F.col("s.seed").alias("seed")), "seeds")
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     tied = rows.withColumn("tie", F.xxhash64("text"))
-    steps = [(list(masks), stride)] + ([(list(ones.values()), 1)] if short else [])
+    steps = [(list(masks), stride)] + ([(extra, 1)] if extra else [])
     hashed = tied.select("id", "tie", _hashed(F.col("text")).alias("h"))
     found = hashed.select("id", "tie", F.explode(F.concat(*[_seeds(m, k) for m, k in steps])).alias("s"))
     hits = found.select("id", "tie", F.col("s.pos").alias("pos"), F.col("s.seed").alias("seed")).join(

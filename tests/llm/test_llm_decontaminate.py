@@ -1,5 +1,6 @@
 import random
 import re
+from itertools import combinations
 
 from llm_helpers import CLASHES, awkward, docs, empty, words
 from polikit.llm import decontaminate as D
@@ -95,3 +96,34 @@ def test_empty_tables_and_items(spark):
     assert D.contaminated(empty(spark), odd).collect() == []
     assert D.contaminated(docs(spark), odd).collect() == []
     assert D.drop_contaminated(docs(spark), none).count() == len(awkward())
+
+
+def test_every_overlap_that_verifies_is_found(spark):
+    """Against the word check alone on every diagonal, without masks: each way to substitute as many
+    words as verification accepts, copies starting at even and odd words."""
+    rng = random.Random(7)
+    items, rows, wanted = [], [], {}
+    for n in (1, 3, 5, 6, 8, 9, 10, 11, 12, 13, 15):
+        item = [f"w{n}x{k}" for k in range(n)]
+        items.append((n, " ".join(item)))
+        size = min(n, D.WINDOW)
+        wrong = size - -(-size * 8 // 10)
+        for at, places in enumerate([*combinations(range(size), wrong)] * 2):
+            part = ["zzz" if k in places else x for k, x in enumerate(item[:size])]
+            before = words(rng, at % 2 + (at // 2) % 4)
+            rows.append((len(rows), " ".join(before + part + words(rng, 3)), "en", "a", 1))
+            wanted[len(rows) - 1] = (n, size - wrong, size, len(before))
+    got = {}
+    for r in D.contaminated(docs(spark, rows), spark.createDataFrame(items, BENCH)).collect():
+        got[r["doc_id"]] = (r["item_id"], r["matched"], r["window"], r["start"])
+    assert got == wanted
+
+
+def test_masks_are_complete_for_other_windows():
+    for n, wrong in ((13, 2), (13, 4), (20, 4), (60, 12), (9, 0)):
+        found = [*D.MASKS, *D.more_masks(n, wrong, D.MASKS)]
+        rng = random.Random(n)
+        for _ in range(300):
+            bad = set(rng.sample(range(n), wrong))
+            assert any(all(c == "0" or i + k not in bad for k, c in enumerate(m)) for m in found for i in range(n - len(m) + 1))
+    assert D.more_masks(D.WINDOW, 2, D.MASKS) == []
