@@ -15,8 +15,9 @@ is one partial sum a task; suffixes, domains and the corpus are sums of those su
 second pass scores each row once more beside its evidence, so no text is shuffled. A
 class ``und`` with equal odds for all trigrams takes texts that fit no language.
 
-The trigram model is fitted on a bounded sample: about ``sample_rows`` labelled rows,
-chosen by hash of the text, whole texts. Everything else covers all rows.
+The trigram model is fitted on a bounded sample: about ``sample_rows`` different labelled
+texts with letters, whole, chosen by hash; rare labels give all of theirs and the others
+equal shares of the rest, so that every label is a class. Everything else covers all rows.
 
 Null and letterless texts are ``und`` with confidence 0. A null declaration, host or address
 is a value like any other. Rows repeat as they come; other columns are carried unchanged,
@@ -77,12 +78,22 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 def fit_text_model(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
                    sample_rows: int = SAMPLE_ROWS) -> TextModel:
-    """Trigram counts by language over a hash-chosen sample of the labelled rows."""
-    rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).alias("label")).dropna()
-    n = rows.count()
-    share = 1 << 20
-    cut = share if n <= sample_rows else max(1, share * sample_rows // n)
-    sample = rows.filter(F.pmod(F.xxhash64("text"), F.lit(share)) < cut)
+    """Trigram counts by language over a hash-chosen sample of the labelled texts."""
+    share = 1 << 40
+    rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label")).dropna()
+    rows = rows.filter(F.col("text").rlike(r"[A-Za-z]|[^\x00-\x7F]")).withColumn("key", F.pmod(F.xxhash64("text"), F.lit(share)))
+    sizes = rows.select("label", "key").distinct().groupBy("label").agg(
+        F.count("*").alias("n"), F.min("key").alias("least")).limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    cuts, left = [], sample_rows
+    for i, (label, n, least) in enumerate(sorted(sizes, key=lambda r: (r["n"], r["label"]))):
+        take = max(1, min(n, left // (len(sizes) - i)))
+        cuts.append((label, share if take == n else max(share * take // n, least + 1)))
+        left = max(0, left - take)
+    side = F.broadcast(labelled.sparkSession.createDataFrame(cuts, "label string, cut long"))
+    sample = rows.join(side, "label").filter("key < cut").groupBy("label", "key").agg(F.first("text").alias("text"))
+    sample = sample.select("text", "label")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -98,8 +109,6 @@ def fit_text_model(labelled: DataFrame, text_col: str = "text", label_col: str =
     found = (sample.mapInArrow(run, "label string, bucket long, n long")
              .groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas())  # at most BUCKETS rows a language
     languages = sorted(found["label"].unique())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     counts = np.zeros((BUCKETS, len(languages)))
     for i, language in enumerate(languages):
         own = found[found["label"] == language]

@@ -47,6 +47,21 @@ def test_sample_is_bounded_and_the_fit_repeats(spark):
     assert (full.logs != a.logs).any()
 
 
+def test_rare_languages_are_classes_beyond_the_bound(spark):
+    rng = random.Random(11)
+    scripts = {"el": "αβγδεζηθ", "ru": "абвгдежз", "he": "אבגדהוזח", "th": "กขคงจฉชซ", "ka": "აბგდევზთ", "hy": "աբգդեզէը"}
+    rare = [(5000 + i, " ".join("".join(rng.choice(pool) for _ in range(5)) for _ in range(30)), lang, "s1", 1)
+            for i, (lang, pool) in enumerate(list(scripts.items()) * 3)]
+    rows = labelled(900) + rare
+    df = docs(spark, rows)
+    model = L.fit_text_model(df, sample_rows=100)
+    assert model.languages == sorted([*LETTERS, *scripts]) + ["und"]
+    copies = df.unionByName(df.filter("doc_id = 3").crossJoin(spark.range(400)).drop("id"))
+    assert (L.fit_text_model(copies, sample_rows=100).logs == model.logs).all()  # copies weigh once
+    got = L.identify(df, model, F.col("text"), F.col("lang"), F.col("source")).filter("row.doc_id >= 5000").collect()
+    assert len(got) == len(rare) and all(r["language"] == r["row"]["lang"] for r in got)
+
+
 def test_evidence_decides_short_texts(spark):
     """One ambiguous word: the declaration and the host's other pages tip it."""
     rng = random.Random(5)
