@@ -59,5 +59,22 @@ def test_crowded_turns_are_split_and_whole(spark):
     assert all(f"\nt{i}<|end|>" in whole for i in range(1000))
 
 
+def test_joined_pieces_are_the_view(spark):
+    """Several crowded turns in one part, identical rows, a null turn and a null conversation."""
+    rng = random.Random(4)
+    rows = [(c, t, rng.choice(["ann", "user", None, "system"]), f"t{rng.randrange(60)}")
+            for c in (1, None) for t in (0, 2, 3, 3, 5, None, 12) for _ in range(rng.choice([3, 45]))]
+    rows += [(1, 3, "ann", "same")] * 70 + [(1, 5, "user", "same")] * 70 + [(1, 6, "user", "last"), (2, 1, "ann", "calm")]
+    rng.shuffle(rows)
+    got = C.rotate(spark.createDataFrame(rows, TURNS).repartition(5), part_turns=10).collect()
+    assert len({(r["conv_id"], r["assistant"], r["part"], r["piece"]) for r in got}) == len(got)
+    whole = {}
+    for r in sorted(got, key=lambda r: (r["part"], r["piece"])):
+        text, spans = whole.get((r["conv_id"], r["assistant"], r["part"]), ("", []))
+        spans = spans + [(len(text) + s["start"], len(text) + s["end"]) for s in r["spans"]]
+        whole[r["conv_id"], r["assistant"], r["part"]] = (text + r["text"], spans)
+    assert whole == slow(rows, 10) and max(r["piece"] for r in got) > 10
+
+
 def test_empty_table(spark):
     assert C.rotate(spark.createDataFrame([], TURNS)).collect() == []
