@@ -134,28 +134,40 @@ def roots(edges: DataFrame) -> DataFrame:
         e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def simhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                  max_bits: int = 2, bucket_cap: int = 64) -> DataFrame:
-    """One row per input row: id_col, fingerprint (16 hex digits), component_id (the smallest id
-    reachable over links of at most ``max_bits`` differing bits, the row's own included)."""
-    base = stage(fingerprints(df, id_col, text_col, shingle), "fingerprints")
+def _components(base: DataFrame, id_col: str, max_bits: int, bucket_cap: int) -> DataFrame:
+    """(fp, root, component_id) of every fingerprint of ``base`` (id_col, fp)."""
     reps = stage(base.groupBy("fp").agg(F.min(id_col).alias("least_id")), "representatives")
     found = roots(links(reps.select("fp"), max_bits, bucket_cap))
     placed = reps.join(found, reps["fp"] == found["node"], "left").select(
         "fp", "least_id", F.coalesce("root", "fp").alias("root"))
     named = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_fp = stage(placed.join(named, "root").select("fp", "component_id"), "components")
+    return stage(placed.join(named, "root").select("fp", "root", "component_id"), "components")
+
+
+def simhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                  max_bits: int = 2, bucket_cap: int = 64) -> DataFrame:
+    """One row per input row: id_col, fingerprint (16 hex digits), component_id (the smallest id
+    reachable over links of at most ``max_bits`` differing bits, the row's own included)."""
+    base = stage(fingerprints(df, id_col, text_col, shingle), "fingerprints")
+    of_fp = _components(base, id_col, max_bits, bucket_cap)
     return base.join(of_fp, "fp").select(
         id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-             max_bits: int = 2) -> DataFrame:
-    """``df`` with one row of each group of near-duplicates, the one with the smallest id. Of
-    rows that repeat that id one stays; rows without an id cannot be named and all stay."""
+             max_bits: int = 2, bucket_cap: int = 64) -> DataFrame:
+    """``df`` with one row of each group of near-duplicates, the one with the smallest id (of several
+    texts with that id, that of the least fingerprint, then text hash). Of rows that repeat both
+    id and text one stays; rows without an id cannot be named and all stay."""
     if "component_id" == id_col:
         raise ValueError("component_id is the name of the result's column")
-    found = simhash_dedup(df, id_col, text_col, shingle, max_bits)
-    kept = found.filter(F.col(id_col) == F.col("component_id")).select(id_col)
-    named = df.filter(F.col(id_col).isNotNull()).join(kept.distinct(), id_col, "left_semi").dropDuplicates([id_col])
-    return named.select(*[F.col(f"`{c}`") for c in df.columns]).unionByName(df.filter(F.col(id_col).isNull()))
+    own, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    keyed = df.select(F.struct(own.alias("id"), F.xxhash64(text).alias("tie")).alias("row"), text.alias("text"))
+    base = stage(fingerprints(keyed, "row", "text", shingle).select("row.id", "row.tie", "fp"), "fingerprints")
+    found = base.join(_components(base, "id", max_bits, bucket_cap), "fp").filter("id = component_id")
+    kept = found.groupBy("root").agg(F.min(F.struct("id", "fp", "tie")).alias("least")).select(
+        F.col("least.id").alias("__kept_id"), F.col("least.tie").alias("__kept_tie"))
+    named = df.filter(own.isNotNull()).withColumn("__tie", F.xxhash64(text)).join(
+        kept, (own == F.col("__kept_id")) & (F.col("__tie") == F.col("__kept_tie")), "left_semi")
+    named = named.dropDuplicates([id_col, "__tie"])
+    return named.select(*[F.col(f"`{c}`") for c in df.columns]).unionByName(df.filter(own.isNull()))

@@ -98,3 +98,11 @@ def test_keep_one(spark):
     got = sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None)
     assert got == want
     assert sum(r["doc_id"] is None for r in kept.collect()) == sum(r[0] is None for r in rows)
+
+
+def test_keep_one_of_each_group_where_ids_repeat(spark):
+    a, b, c = "a b c d e f g", "one two three four five", "uno dos tres cuatro cinco"
+    rows = [(5, a, "en", "s", 1), (5, b, "en", "s", 1), (5, b, "en", "s", 1), (7, a, "en", "s", 1), (7, c, "en", "s", 1),
+            (3, c, "en", "s", 1)]
+    kept = S.keep_one(docs(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(3, c), (5, a), (5, b)]
