@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, html_extract, language_id, license_scan, mixing, simhash, token_codes, url_filter, vector_search
+from . import chat_format, decontaminate, dialogue_repair, html_extract, language_id, license_scan, mixing, simhash, token_codes, url_filter, vector_search
 from .common import table
 
 QUERIES: dict = {}
@@ -160,3 +160,9 @@ SELECT doc_id, item_id, CAST(x.matched AS INTEGER) AS matched, CAST(size AS INTE
        CAST(x.at + shift AS INTEGER) AS start
 FROM best WHERE place = 1
 """
+
+
+@query
+def op11_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = dialogue_repair.damaged(table(spark, sf_dir, "conversations"))
+    return dialogue_repair.summaries(dialogue_repair.repair(rows))
