@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, dialogue_repair, html_extract, language_id, license_scan, mixing, simhash, token_codes, url_filter, vector_search
+from . import chat_format, decontaminate, dialogue_repair, html_extract, language_id, lexical_search, license_scan, mixing, simhash, token_codes, url_filter, vector_search
 from .common import table
 
 QUERIES: dict = {}
@@ -166,3 +166,33 @@ FROM best WHERE place = 1
 def op11_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = dialogue_repair.damaged(table(spark, sf_dir, "conversations"))
     return dialogue_repair.summaries(dialogue_repair.repair(rows))
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+ORACLE["op13_lexical_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents WHERE text IS NOT NULL),
+live AS (SELECT r, doc_id, w, len(w) AS n FROM d WHERE len(w) > 0),
+totals AS (SELECT count(*) AS all_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM live),
+tf AS (SELECT r, doc_id, n, t, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(w) AS t FROM live) GROUP BY r, doc_id, n, t),
+weights AS (
+    SELECT t, CAST(floor(1000 * ln(CAST(2 * any_value(all_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM tf, totals GROUP BY t
+), items AS (SELECT item_id, row_number() OVER () AS i, {_TERMS} AS w
+             FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)),
+asked AS (SELECT i, item_id, t, count(*) AS repeats FROM (SELECT i, item_id, unnest(w) AS t FROM items) GROUP BY i, item_id, t),
+scored AS (
+    SELECT i, item_id, r, doc_id, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * all_docs) // all_terms)))) AS score
+    FROM asked JOIN tf USING (t) JOIN weights USING (t), totals GROUP BY i, item_id, r, doc_id
+), ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id,
+           CAST(score AS BIGINT) AS score FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
