@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, dialogue_repair, html_extract, language_id, lexical_search, license_scan, mixing, simhash, token_codes, url_filter, vector_search
+from . import chat_format, decontaminate, dialogue_repair, html_extract, language_id, lexical_search, license_scan, mixing, personal_data, simhash, token_codes, url_filter, vector_search
 from .common import table
 
 QUERIES: dict = {}
@@ -196,3 +196,9 @@ scored AS (
 )
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
 """
+
+
+@query
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    field = personal_data.fit(personal_data.labelled_table(spark))
+    return personal_data.digests(personal_data.find(table(spark, sf_dir, "documents"), field))
