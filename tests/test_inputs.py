@@ -16,7 +16,7 @@ from polikit.sources.feed import policy_feed, policy_feed_files
 
 def _feed_folder(spark, scratch, lineitem):
     for name in ("orders", "part", "customer"):
-        shutil.copy(f"{SMOKE}/{name}.parquet", f"{scratch}/{name}.parquet")
+        shutil.copyfile(f"{SMOKE}/{name}.parquet", f"{scratch}/{name}.parquet")
     lineitem.write.mode("overwrite").parquet(f"{scratch}/lineitem.parquet")
     return scratch
 
