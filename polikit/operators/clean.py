@@ -89,12 +89,13 @@ def derive_silver_columns(df: DataFrame, rules: PolicyRules = DEFAULT_RULES) ->
     )
 
 
+# Fixed value: the renaming rule. A column name is stripped, lower-cased, and each blank in it becomes "_".
 def snake_case_columns(df: DataFrame) -> DataFrame:
-    """Runs of white space in a column name become ``_``, letters become small."""
-    names = {c: "_".join(c.split()).lower() for c in df.columns}
-    if len(set(names.values())) < len(names):
-        raise ValueError("column names that differ only in case or spaces")
-    return df.withColumnsRenamed(names)
+    """Column names by the renaming rule; names that differ only in case or blanks are an error."""
+    names = [c.strip().lower().replace(" ", "_") for c in df.columns]
+    if len(set(names)) < len(names):
+        raise ValueError("column names that differ only in case or blanks")
+    return df.toDF(*names)
 
 
 def clean_policies(bronze: DataFrame, rules: PolicyRules = DEFAULT_RULES) -> DataFrame:

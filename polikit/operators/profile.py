@@ -1,19 +1,18 @@
 """Profiling of the raw feed (EDA): frequencies, ranges, percentiles, statistics,
 null counts, proposed derived columns. Long-form DataFrames, one fused pass where
-the measures allow it; nothing is collected to the driver."""
+the measures allow it; only counters of a bounded number pass through the driver."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import parse_date
 from ..functions.money import ratio_half_up_sql
 from ..rules import DEFAULT_RULES
-from .ids import ranged
 from .staging import stage_table
 
 # ---------------------------------------------------------------------------
@@ -87,45 +86,88 @@ def _common_type(df: DataFrame, columns) -> str:
     return "double"
 
 
-def _target_rank(n: Column, num: int, den: int) -> Column:
-    """ceil(n * num / den), at least 1, in integers."""
-    up = n * num + (den - 1)
-    return F.greatest(F.lit(1).cast("long"), ((up - F.pmod(up, F.lit(den))) / den).cast("long"))
+#: Bins of a range, and rows of a range that are told apart by value at once.
+BINS = 1024
 
 
-def percentiles_exact(df: DataFrame, columns=PERCENTILE_COLUMNS, probs=PERCENTILES,
-                      num_partitions: int | None = None) -> DataFrame:
-    """Discrete percentiles (the first value whose cumulative share reaches p), exact and
-    distributed, for several columns in one pass:
+def _bin(x: str, low: str, high: str, floating: bool) -> str:
+    """SQL text: the bin of ``x`` in [low, high], 0 to BINS - 1, rising with ``x``; ``low`` and ``high`` differ,
+    so they fall in different bins. Exact differences are taken before any rounding."""
+    def from_low(v: str) -> str:
+        # halves, as a difference of doubles may exceed doubles
+        return f"({v} / 2 - {low} / 2)" if floating else f"CAST({v} - {low} AS DOUBLE)"
+    return f"CAST(LEAST({BINS - 1}, FLOOR({from_low(x)} / {from_low(high)} * {BINS})) AS INT)"
 
-    (column, value) pairs -> distinct pairs with counts (partial aggregation) -> range-
-    partitioned and staged (``ids.ranged``) -> rows per (column, partition), a table bounded by
-    the partition count -> from that, the partitions that hold a target rank -> a running count
-    within those partitions only. No aggregate ever holds all values of a column in one
-    buffer, and values in partitions without a target are never ranked.
-    """
+
+def percentiles_exact(df: DataFrame, columns=PERCENTILE_COLUMNS, probs=PERCENTILES) -> DataFrame:
+    """Discrete percentiles (the first value whose cumulative share reaches p), exact, for several
+    columns: (column_name, percentile, ordinal, exact_value, value).
+
+    Selection by repeated histograms. The first pass gives each column's rows, least and greatest
+    value; each later one counts the values of the open ranges (those that hold a target
+    rank) by bin, with each bin's least and greatest value, and the bin that holds the rank is
+    the next range. A range of at most ``BINS`` rows is counted by value, which ends it, as does
+    one whose least and greatest value agree. A pass is one scan and one aggregate of at most
+    ranges x BINS groups, combined in each task: no value is sorted, staged or shuffled, and a value
+    that a third of all rows have is one counter. Passes grow with the logarithm of a column's range,
+    not with the rows. ``df`` is read once a pass: pass a written table.
+
+    Nulls are left out, as are doubles that are no finite numbers; a column without values gives no rows.
+    Whole numbers come back as decimal(38,0); differences of decimals must fit 38 digits."""
     columns = list(columns)
-    vt = _common_type(df, columns)
-    pairs = _long_sql(df, [f"named_struct('_c', '{c}', '_v', CAST({_q(c)} AS {vt}))" for c in columns])
-    vc = pairs.filter(F.col("_v").isNotNull()).groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_w"))
-    placed = ranged(vc, [F.col("_c").asc(), F.col("_v").asc()], num_partitions)
-    per = placed.groupBy("_c", "_pid").agg(F.sum("_w").alias("_s"))
-    earlier = Window.partitionBy("_c").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.select("_c", "_pid", "_s", F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_before"),
-                     F.sum("_s").over(Window.partitionBy("_c")).alias("_n"))
-    targets = F.array(*[F.struct(F.lit(lbl).alias("label"), F.lit(i).alias("ord"),
-                                 _target_rank(F.col("_n"), num, den).alias("r"))
-                        for i, (lbl, num, den) in enumerate(probs)])
-    here = F.filter(targets, lambda t: (t["r"] > F.col("_before")) & (t["r"] <= F.col("_before") + F.col("_s")))
-    holding = per.select("_c", "_pid", "_before", here.alias("_t")).filter(F.size("_t") > 0)  # at most one a target
-    within = Window.partitionBy("_c", "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rank = F.col("_before") + F.sum("_w").over(within)
-    ranked = placed.join(F.broadcast(holding), ["_c", "_pid"]).select("_c", "_v", "_w", "_t", rank.alias("_rank"))
-    hit = F.filter("_t", lambda t: (t["r"] > F.col("_rank") - F.col("_w")) & (t["r"] <= F.col("_rank")))
-    return (ranked.select("_c", "_v", F.explode(hit).alias("t"))
-            .select(F.col("_c").alias("column_name"), F.col("t.label").alias("percentile"),
-                    F.col("t.ord").alias("ordinal"), F.col("_v").alias("exact_value"),
-                    F.col("_v").cast("double").alias("value")))
+    kind = _common_type(df, columns)
+    floating = kind == "double"
+    kind = "decimal(38,0)" if kind == "long" else kind  # differences of longs may exceed longs
+    usable = df.select(*[F.col(_q(c)).cast(kind).alias(c) for c in columns])
+    if floating:
+        finite = [f"CASE WHEN NOT isnan({_q(c)}) AND abs({_q(c)}) < DOUBLE('Infinity') THEN {_q(c)} END AS {_q(c)}" for c in columns]
+        usable = usable.selectExpr(*finite)
+    bounds = usable.selectExpr(*[f"{f}({_q(c)}) AS `{i}_{f}`" for i, c in enumerate(columns) for f in ("count", "min", "max")]).first()
+    found: dict[tuple[str, int], object] = {}
+    # a range: column, least and greatest value, rows, rows below it, and its targets' (ordinal, rank)
+    ranges = []
+    for i, c in enumerate(columns):
+        n = bounds[f"{i}_count"]
+        ranks = [(j, max(1, -(-n * num // den))) for j, (_, num, den) in enumerate(probs)]
+        if n:
+            ranges.append((c, bounds[f"{i}_min"], bounds[f"{i}_max"], n, 0, ranks))
+    while ranges:
+        still = []
+        for c, low, high, n, below, ranks in ranges:
+            if low == high:
+                found.update({(c, j): low for j, _ in ranks})
+            else:
+                still.append((c, low, high, n, below, ranks))
+        ranges, counted = still, _count_ranges(usable, still, kind, floating) if still else {}
+        still = []
+        for k, (c, _, _, _, below, ranks) in enumerate(ranges):
+            held: dict[tuple, tuple] = {}
+            for n, low, high in sorted(counted[k], key=lambda r: r[1]):
+                inside = [(j, r) for j, r in ranks if below < r <= below + n]
+                if inside:
+                    held[low, high] = (c, low, high, n, below, inside)
+                below += n
+            still += held.values()
+        ranges = still
+    rows = [(c, lbl, j, found[c, j], float(found[c, j])) for c in columns for j, (lbl, _, _) in enumerate(probs) if (c, j) in found]
+    return df.sparkSession.createDataFrame(
+        rows, f"column_name string, percentile string, ordinal int, exact_value {kind}, value double")
+
+
+def _count_ranges(usable: DataFrame, ranges: list[tuple], kind: str, floating: bool) -> dict[int, list[tuple]]:
+    """(rows, least, greatest) of each filled bin of each range; one scan for all."""
+    entries = []
+    for k, (c, low, high, n, _, _) in enumerate(ranges):
+        x, lo, hi = _q(c), f"CAST('{low!r}' AS {kind})" if floating else f"CAST('{low}' AS {kind})", \
+            f"CAST('{high!r}' AS {kind})" if floating else f"CAST('{high}' AS {kind})"
+        by = "CAST(NULL AS INT)" if n <= BINS else _bin(x, lo, hi, floating)
+        alone = x if n <= BINS else f"CAST(NULL AS {kind})"
+        entries.append(f"CASE WHEN {x} BETWEEN {lo} AND {hi} THEN named_struct('k', {k}, 'bin', {by}, 'alone', {alone}, 'x', {x}) END")
+    spread = usable.selectExpr(f"inline(filter(array({', '.join(entries)}), e -> e IS NOT NULL))")
+    out: dict[int, list[tuple]] = {k: [] for k in range(len(ranges))}
+    for r in spread.groupBy("k", "bin", "alone").agg(F.count(F.lit(1)), F.min("x"), F.max("x")).collect():
+        out[r[0]].append((r[3], r[4], r[5]))
+    return out
 
 
 def percentiles_approx(df: DataFrame, columns=PERCENTILE_COLUMNS, probs=PERCENTILES,
@@ -219,14 +261,14 @@ def _segment(x: Column, lo: Column, hi: Column) -> Column:
 def quantile_segments(silver: DataFrame, cuts=SEGMENT_CUTS) -> DataFrame:
     """Low / Medium / High from the data's own 33rd / 66th percentiles (a proposed rule).
 
-    Cuts and values are compared as decimals. The four cut values come from one percentile pass (staged: four rows) and are
-    attached as scalar subqueries (evaluated once, inlined as values): no join with
-    the policy rows."""
-    cuts = stage_table(percentiles_exact(silver, ["premium", "insured_value"], cuts), "cuts")
+    The four cut values come from one ``percentiles_exact`` and are compared as constants of
+    their own type: no join with the policy rows. ``silver`` is read once a percentile pass:
+    pass a written table."""
+    found = {(r["column_name"], r["percentile"]): r["exact_value"]
+             for r in percentiles_exact(silver, ["premium", "insured_value"], cuts).collect()}
 
     def cut(column: str, label: str) -> Column:
-        return cuts.filter((F.col("column_name") == column) & (F.col("percentile") == label)) \
-            .agg(F.max("exact_value")).scalar()
+        return F.lit(found.get((column, label)))
     prem_lo, prem_hi = cut("premium", "p33"), cut("premium", "p66")
     val_lo, val_hi = cut("insured_value", "p33"), cut("insured_value", "p66")
     return silver.select("object_id", "insr_begin", "insr_end",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import profile as PF
 from ..operators import quality as Q
+from ..operators.staging import stage_table
 from ..rules import DEFAULT_RULES as R
 from ..schemas import RAW_SCHEMA
 from ..session import ensure_checkpoint_dir
@@ -275,7 +276,8 @@ def _pct_sql(src, col, probs):
 @register("prf_percentiles_exact", O.with_ctes("bronze", union(
     [_pct_sql("bronze", c, PF.PERCENTILES) for c in PF.PERCENTILE_COLUMNS])))
 def prf_percentiles_exact(spark, sf):
-    return PF.percentiles_exact(L.bronze(spark, sf)).drop("exact_value")
+    values = stage_table(L.bronze(spark, sf).select(*PF.PERCENTILE_COLUMNS), "profiled")
+    return PF.percentiles_exact(values).drop("exact_value")
 
 
 @register("prf_percentiles_approx", O.with_ctes("bronze", union([
@@ -333,7 +335,7 @@ SELECT object_id, strftime(insr_begin, '%Y-%m-%d') AS insr_begin, strftime(insr_
        {_seg_sql('insured_value', _cut_sql('insured_value', 33), _cut_sql('insured_value', 66))} AS value_segment_q
 FROM silver"""))
 def drv_quantile_segments(spark, sf):
-    return L.portable(PF.quantile_segments(L.silver(spark, sf)))
+    return L.portable(PF.quantile_segments(stage_table(L.silver(spark, sf), "silver")))
 
 
 @register("drv_effective_year", O.with_ctes("silver", """
