@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from ..functions.dates import parse_date
 from ..functions.money import ratio_half_up_sql
 from ..rules import DEFAULT_RULES
+from .quality import key_duplicates
 from .staging import stage_table
 
 # ---------------------------------------------------------------------------
@@ -205,22 +206,33 @@ def approx_rank_check(df: DataFrame, columns=PERCENTILE_COLUMNS, probs=PERCENTIL
 
 
 def describe(df: DataFrame, columns=None) -> DataFrame:
-    """count, mean, sample stddev, min and max (as text) of every column; one pass.
+    """count, mean, sample stddev, min and max (as text) of every column: one aggregate of the
+    numbers, whose buffers are updated in place, and one of the other columns.
 
-    Means of exact numbers are exact, rounded to 4 decimals. A standard deviation is a
-    sum of doubles, whose last digits depend on the order of the rows: it is given to 6
-    significant digits. Text columns have no mean and no stddev."""
+    Means of exact numbers are exact, rounded to 4 decimals. A standard deviation, and a mean of
+    doubles, is a sum of doubles, whose last digits depend on the order of the rows: it is
+    given to 6 significant digits. Text columns have no mean and no stddev."""
     columns = list(columns or df.columns)
-    kinds = {c: df.schema[c].dataType for c in columns}
+    numbers = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
+    others = [c for c in columns if c not in numbers]
+    parts = [_describe(df, own) for own in (numbers, others) if own]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _describe(df: DataFrame, columns: list[str]) -> DataFrame:
     aggs, entries = [], []
     for c in columns:
-        x, kind = _q(c), kinds[c]
+        x, kind = _q(c), df.schema[c].dataType
         aggs += [f"count({x}) AS `{c}__n`", f"min({x}) AS `{c}__min`", f"max({x}) AS `{c}__max`"]
         mean, spread = "CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)"
-        if isinstance(kind, T.NumericType):
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            aggs += [f"avg({x}) AS `{c}__s`", f"stddev_samp({x}) AS `{c}__sd`"]
+            mean, spread = significant_sql(f"`{c}__s`", 6), significant_sql(f"`{c}__sd`", 6)
+        elif isinstance(kind, T.NumericType):
             scale = kind.scale if isinstance(kind, T.DecimalType) else 0
-            aggs += [f"sum(CAST({x} AS DECIMAL(38,{scale}))) AS `{c}__s`",
-                     f"stddev_samp(CAST({x} AS DOUBLE)) AS `{c}__sd`"]
+            # a sum of decimals has ten digits more than they; of whole numbers, 19
+            total = x if isinstance(kind, T.DecimalType) else f"CAST({x} AS DECIMAL(28,0))"
+            aggs += [f"sum({total}) AS `{c}__s`", f"stddev_samp(CAST({x} AS DOUBLE)) AS `{c}__sd`"]
             mean = ratio_half_up_sql(f"`{c}__s`", f"`{c}__n`", 4, scale)
             spread = significant_sql(f"`{c}__sd`", 6)
         entries.append(f"named_struct('column_name', '{c}', 'n', `{c}__n`, 'mean', {mean}, 'stddev', {spread}, "
@@ -247,11 +259,7 @@ def null_or_empty_counts(df: DataFrame) -> DataFrame:
 
 def duplicate_groups(df: DataFrame, keys) -> DataFrame:
     """Key groups seen more than once (groups, not rows), with the rows they hold."""
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return per_key.agg(F.count_if(F.col("_n") > 1).alias("duplicate_groups"),
-                       F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("long")
-                       .alias("rows_in_duplicate_groups"),
-                       F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total_rows"))
+    return key_duplicates(df, keys).select("*", df.agg(F.count(F.lit(1)).alias("n")).scalar().alias("total_rows"))
 
 
 def _segment(x: Column, lo: Column, hi: Column) -> Column:

@@ -1,11 +1,10 @@
 """Data-quality checks whose findings are DataFrames.
 
-A suite is an ordered list of checks. All row-level checks of a suite become
-``count_if`` columns of ONE aggregate; a duplicate-key check turns that aggregate
-into a group-by on the key (partial aggregation per task, so a hot key is cheap),
-whose per-key counts are summed by a second, global aggregate that also counts the
-keys seen more than once. One job per suite, nothing collected: the findings are a
-long-form DataFrame (``inline`` of an array of structs).
+A suite is an ordered list of checks, answered in two ways. All row-level checks become
+``count_if`` columns of ONE global aggregate: a task sends one row of counters, and no
+column of the table crosses an exchange. Duplicate keys are found beside that on a
+128-bit hash of the key alone (``key_duplicates``). Nothing is collected: the findings are
+a long-form DataFrame (``inline`` of an array of structs).
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.money import ratio_half_up
 from ..rules import DEFAULT_RULES, PolicyRules
@@ -104,6 +104,40 @@ def pct(n: str, total: str) -> Column:
     return F.coalesce(ratio_half_up(f"{n} * 100", total, 2), F.lit(0.0))
 
 
+def key_hash(keys) -> list[Column]:
+    """128 bits of a key, nulls told from values."""
+    cols = [F.col(_q(k)) for k in keys]
+    nulls = reduce(lambda a, b: a + b, [F.when(c.isNull(), 1 << i).otherwise(0) for i, c in enumerate(cols)])
+    return [F.xxhash64(*cols, nulls).alias("_h1"), F.xxhash64(nulls, F.lit("second"), *reversed(cols)).alias("_h2")]
+
+
+def key_duplicates(df: DataFrame, keys) -> DataFrame:
+    """One row: (duplicate_groups, rows_in_duplicate_groups) of the keys seen more than once.
+
+    Rows are counted by a hash of the key, so 24 bytes a row cross the exchange whatever the
+    key's width (fewer where keys repeat within a task: a key with a third of all rows is one
+    partial count a task). Only rows whose hash is seen twice are then counted by
+    the key itself, which tells true duplicates from collisions. A single number is its own hash."""
+    keys = list(keys)
+    alone = len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, T.NumericType)
+    if alone:
+        per = df.groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    else:
+        hashed = df.select(*[F.col(_q(k)) for k in keys], *key_hash(keys))
+        twice = hashed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_h1", "_h2")
+        per = hashed.join(twice, ["_h1", "_h2"], "left_semi").groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    return per.filter("_n > 1").agg(F.count(F.lit(1)).alias("duplicate_groups"),
+                                    F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows_in_duplicate_groups"))
+
+
+def _totals(df: DataFrame, counts: list[Column], keys=None, dup_name: str = "") -> DataFrame:
+    """One row: _total, the counts, and the duplicate groups of ``keys`` under ``dup_name``."""
+    totals = df.agg(F.count(F.lit(1)).alias("_total"), *counts)
+    if keys is None:
+        return totals
+    return totals.select("*", key_duplicates(df, keys).select("duplicate_groups").scalar().alias(dup_name))
+
+
 def run_suite(df: DataFrame, items: list, with_ordinal: bool = False) -> DataFrame:
     """Findings (check, column, issue, row_count, pct, status) in suite order."""
     checks = [(i, it) for i, it in enumerate(items) if isinstance(it, Check)]
@@ -111,15 +145,7 @@ def run_suite(df: DataFrame, items: list, with_ordinal: bool = False) -> DataFra
     if len(dups) > 1:
         raise ValueError("one duplicate-key check per suite")
     counts = [_count_if(c.violation, f"_c{i}") for i, c in checks]
-    if dups:
-        i_dup, dup = dups[0]
-        per_key = df.groupBy(*dup.keys).agg(F.count(F.lit(1)).alias("_n"), *counts)
-        totals = per_key.selectExpr(
-            "CAST(COALESCE(SUM(_n), 0) AS BIGINT) AS _total",
-            *[f"CAST(COALESCE(SUM(_c{i}), 0) AS BIGINT) AS _c{i}" for i, _ in checks],
-            f"count_if(_n > 1) AS _c{i_dup}")
-    else:
-        totals = df.agg(F.count(F.lit(1)).alias("_total"), *counts)
+    totals = _totals(df, counts, dups[0][1].keys, f"_c{dups[0][0]}") if dups else _totals(df, counts)
     rows = []
     for i, it in enumerate(items):
         kind, issue = (it.check, it.issue) if isinstance(it, Check) else ("uniqueness", "duplicate keys")
@@ -235,7 +261,7 @@ EDA_COLUMNS = ["column", "dq_dimension", "issue", "row_count", "pct", "action"]
 def eda_findings(df: DataFrame, rules: PolicyRules = DEFAULT_RULES) -> DataFrame:
     """Profiling findings of the raw feed: only non-zero findings, each with an action.
 
-    Same layout as ``run_suite``: one group-by on the policy key carries every count."""
+    Answered in two ways like ``run_suite``."""
     fmt = rules.date_format
     b, e = _parsed("INSR_BEGIN", fmt), _parsed("INSR_END", fmt)
     specs = []  # (column, dimension, prefix, suffix, violation SQL, action)
@@ -253,12 +279,7 @@ def eda_findings(df: DataFrame, rules: PolicyRules = DEFAULT_RULES) -> DataFrame
     specs.append(("SEX", "Validity", f"Value not in {{{dom}}}: ", "",
                   f"NOT (SEX IN ({', '.join(_lit(v) for v in rules.eda_sex_domain)}))", "flag"))
     keys = list(rules.policy_key)
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                    *[_count_if(sp[4], f"_c{i}") for i, sp in enumerate(specs)])
-    dup_i = len(specs)
-    totals = per_key.selectExpr("CAST(COALESCE(SUM(_n), 0) AS BIGINT) AS _total",
-                                *[f"CAST(COALESCE(SUM(_c{i}), 0) AS BIGINT) AS _c{i}" for i in range(len(specs))],
-                                f"count_if(_n > 1) AS _c{dup_i}")
+    totals = _totals(df, [_count_if(sp[4], f"_c{i}") for i, sp in enumerate(specs)], keys, f"_c{len(specs)}")
     specs.append((" + ".join(keys), "Uniqueness", "Duplicate policy keys (", " groups)", None, "dropDuplicates"))
     rows = [f"named_struct('ordinal', {i}, 'column', {_lit(sp[0])}, 'dq_dimension', {_lit(sp[1])}, "
             f"'_pre', {_lit(sp[2])}, '_suf', {_lit(sp[3])}, 'row_count', CAST(_c{i} AS BIGINT), "

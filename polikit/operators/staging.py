@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -36,3 +37,12 @@ def release_staged(spark: SparkSession, mark: int = 0) -> int:
     for path in map(jvm.org.apache.hadoop.fs.Path, own):
         path.getFileSystem(conf).delete(path, True)
     return len(own)
+
+
+#: A side is broadcast only if it has been counted and has at most this many (narrow) rows.
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A broadcast hint for a side counted to be small; a larger one is left to a shuffle join."""
+    return F.broadcast(df) if df.count() <= limit else df

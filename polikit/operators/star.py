@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import policy as P
 from ..functions.dates import date_key
 from ..rules import DEFAULT_RULES, PolicyRules
 from ..sources.calendar import dim_date as _calendar_dim
-from .ids import dense_ids, storage_ids
+from .ids import ROWS_PER_PARTITION, counted_ids, dense_ids, storage_ids
+from .staging import BROADCAST_ROWS, broadcast_if_small, stage_table
 
 FACT_MEASURE_COLUMNS = [
     ("prod_year", "int"), ("sex", "int"), ("insured_value", None), ("premium", None), ("claim_paid", None),
@@ -21,6 +22,17 @@ FACT_MEASURE_COLUMNS = [
 ]
 
 
+#: Policies of one vehicle that a join task is meant to take.
+SALT_ROWS = 1_000_000
+
+
+def counted_vehicles(gold: DataFrame, rules: PolicyRules = DEFAULT_RULES, num_partitions: int | None = None) -> DataFrame:
+    """``dim_vehicle`` with the policies of each combination (``_policies``), from the same aggregate."""
+    attrs = list(rules.vehicle_attributes)
+    counted = gold.groupBy(*attrs).agg(F.count(F.lit(1)).alias("_policies"))
+    return dense_ids(counted, [F.col(a).asc_nulls_last() for a in attrs], "vehicle_id", num_partitions, id_type="int")
+
+
 def dim_vehicle(gold: DataFrame, rules: PolicyRules = DEFAULT_RULES, num_partitions: int | None = None) -> DataFrame:
     """Distinct vehicle attribute combinations with a dense id in attribute order (nulls last)."""
     attrs = list(rules.vehicle_attributes)
@@ -62,42 +74,83 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFr
     return left.join(right, cond, "inner").drop(*[right[k] for k in keys])
 
 
+def surrogate(attrs: list[str]) -> Column:
+    """A 64-bit key of null-safe attributes: of the values and of which are null."""
+    nulls = reduce(lambda a, b: a + b, [F.when(F.col(c).isNull(), 1 << i).otherwise(0) for i, c in enumerate(attrs)])
+    return F.xxhash64(*attrs, nulls)
+
+
+def surrogate_join(left: DataFrame, right: DataFrame, attrs: list[str], value: str, count: str | None = None,
+                   salt: str | None = None, salt_rows: int = SALT_ROWS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``left`` with ``value`` of the row of ``right`` that has the same ``attrs`` (nulls equal), inner.
+
+    The join key is one long instead of the attributes (six columns and their null flags would be
+    hashed, shuffled and compared); matches are verified on the attributes, so a collision of
+    keys costs a comparison and changes nothing. A ``right`` of at most ``broadcast_rows`` is broadcast.
+    Else a row of ``right`` whose ``count`` exceeds ``salt_rows`` is repeated once for each so many, and the
+    rows of ``left`` are dealt among the repeats by ``salt``: no task takes all rows of one key."""
+    own = right.select(surrogate(attrs).alias("_key_"), *[F.col(a).alias(f"_{a}") for a in attrs], value,
+                       *([F.col(count).alias("_count")] if count else []))
+    keyed = left.withColumn("_key", surrogate(attrs))
+    same = reduce(lambda a, b: a + b, [F.col(a).eqNullSafe(F.col(f"_{a}")).cast("int") for a in attrs]) == len(attrs)
+    found = (F.col("_key") == F.col("_key_")) & same
+    helpers = ["_key", "_key_", *[f"_{a}" for a in attrs]]
+    if right.count() <= broadcast_rows:
+        return keyed.join(F.broadcast(own), found).drop(*helpers, "_count")
+    if not (count and salt):
+        return keyed.join(own, found).drop(*helpers, "_count")
+    # crowded keys have more than salt_rows rows each, so they are few
+    crowded = own.groupBy(F.col("_key_").alias("_crowded")).agg(F.max("_count").alias("_most")).filter(F.col("_most") > salt_rows)
+    crowded = broadcast_if_small(crowded.select("_crowded", F.ceil(F.col("_most") / salt_rows).cast("int").alias("_salts")))
+    salts = F.coalesce("_salts", F.lit(1))
+    dealt = keyed.join(crowded, F.col("_key") == F.col("_crowded"), "left").withColumn("_salt", F.pmod(F.xxhash64(salt), salts).cast("int"))
+    repeated = own.join(crowded, F.col("_key_") == F.col("_crowded"), "left")
+    repeated = repeated.withColumn("_salt_", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_crowded", "_salts", "_count")
+    return dealt.drop("_crowded", "_salts").join(repeated, found & (F.col("_salt") == F.col("_salt_"))).drop(*helpers, "_salt", "_salt_")
+
+
 def fact_policies(gold: DataFrame, vehicles: DataFrame, types: DataFrame, rules: PolicyRules = DEFAULT_RULES,
-                  num_partitions: int | None = None, ordered_ids: bool = True) -> DataFrame:
+                  num_partitions: int | None = None, ordered_ids: bool = True, salt_rows: int = SALT_ROWS,
+                  broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One row per gold policy with a known type code; dense ``fact_id`` in
     (insr_begin, insr_end, object_id) order (unique in silver).
 
     The dimensions are built from this same gold, so each kept gold row matches exactly
-    one vehicle (null-safe on all six attributes) and one type: the inner joins keep the
-    row count. The lookups come first, so what is staged, sampled and sorted for the ids
-    are the narrow fact rows (date keys are in date order).
+    one vehicle (``surrogate_join``) and one type: the lookups keep the row count. Ids come
+    from counts by day (``ids.counted_ids``), taken from three columns of gold (date keys are in
+    date order): where the vehicles are broadcast, the fact is shuffled once.
 
-    ``ordered_ids=False`` numbers the rows in storage order instead: no sort of the
+    ``vehicles`` may carry ``_policies``, the policies of each (``counted_vehicles``), for the salt.
+    ``num_partitions``: about how many partitions the ids are dealt over (default: by rows).
+    ``ordered_ids=False`` numbers the rows in storage order instead: no shuffle of the
     fact, ids dense and unique but not in date order."""
     attrs = list(rules.vehicle_attributes)
-    g = null_safe_join(gold.filter(F.col("insr_type").isNotNull()), vehicles, attrs)
-    g = g.join(types.select("insurance_type_id", "insr_type_code"),
-               g["insr_type"] == F.col("insr_type_code"), "inner")
+    known = gold.filter(F.col("insr_type").isNotNull())
+    count = "_policies" if "_policies" in vehicles.columns else None
+    g = surrogate_join(known, vehicles, attrs, "vehicle_id", count, "object_id", salt_rows, broadcast_rows)
+    # the type codes are a fixed code list
+    g = g.join(F.broadcast(types.select("insurance_type_id", "insr_type_code")), g["insr_type"] == F.col("insr_type_code"), "inner")
+    keys = [F.col("object_id").cast("long").alias("object_id"), date_key(F.col("insr_begin")).alias("insr_begin_id"),
+            date_key(F.col("insr_end")).alias("insr_end_id")]
     rows = g.select(
-        F.col("object_id").cast("long").alias("object_id"),
-        "vehicle_id", "insurance_type_id",
-        date_key(F.col("insr_begin")).alias("insr_begin_id"),
-        date_key(F.col("insr_end")).alias("insr_end_id"),
+        keys[0], "vehicle_id", "insurance_type_id", *keys[1:],
         *[(F.col(c).cast(t) if t else F.col(c)).alias(c) for c, t in FACT_MEASURE_COLUMNS],
     )
-    order = [F.col(c).asc_nulls_last() for c in ("insr_begin_id", "insr_end_id", "object_id")]
-    return dense_ids(rows, order, "fact_id", num_partitions) if ordered_ids else storage_ids(rows, "fact_id")
+    if not ordered_ids:
+        return storage_ids(rows, "fact_id")
+    size = ROWS_PER_PARTITION if num_partitions is None else max(1, -(-known.count() // num_partitions))
+    return counted_ids(rows, ["insr_begin_id", "insr_end_id"], "object_id", "fact_id", known.select(*keys), size)
 
 
 def build_star(gold: DataFrame, rules: PolicyRules = DEFAULT_RULES, ordered_fact_ids: bool = True,
                fact_partitions: int | None = None, vehicle_partitions: int | None = None) -> dict[str, DataFrame]:
     """The four tables. ``gold`` is read several times: pass a written table. Partition counts are
-    those of the range sorts; by default they follow the row counts (``ids.ROWS_PER_PARTITION``)."""
+    those the ids are dealt over; by default they follow the row counts (``ids.ROWS_PER_PARTITION``)."""
     spark = gold.sparkSession
-    vehicles = dim_vehicle(gold, rules, vehicle_partitions)
+    vehicles = stage_table(counted_vehicles(gold, rules, vehicle_partitions), "vehicles")
     types = dim_insurance_type(gold, rules)
     return {
-        "dim_vehicle": vehicles,
+        "dim_vehicle": vehicles.drop("_policies"),
         "dim_insurance_type": types,
         "dim_date": dim_date(spark, rules),
         "fact_policies": fact_policies(gold, vehicles, types, rules, fact_partitions, ordered_fact_ids),

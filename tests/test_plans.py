@@ -75,14 +75,26 @@ def test_calendar_is_broadcast(spark, scratch):
     assert "BroadcastExchange" in plan and "BroadcastHashJoin" in plan
 
 
-def test_dq_suite_is_one_keyed_aggregation(spark):
+def _hashed_exchanges(plan: str) -> list[list[str]]:
+    """Names of the columns that each hash exchange of a formatted plan moves."""
+    found = re.findall(r"\(\d+\) Exchange\s*\nInput \[\d+\]: \[([^\]]*)\]\s*\nArguments: hashpartitioning", plan)
+    return [[re.sub(r"#.*", "", c.strip()) for c in cols.split(",")] for cols in found]
+
+
+def test_no_check_column_crosses_an_exchange(spark, scratch):
+    """Row checks are one global aggregate; duplicates move a hash of the key and, for those seen
+    twice, the key."""
     from polikit.operators import quality
     from polikit.plans import layers as L
-    plan = plan_of(spark, quality.dq_bronze(L.bronze_of_files(spark, SMOKE)))
-    tree = plan.split("\n\n")[0]
-    above_union = tree.split("Union")[0]
-    # keyed partial + final aggregate, then the global one: no join or window over the rows
-    assert above_union.count("HashAggregate") >= 3 and "Join" not in above_union and "Window" not in tree
+    from polikit.rules import DEFAULT_RULES as R
+    L.bronze(spark, SMOKE).write.parquet(f"{scratch}/bronze")
+    bronze = spark.read.parquet(f"{scratch}/bronze")
+    for df in (quality.dq_bronze(bronze), quality.eda_findings(bronze)):
+        plan = plan_of(spark, df)
+        moved = _hashed_exchanges(plan)
+        assert moved and {c for cols in moved for c in cols} <= {"_h1", "_h2", "count", *R.policy_key}
+        assert "Window" not in plan
+    assert "hashpartitioning" not in plan_of(spark, quality.run_suite(bronze, quality.nulls(bronze)))
 
 
 def _tasks(spark, action) -> int:

@@ -42,3 +42,19 @@ def test_hot_key_is_one_duplicate_group(spark):
 def test_hot_value_counts(spark):
     vc = {r["value"]: r["row_count"] for r in value_counts(_skewed(spark), ["MAKE", "INSURED_VALUE"]).collect()}
     assert vc["M"] == 3000 and vc["100.00"] == 3000
+
+
+def test_duplicates_survive_colliding_hashes(spark, monkeypatch):
+    df = _skewed(spark)
+    want = Q.key_duplicates(df, R.policy_key).collect()
+    assert tuple(want[0]) == (1, 1000)
+    monkeypatch.setattr(Q, "key_hash", lambda keys: [(F.col("OBJECT_ID") % 5).alias("_h1"), F.lit(1).alias("_h2")])
+    assert Q.key_duplicates(df, R.policy_key).collect() == want
+
+
+def test_keys_with_nulls(spark):
+    rows = [(None, "a", 1), (None, "a", 2), ("a", None, 3), (None, None, 4), (None, None, 5), (None, None, 6)]
+    df = spark.createDataFrame(rows, "x string, y string, z int")
+    assert tuple(Q.key_duplicates(df, ["x", "y"]).first()) == (2, 5)
+    assert tuple(Q.key_duplicates(df, ["z"]).first()) == (0, 0)
+    assert tuple(Q.key_duplicates(df.limit(0), ["x", "y"]).first()) == (0, 0)
