@@ -117,6 +117,30 @@ def to_silver(bronze: DataFrame, rules: PolicyRules = DEFAULT_RULES) -> DataFram
             .transform(snake_case_columns))
 
 
+def _step_conditions(rules: PolicyRules) -> dict[str, Column]:
+    """Whether a bronze row is left after each row filter of silver."""
+    sex_ok = F.col("SEX").isin(list(rules.sex_domain))
+    b, e = parse_date(F.col("INSR_BEGIN"), rules.date_format), parse_date(F.col("INSR_END"), rules.date_format)
+    dated = sex_ok & b.isNotNull() & e.isNotNull()
+    ordered = dated & (e >= b)
+    return {"after_sex_filter": sex_ok, "after_date_parse": dated, "after_date_order": ordered,
+            "after_premium_filter": ordered & F.col("PREMIUM").isNotNull() & (F.col("PREMIUM") > 0)}
+
+
+def step_counts(bronze: DataFrame, rules: PolicyRules = DEFAULT_RULES) -> DataFrame:
+    """One row: bronze rows and the rows left after each row filter; a task sends one row of counters."""
+    return bronze.agg(F.count(F.lit(1)).alias("bronze_rows"),
+                      *[F.count_if(ok).alias(name) for name, ok in _step_conditions(rules).items()])
+
+
+def funnel_of_written(bronze: DataFrame, silver: DataFrame, rules: PolicyRules = DEFAULT_RULES) -> DataFrame:
+    """The funnel of written layers: ``step_counts`` of bronze, and the rows of silver, which a
+    count of a written Parquet table takes from its files' footers. No key is shuffled, and
+    nothing depends on how often a task was tried."""
+    left = silver.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return step_counts(bronze, rules).select("*", left.alias("after_dedup"))
+
+
 def funnel_counts(bronze: DataFrame, rules: PolicyRules = DEFAULT_RULES) -> DataFrame:
     """Rows left after each cleaning step, in one job (replaces an action per step).
 

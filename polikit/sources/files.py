@@ -74,6 +74,48 @@ def unparsed_counts(spark: SparkSession, path: str | list[str], schema: T.Struct
         F.struct(F.lit(n).alias("column_name"), F.col(f"`{n}`").alias("unparsed_count")) for n in names])))
 
 
+def split_csv(spark: SparkSession, path: str | list[str], out: str, schema: T.StructType = RAW_SCHEMA, options: dict | None = None) -> None:
+    """Read CSV once and write both its good lines, typed, and its rejected ones under ``out``.
+
+    A line is rejected if it has too few or too many fields, or a value that does not parse as its
+    column's type; ``read_split`` reads either kind. Every line goes to one of the two: one
+    scan and one write, partitioned by kind, with no shuffle. The text of a line with the wrong
+    number of fields is as it was; of other rejected lines it is their fields as CSV."""
+    def one(p: str) -> DataFrame:
+        text = _read_text(spark, p, options, True)
+        names = [c for c in text.columns if c != CORRUPT_COLUMN]
+        wrong = F.col(CORRUPT_COLUMN).isNotNull()
+        lost = F.filter(F.array(*[F.when(_lost(f), F.lit(f.name)) for f in schema.fields]), lambda c: c.isNotNull())
+        reason = F.when(wrong, F.lit("wrong number of fields")).when(
+            F.size(lost) > 0, F.concat(F.lit("does not parse: "), F.array_join(lost, ", ")))
+        line = F.coalesce(F.col(CORRUPT_COLUMN), F.to_csv(F.struct(*[F.col(f"`{c}`") for c in names])))
+        told = text.select(*[_typed(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields],
+                           reason.alias("_reason"), line.alias("_line"), F.col("_metadata.file_path").alias("_file"))
+        bad = F.col("_reason").isNotNull()
+        return told.select(*[F.when(~bad, F.col(f"`{f.name}`")).alias(f.name) for f in schema.fields],
+                           *[F.when(bad, F.col(c)).alias(c) for c in ("_file", "_reason", "_line")],
+                           F.when(bad, "rejected").otherwise("good").alias("_kind"))
+
+    paths = [path] if isinstance(path, str) else list(path)
+    both = reduce(lambda a, b: a.unionByName(b), map(one, paths))
+    both.write.mode("errorifexists").partitionBy("_kind").parquet(out)
+
+
+def read_split(spark: SparkSession, out: str, kind: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+    """The ``good`` rows of ``split_csv``, or the ``rejected`` lines (file, reason, line)."""
+    told = T.StructType([*schema.fields, *[T.StructField(c, T.StringType()) for c in ("_file", "_reason", "_line", "_kind")]])
+    rows = spark.read.schema(told).parquet(out).filter(F.col("_kind") == kind)
+    if kind == "good":
+        return rows.select(*[f"`{f.name}`" for f in schema.fields])
+    return rows.select(F.col("_file").alias("file"), F.col("_reason").alias("reason"), F.col("_line").alias("line"))
+
+
+def footer_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(file, rows) of written Parquet, from the files' footers: no column is read. What a
+    retried task wrote twice is committed once, so these are the rows that are there."""
+    return spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
