@@ -141,6 +141,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """One row per document id and item with a verified overlap: id_col, item_id, matched words of
     the window, window, start (the window's first word in the document, counted from 0)."""
+    if id_col in ("item_id", "matched", "window", "start"):
+        raise ValueError(f"{id_col} is the name of another column of the result")
     found = overlaps(docs, benchmark, id_col, **options)
     best = found.groupBy("id", "item_id", "window").agg(
         F.max(F.struct("matched", (-F.col("start")).alias("back"))).alias("best"))
@@ -151,7 +153,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       **options) -> DataFrame:
     """``docs`` without the rows that overlap an item; all columns, repeated rows kept."""
-    found = stage(overlaps(docs, benchmark, id_col, text_col, **options).select("id", "tie").distinct(), "contaminated")
+    found = stage(overlaps(docs, benchmark, id_col, text_col, **options).select(
+        F.col("id").alias("__found_id"), F.col("tie").alias("__found_tie")).distinct(), "contaminated")
     side = broadcast_if_small(found)
-    same = F.col(f"`{id_col}`").eqNullSafe(side["id"]) & (F.xxhash64(F.col(f"`{text_col}`")) == side["tie"])
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__found_id")) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col("__found_tie"))
     return docs.join(side, same, "left_anti")

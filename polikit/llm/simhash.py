@@ -148,10 +148,13 @@ def simhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   max_bits: int = 2, bucket_cap: int = 64) -> DataFrame:
     """One row per input row: id_col, fingerprint (16 hex digits), component_id (the smallest id
     reachable over links of at most ``max_bits`` differing bits, the row's own included)."""
-    base = stage(fingerprints(df, id_col, text_col, shingle), "fingerprints")
-    of_fp = _components(base, id_col, max_bits, bucket_cap)
+    if id_col in ("fingerprint", "component_id"):
+        raise ValueError(f"{id_col} is the name of another column of the result")
+    plain = df.select(F.col(f"`{id_col}`").alias("row_id"), F.col(f"`{text_col}`").alias("text"))
+    base = stage(fingerprints(plain, "row_id", "text", shingle), "fingerprints")
+    of_fp = _components(base, "row_id", max_bits, bucket_cap)
     return base.join(of_fp, "fp").select(
-        id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        F.col("row_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,

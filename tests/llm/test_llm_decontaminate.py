@@ -2,6 +2,8 @@ import random
 import re
 from itertools import combinations
 
+import pytest
+
 from llm_helpers import CLASHES, awkward, docs, empty, words
 from polikit.llm import decontaminate as D
 
@@ -127,3 +129,14 @@ def test_masks_are_complete_for_other_windows():
             bad = set(rng.sample(range(n), wrong))
             assert any(all(c == "0" or i + k not in bad for k, c in enumerate(m)) for m in found for i in range(n - len(m) + 1))
     assert D.more_masks(D.WINDOW, 2, D.MASKS) == []
+
+
+def test_ids_with_names_of_the_operators_own_columns(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    for name in ("id", "tie", "h", "pos", "seed", "spots"):
+        df = spark.createDataFrame([(5, f"said {item} today"), (6, "nothing of it")], f"{name} long, text string")
+        assert [r[0] for r in D.contaminated(df, items, id_col=name).select(name).collect()] == [5]
+        assert [r[0] for r in D.drop_contaminated(df, items, id_col=name).collect()] == [6]
+    with pytest.raises(ValueError, match="item_id"):
+        D.contaminated(spark.createDataFrame([(5, item)], "item_id long, text string"), items, id_col="item_id")

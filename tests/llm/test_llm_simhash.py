@@ -106,3 +106,12 @@ def test_keep_one_of_each_group_where_ids_repeat(spark):
             (3, c, "en", "s", 1)]
     kept = S.keep_one(docs(spark, rows)).collect()
     assert sorted((r["doc_id"], r["text"]) for r in kept) == [(3, c), (5, a), (5, b)]
+
+
+def test_ids_with_names_of_the_operators_own_columns(spark):
+    for name in ("id", "fp", "row_id", "text_", "root", "node"):
+        df = spark.createDataFrame([(5, "a b c d e f"), (6, "a b c d e f"), (7, "x y z u v w")], f"{name} long, text string")
+        got = {r[name]: r["component_id"] for r in S.simhash_dedup(df, id_col=name).collect()}
+        assert got == {5: 5, 6: 5, 7: 7}
+    with pytest.raises(ValueError, match="fingerprint"):
+        S.simhash_dedup(spark.createDataFrame([(5, "a")], "fingerprint long, text string"), id_col="fingerprint")
