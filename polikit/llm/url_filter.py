@@ -137,7 +137,9 @@ def fit(urls: DataFrame, url_col: str = "url", rules=RULES, sample_rows: int = S
     if not n or blocked in (0, n):
         return UrlModel(None, {}, 0.0)
     statistics, share = _suffix_statistics(rows), blocked / n
-    sample = rows.orderBy(F.xxhash64("url"), "url").limit(sample_rows)
+    # different addresses: one that a third of all rows have is one row of the sample
+    different = _described(urls.select(F.col(url_col).alias("url")).distinct(), "url", rules).filter("fit IS NOT NULL")
+    sample = different.orderBy(F.xxhash64("url"), "url").limit(sample_rows)
     label = F.when(F.col("fit.action") == "block", 1.0).otherwise(0.0).alias("label")
     sample = _with_statistics(sample, statistics, share, True).select(*_names(), label).orderBy(*_names(), "label")
     sample = _assembled(stage(sample.coalesce(1), "url-sample"))  # one file in a fixed order: the same trees every time

@@ -85,3 +85,10 @@ def test_tiny_tables(spark, rows):
     df = spark.createDataFrame(rows, PAGES)
     got = U.judge(df, U.fit(df)).collect()
     assert len(got) == len(rows) and all(r["verdict"] in ("allow", "block") for r in got)
+
+
+def test_one_address_repeated_does_not_fill_the_sample(spark):
+    rng = random.Random(8)
+    rows = [("http://hot.net/x",)] * 3000 + [(f"http://a{i}.net/{rng.random()}",) for i in range(60)] + [(f"http://b{i}.org/fr/{rng.random()}",) for i in range(60)]
+    model = U.fit(spark.createDataFrame(rows, "url string"), sample_rows=100)
+    assert model.trees is not None
