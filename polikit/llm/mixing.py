@@ -196,13 +196,14 @@ def shifts(places: DataFrame, tilted: DataFrame, most: int = MOST) -> DataFrame:
 
     The first step is for all documents and stops before the document with which the words
     taken would pass the target. The next ones go on with the documents that fit in what is
-    left, so the remainder shrinks to a small document even where documents are large."""
+    left, so the remainder shrinks to a small document even where documents are large. The last
+    goes on to documents of twice that: with one of them the words taken are as near or nearer."""
     n = tilted.count()
     state = tilted.select("source", "source_size", "target", "theta", F.lit(0).cast("long").alias("under"),
                           F.expr("cast(array() AS array<struct<upto:bigint,shift:double>>)").alias("steps"))
     for level in range(LEVELS):
         left = F.col("target") - F.col("under")
-        limit = F.lit(2 ** 62) if level == 0 else F.floor(left)
+        limit = F.lit(2 ** 62) if level == 0 else F.floor(left) if level < LEVELS - 1 else F.floor(2 * left)
         short = (left > F.lit(NEAR_SHARE) * F.col("target")) & (F.col("target") > 0)
         state = stage(_few(state, n).select(
             "source", "source_size", "target", "theta", "steps", "under", limit.cast("long").alias("limit"),

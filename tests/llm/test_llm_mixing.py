@@ -119,3 +119,15 @@ def test_tiny_tables(spark, rows):
     assert len(got) == len(rows)
     check(rows, got)
     assert M.mixed(df).columns == df.columns
+
+
+@pytest.mark.parametrize("share", [1.5015, 1.4985, 1.511])
+def test_the_last_document_is_taken_if_that_is_nearer(spark, share):
+    rows = [(i, "w " * 100, "en", "a", 1) for i in range(111)]
+    (taken, target, _), = check_share(rows, M.mix_digest(docs(spark, rows), share=share).collect())
+    assert abs(taken - target) <= 50
+
+
+def check_share(rows, got):
+    assert len(got) == len(rows)
+    return [(sum(r["taken"] for r in got), got[0]["target"], 100)]
