@@ -17,8 +17,15 @@ packs of ``QUERY_ROWS``; a pack meets only the shards that hold a cell one of it
 visits, and a task reranks a pack against a shard, giving ten rows a query. Only the
 codebooks and the number of entries a cell (at most ``CENTROIDS`` squared) are on the driver.
 
-Vectors that are null, zero, of another length than most, or that hold a null or non-finite
-component take no part, nor do null ids. Every row is a candidate, also if rows repeat an
+Codebooks and cells are of vectors moved by the sample's mean and scaled by a power of two, so
+neither an offset common to all vectors nor their magnitude spoils them. What is reranked is
+chosen by distances with a bound on their rounding, so no nearer vector is lost to it; the
+score is the plain sum over the components, or, where its squares would leave the range of
+doubles, that of the components divided by the largest one.
+
+Vectors that are null, zero, of another length than most (distances between lengths are not
+defined; ``Index.other_lengths`` counts them), or that hold a null or non-finite component take
+no part, nor do null ids. Every row is a candidate, also if rows repeat an
 id, but for those with the query's id; a query id that repeats asks with its smallest
 vector. Ties go to the smaller id. With few rows every cell is visited: the result is exact.
 """
@@ -41,7 +48,8 @@ LEAST = 10_000
 SHARE = 0.5
 SHARD_ROWS = 4096
 QUERY_ROWS = 128
-_TINY = 1e-9
+_LARGE = 1e140  # scaled components beyond are cut to it and always reranked
+_EPS = np.finfo(np.float64).eps
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -74,6 +82,18 @@ def _gaps(points: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     return np.maximum(d, 0.0)
 
 
+def _bounds(q: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds below and above the squared distances of moved vectors, whatever the rounding of these sums."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        qq, xx = (q ** 2).sum(1)[:, None], (x ** 2).sum(1)[None]
+        rough = qq + xx - 2 * q @ x.T
+        # moving rounds each component by an eps of its own size, which this covers, too
+        slack = 8 * (q.shape[1] + 4) * _EPS * (qq + xx) + 1e-300
+        low, high = rough - slack, rough + slack
+    cut = (np.abs(q).max(axis=1, initial=0.0) >= _LARGE)[:, None] | (np.abs(x).max(axis=1, initial=0.0) >= _LARGE)[None]
+    return np.where(cut, -np.inf, low), np.where(cut, np.inf, high)
+
+
 def _nearest(points: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     return _gaps(points, centroids).argmin(axis=1)
 
@@ -99,10 +119,34 @@ def visit(a: np.ndarray, b: np.ndarray, counts: np.ndarray, enough: int) -> list
     return cells
 
 
+def _distances(difference: np.ndarray) -> np.ndarray:
+    """Euclidean lengths of rows: the plain sum, in the order of the components (the same everywhere); where squares
+    are too large or too small, of the scaled components."""
+    with np.errstate(over="ignore", under="ignore"):
+        square = np.zeros(len(difference))
+        for d in range(difference.shape[1]):
+            square += difference[:, d] ** 2
+        out = np.sqrt(square)
+        top = np.abs(difference).max(axis=1, initial=0.0)
+        odd = np.flatnonzero((top > 1e150) | ((top > 0) & (top < 1e-150)))
+        if len(odd):
+            unit = difference[odd] / top[odd, None]
+            out[odd] = top[odd] * np.sqrt((unit ** 2).sum(axis=1))
+    return out
+
+
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
+def _mover(centre: np.ndarray, scale: float):
+    """Vectors less the centre, scaled, with components cut to ``_LARGE``."""
+    def moved(v: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return np.clip((v * scale) - (centre * scale) if scale < 1 else (v - centre) * scale, -_LARGE, _LARGE)
+    return moved
+
+
 class Index:
     """Codebooks, cell counts and the layout of shards (all of bounded size), and the shards."""
 
@@ -113,19 +157,24 @@ class Index:
         self.rows = most["n"] if most else 0
         if not self.rows:
             return
+        self.other_lengths = rows.filter(F.size("v") != self.width).count()
         rows = rows.filter(F.size("v") == self.width)
         some = rows.select("v").orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas()["v"]
         points = np.array(some.tolist(), dtype=np.float64)
         half = max(1, self.width // 2)
+        self.centre = (points / len(points)).sum(axis=0)
+        spread = np.abs(points / 2 - self.centre / 2).max(initial=0.0) * 2
+        self.scale = 2.0 ** -np.clip(np.ceil(np.log2(spread)), -1000, 1000) if 0 < spread < np.inf else 2.0 ** -1000 if spread else 1.0
+        points = _mover(self.centre, self.scale)(points)
         self.books = [_kmeans(points[:, :half], centroids)]
         self.books.append(_kmeans(points[:, half:], centroids) if half < self.width else np.zeros((1, 0)))
-        books, width = self.books, self.width
+        books, width, moved = self.books, self.width, _mover(self.centre, self.scale)
         n_cells = len(books[0]) * len(books[1])
 
         def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if len(batch):
-                    v = _matrix(batch.column(1), width)
+                    v = moved(_matrix(batch.column(1), width))
                     cell = _nearest(v[:, :half], books[0]) * len(books[1]) + _nearest(v[:, half:], books[1])
                     yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cell.astype(np.int32))],
                                                      ["vec_id", "v", "cell"])
@@ -159,7 +208,7 @@ def search(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id
     asked = usable(queries, id_col, vector_col)
     if not index.rows:
         return df.sparkSession.createDataFrame([], kinds)
-    width, half, books = index.width, max(1, index.width // 2), index.books
+    width, half, books, moved = index.width, max(1, index.width // 2), index.books, _mover(index.centre, index.scale)
     counts, first, parts, enough = index.counts, index.first, index.parts, max(least, int(np.ceil(share * index.rows)))
     asked = asked.filter(F.size("v") == width).groupBy("vec_id").agg(F.min("v").alias("v"))
 
@@ -170,7 +219,8 @@ def search(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id
                 pack = batch.slice(at, QUERY_ROWS)
                 v = _matrix(pack.column(1), width)
                 seen = np.zeros((len(v), len(counts)), bool)
-                a, b = _gaps(v[:, :half], books[0]), _gaps(v[:, half:], books[1])
+                z = moved(v)
+                a, b = _gaps(z[:, :half], books[0]), _gaps(z[:, half:], books[1])
                 for i in range(len(v)):
                     seen[i, visit(a[i], b[i], counts, enough)] = True
                 cells = np.flatnonzero(seen.any(axis=0))
@@ -194,14 +244,14 @@ def search(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id
                 e = batch.column(3)[r].values
                 ids, cell = e.field("vec_id").to_numpy(), e.field("cell").to_numpy()
                 x = _matrix(e.field("v"), width)
-                rough = _gaps(q, x)
-                rough[~seen[:, cell] | (q_ids[:, None] == ids[None])] = np.inf
-                edge = np.partition(rough, min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
-                rows, cols = np.nonzero((rough <= (edge * (1 + _TINY) + _TINY)[:, None]) & np.isfinite(rough))
-                square = np.zeros(len(rows))
-                for d in range(width):  # in the order of the components: the same sum everywhere
-                    square += (q[rows, d] - x[cols, d]) ** 2
-                score = np.sqrt(square)
+                least, most = _bounds(moved(q), moved(x))
+                away = ~seen[:, cell] | (q_ids[:, None] == ids[None])
+                least[away] = most[away] = np.inf
+                at = min(k, len(ids)) - 1
+                edge = np.partition(most, at, axis=1)[:, at]
+                rows, cols = np.nonzero((least <= edge[:, None]) & ~away)
+                with np.errstate(over="ignore"):
+                    score = _distances(q[rows] - x[cols])
                 order = np.lexsort((ids[cols], score, rows))
                 rows, cols, score = rows[order], cols[order], score[order]
                 starts = np.searchsorted(rows, rows)  # the first place of each query

@@ -85,3 +85,53 @@ def test_repeated_query_ids_ask_with_the_smallest_vector(spark):
 @pytest.mark.parametrize("rows", [[], [(0, None, 1)], [(0, [1.0, 2.0], 1)]])
 def test_nothing_to_find(spark, rows):
     assert V.search_every(spark.createDataFrame(rows, VEC), 100).collect() == []
+
+
+def placed(spark, x):
+    return spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+
+
+def nearest(x, q, k=10):
+    """By exact rational squares of the differences, which are those of doubles."""
+    from fractions import Fraction
+    gaps = sorted((sum(Fraction(float(a) - float(b)) ** 2 for a, b in zip(x[q], v)), i) for i, v in enumerate(x) if i != q)
+    return [i for _, i in gaps[:k]]
+
+
+@pytest.mark.parametrize("offset,size", [(1e8, 1.0), (0.0, 1e200), (1e200, 1e190), (0.0, 1e-200), (-3e15, 1.0)])
+def test_offsets_and_magnitudes_lose_no_neighbour(spark, offset, size):
+    x = offset + np.random.default_rng(7).normal(size=(400, 6)) * size
+    got = V.search_every(placed(spark, x), 100).collect()
+    for q in range(0, 400, 100):
+        own = sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == q)
+        assert [i for _, i, _ in own] == nearest(x, q)
+        assert all(np.isfinite(s) and s > 0 for _, _, s in own)
+
+
+def test_vectors_of_all_magnitudes_together(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 4)) * 10.0 ** rng.choice([-150, -3, 0, 8, 160, 300], size=300)[:, None]
+    got = V.search_every(placed(spark, x), 50).collect()
+    for q in range(0, 300, 50):
+        assert {r["vec_id"] for r in got if r["query_id"] == q} == set(nearest(x, q))
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_recall_of_the_index_itself(spark, hot):
+    """More rows than are searched whole, 64 dimensions, with one vector that a third of all rows share."""
+    n, rng = 12_000, np.random.default_rng(11)
+    x = rng.normal(size=(n, 64)).astype(np.float32)
+    if hot:
+        x[1::3] = x[1]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>").repartition(8)
+    got = V.search_every(df, 200, least=1000).collect()
+    y, found = x.astype(np.float64), {}
+    for r in got:
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for q in range(0, n, 200):
+        d = ((y - y[q]) ** 2).sum(1)
+        d[q] = np.inf
+        kth = np.partition(d, 9)[9]
+        hits += sum(d[i] <= kth for i in found[q])  # any of equal ones counts
+    assert hits / (10 * len(found)) >= 0.9 and len(found) == n // 200
