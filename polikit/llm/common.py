@@ -41,6 +41,21 @@ def clear_staged(spark: SparkSession) -> int:
     return n
 
 
+#: What the operator that now uses this Python worker keeps between its tasks.
+_KEPT: dict = {}
+
+
+def kept_in_worker(key=None, make=None):
+    """The object that this Python worker keeps under ``key``, made if it is not there. A worker
+    is used again by later stages, so it keeps one operator's memory only: asking for another
+    key, or for none, lets the last one go."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        if key is not None:
+            _KEPT[key] = make()
+    return _KEPT.get(key)
+
+
 def broadcast_if_small(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only for a side counted to be at most ``limit`` rows (``rows``: its
     count if known); a larger one is left to a shuffle join, with the same result."""
