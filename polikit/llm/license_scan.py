@@ -12,8 +12,9 @@ a template matches if chunks with ``CONTAINED`` of its shingles do.
 
 Windows without any shingle of any template can meet none, so they are not made: texts are
 first tested for a shared shingle, exactly, in the task that reads them. Nothing is shuffled
-but matches. The templates are an argument of a size that the caller knows (at most
-``MAX_SHINGLES`` shingles) and are broadcast.
+but matches. The templates are an argument; their shingles are part of the plan and their
+bands are broadcast, at most ``MAX_SHINGLES`` shingles (or one template) at a time: a larger set is
+scanned in groups, each with its own pass over the texts, with the same result.
 
 Texts are whole; words are lower-cased runs of letters and digits. Null and empty texts match
 nothing. Null ids are ids like any other; rows that repeat id and text count once. Templates
@@ -23,6 +24,7 @@ of fewer than 5 words are refused. Other columns are ignored.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +56,31 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+            "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
+            "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+            "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+            "following conditions: The above copyright notice and this permission notice shall be included in all copies "
+            "or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, "
+            "EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR "
+            "PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, "
+            "DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
+            "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE "
+            "SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING "
+            "ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, "
+            "DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR "
+            "PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+            "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be "
+             "held liable for any damages arising from the use of this software. Permission is granted to anyone to use "
+             "this software for any purpose, including commercial applications, and to alter it and redistribute it "
+             "freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; "
+             "you must not claim that you wrote the original software. If you use this software in a product, an "
+             "acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source "
+             "versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. "
+             "This notice may not be removed or altered from any source distribution."),
 )
 
 
@@ -104,9 +131,30 @@ def scan(docs: DataFrame, templates=TEMPLATES, id_col: str = "doc_id", text_col:
     chunks = [r.asDict() for r in _chunks(spark, templates).collect()]  # from the argument, not from data
     if any(c["words"] < SHINGLE for c in chunks):
         raise ValueError(f"a template has fewer than {SHINGLE} words")
+    groups: list[list[dict]] = []
+    held = 0
+    for t in sorted({c["template"] for c in chunks}):
+        own = [c for c in chunks if c["template"] == t]
+        n = sum(len(c["shingles"]) for c in own)
+        if not groups or held + n > MAX_SHINGLES:
+            groups.append([])
+            held = 0
+        groups[-1] += own
+        held += n
+    hashed = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("tie"),
+                         _shingles_of(F.col(text_col)).alias("all"))
+    if not groups:
+        return docs.select(id_col, F.lit("").alias("license"), F.lit(0.0).alias("containment"), F.lit(0).alias("start")).limit(0)
+    found = reduce(lambda a, b: a.unionByName(b), [_matches(hashed, group, contained, miss) for group in groups])
+    top = F.max(F.struct("containment", (-F.col("start")).alias("back"))).alias("top")
+    return found.groupBy("id", "license").agg(top).select(
+        F.col("id").alias(id_col), "license", F.col("top.containment").alias("containment"), (-F.col("top.back")).alias("start"))
+
+
+def _matches(hashed: DataFrame, chunks: list[dict], contained: float, miss: float) -> DataFrame:
+    """(id, license, containment, start) of the templates that ``chunks`` make up, in (id, tie, all: shingles of a text)."""
+    spark = hashed.sparkSession
     known = sorted({x for c in chunks for x in c["shingles"]})
-    if len(known) > MAX_SHINGLES:
-        raise ValueError("too many templates for one scan; scan in groups")
     total: dict[int, int] = {}
     for c in chunks:
         total[c["template"]] = total.get(c["template"], 0) + len(c["shingles"])
@@ -116,9 +164,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, id_col: str = "doc_id", text_col:
     n_bands = {c: bands(c, contained, miss) for c in CLASSES if any(x["class"] == c for x in chunks)}
 
     known_ = F.array(*[F.lit(x) for x in known])
-    hashed = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("tie"),
-                         _shingles_of(F.col(text_col)).alias("all"))
-    near = hashed.filter(F.arrays_overlap("all", known_)).distinct()
+    near = hashed.filter(F.arrays_overlap("all", known_))  # rows that repeat are met by the maxima below
 
     def windows(size: int) -> Column:
         step, n = size // 4, size + size // 4 - SHINGLE + 1
@@ -142,11 +188,8 @@ def scan(docs: DataFrame, templates=TEMPLATES, id_col: str = "doc_id", text_col:
     best = held.groupBy("id", "tie", "license", "template", "of", "chunk").agg(
         F.max("shared").alias("shared"), F.min("start").alias("start"))
     found = best.groupBy("id", "tie", "license", "template", "of").agg(F.sum("shared").alias("shared"), F.min("start").alias("start"))
-    found = found.filter(F.col("shared") >= F.ceil(F.col("of") * contained - 1e-9)).withColumn(
-        "containment", F.round(F.col("shared") / F.col("of"), 6))
-    top = F.max(F.struct("containment", (-F.col("start")).alias("back"))).alias("top")
-    return found.groupBy("id", "license").agg(top).select(
-        F.col("id").alias(id_col), "license", F.col("top.containment").alias("containment"), (-F.col("top.back")).alias("start"))
+    return found.filter(F.col("shared") >= F.ceil(F.col("of") * contained - 1e-9)).select(
+        "id", "license", F.round(F.col("shared") / F.col("of"), 6).alias("containment"), "start")
 
 
 def _shingles_of(text: Column) -> Column:

@@ -68,6 +68,25 @@ def test_long_templates_in_chunks(spark):
     assert set(got) == {1, 2} and got[1] == 1.0 > got[2] >= 0.8
 
 
+def test_many_templates_are_scanned_in_groups(spark, monkeypatch):
+    """More shingles than one scan holds, bodies of several chunks among them, and one template beyond the bound."""
+    rng = random.Random(12)
+    templates = [(f"L{i % 40}", " ".join(words(rng, rng.choice([6, 12, 30, 150])))) for i in range(60)]
+    rows = [(i, " ".join(words(rng, 20)) + " " + rng.choice(templates)[1] + " " + " ".join(words(rng, 20)), "", "", 1) for i in range(40)]
+    rows += [rows[0], (None, templates[3][1], None, None, None)]
+    df = docs(spark, rows)
+    want = sorted(map(tuple, L.scan(df, templates).collect()), key=str)
+    monkeypatch.setattr(L, "MAX_SHINGLES", 1000)
+    assert sorted(map(tuple, L.scan(df, templates).collect()), key=str) == want and len(want) >= 41
+    assert L.scan(df, []).collect() == []
+
+
+def test_bodies(spark):
+    bodies = [(i, f"Copyright (c) {i}\n{t}", "", "", 1) for i, (_, t) in enumerate(L.TEMPLATES) if len(w(t)) > 80]
+    got = {(r["doc_id"], r["license"]) for r in L.scan(docs(spark, bodies)).collect()}
+    assert {(i, L.TEMPLATES[i][0]) for i, *_ in bodies} <= got and len(bodies) == 3
+
+
 def test_bands_keep_the_promise():
     for size in L.CLASSES:
         assert 0 < L.bands(size) < 200 and L.bands(size, miss=1e-3) < L.bands(size)
