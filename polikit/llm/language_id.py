@@ -11,13 +11,14 @@ For each language L the posterior combines four kinds of evidence, as log terms:
 
 The last three are estimated from the corpus itself: a first pass sums the text
 posteriors by (declared, host), with map-side combine, so a host with a third of all rows
-is one partial sum a task; suffixes, domains and the corpus are sums of those sums. The
-second pass scores each row once more beside its evidence, so no text is shuffled. A
+is one partial sum a task; suffixes, domains and the corpus are sums of those sums. Each
+row's scores then meet its evidence (see ``identify`` for what moves). A
 class ``und`` with equal odds for all trigrams takes texts that fit no language.
 
 The trigram model is fitted on a bounded sample: about ``sample_rows`` different labelled
 texts with letters, whole, chosen by hash; rare labels give all of theirs and the others
-equal shares of the rest, so that every label is a class. Everything else covers all rows.
+equal shares of the rest, so that every label is a class, up to the ``MAX_LANGUAGES`` most
+frequent ones (other labels stay declared values). Everything else covers all rows.
 
 Null and letterless texts are ``und`` with confidence 0. A null declaration, host or address
 is a value like any other. Rows repeat as they come; other columns are carried unchanged,
@@ -32,9 +33,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import broadcast_if_small, stage
+from .common import broadcast_if_small, kept_in_worker, stage
 
 UND = "und"
 BUCKETS = 1 << 15
@@ -45,14 +45,28 @@ SMOOTHING = 20.0  # pseudo-rows that a parent lends to its child
 _LETTERS = bytes(c if chr(c).isalpha() or c >= 128 else 32 for c in range(256))
 
 
+def trigram_blocks(text: str | None, block: int = 1 << 18) -> Iterator[np.ndarray]:
+    """Buckets of the byte trigrams of the lower-cased words, ``block`` characters at a time (so
+    the memory taken does not grow with the text); none for a text without letters."""
+    text, tail, words = text or "", b" ", False
+    for at in range(0, len(text), block):
+        raw = text[at:at + block].lower().encode("utf-8", "replace").translate(_LETTERS)
+        piece = b" ".join(raw.split())
+        words = words or bool(piece)
+        before = b" " if raw[:1] == b" " and tail[-1:] != b" " else b""
+        after = b" " if piece and raw[-1:] == b" " else b""
+        piece = tail + before + piece + after
+        if at + block >= len(text) and words and piece[-1:] != b" ":
+            piece += b" "
+        tail = piece[-2:]
+        b = np.frombuffer(piece, np.uint8).astype(np.uint32)
+        if words and len(b) > 2:
+            yield ((b[:-2] << 16 | b[1:-1] << 8 | b[2:]) * np.uint32(2654435761) >> np.uint32(17)).astype(np.int64)
+
+
 def trigrams(text: str | None) -> np.ndarray:
-    """Buckets of the byte trigrams of the lower-cased words; none for a text without letters."""
-    words = (text or "").lower().encode("utf-8", "replace").translate(_LETTERS).split()
-    if not words:
-        return np.empty(0, np.int64)
-    b = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.uint32)
-    mixed = (b[:-2] << 16 | b[1:-1] << 8 | b[2:]) * np.uint32(2654435761)
-    return (mixed >> np.uint32(17)).astype(np.int64)
+    """All of ``trigram_blocks`` at once."""
+    return np.concatenate([np.empty(0, np.int64), *trigram_blocks(text)])
 
 
 class TextModel:
@@ -65,15 +79,14 @@ class TextModel:
 
     def likelihood(self, text: str | None) -> tuple[np.ndarray, int]:
         """Tempered log-likelihoods and the number of trigrams."""
-        found = trigrams(text)
-        if not len(found):
-            return np.zeros(len(self.languages)), 0
-        return self.logs.take(found, axis=0).mean(axis=0) * min(len(found), EVIDENCE), len(found)
-
-
-def _softmax(x: np.ndarray) -> np.ndarray:
-    e = np.exp(x - x.max())
-    return e / e.sum()
+        total, n = np.zeros(len(self.languages)), 0
+        for found in trigram_blocks(text):
+            n += len(found)
+            if len(found) < BUCKETS >> 3:
+                total += self.logs.take(found, axis=0).sum(axis=0)
+            else:  # as many operations as there are buckets, however many trigrams
+                total += np.bincount(found, minlength=BUCKETS) @ self.logs
+        return total * (min(n, EVIDENCE) / max(n, 1)), n
 
 
 def fit_text_model(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
@@ -83,9 +96,8 @@ def fit_text_model(labelled: DataFrame, text_col: str = "text", label_col: str =
     rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label")).dropna()
     rows = rows.filter(F.col("text").rlike(r"[A-Za-z]|[^\x00-\x7F]")).withColumn("key", F.pmod(F.xxhash64("text"), F.lit(share)))
     sizes = rows.select("label", "key").distinct().groupBy("label").agg(
-        F.count("*").alias("n"), F.min("key").alias("least")).limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+        F.count("*").alias("n"), F.min("key").alias("least"))
+    sizes = sizes.orderBy(F.desc("n"), "label").limit(MAX_LANGUAGES).collect()
     cuts, left = [], sample_rows
     for i, (label, n, least) in enumerate(sorted(sizes, key=lambda r: (r["n"], r["label"]))):
         take = max(1, min(n, left // (len(sizes) - i)))
@@ -98,9 +110,10 @@ def fit_text_model(labelled: DataFrame, text_col: str = "text", label_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for text, label in zip(map(_plain, batch.column(0)), batch.column(1).to_pylist(), strict=True):
                 own = sums.setdefault(label, np.zeros(BUCKETS, np.int64))
-                own += np.bincount(trigrams(text), minlength=BUCKETS)
+                for block in trigram_blocks(text):
+                    own += np.bincount(block, minlength=BUCKETS)
         for label, own in sums.items():
             at = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays(
@@ -162,45 +175,58 @@ def _evidence(sums: DataFrame, k: int) -> DataFrame:
         terms, lambda t: F.log(t["d"]) + F.log(t["s"]) + F.log(t["h"])).alias("prior"))
 
 
-def identify(df: DataFrame, model: TextModel, text: Column, declared: Column, host: Column) -> DataFrame:
-    """(row: all columns of ``df`` as a struct, language, confidence) for every row of ``df``."""
-    names, k = model.languages, len(model.languages)
-    plain = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), text.alias("text"),
-                      declared.alias("declared"), host.alias("host"))
+def _plain(value: pa.Scalar) -> str | None:
+    return value.as_py()
+
+
+def _scores(model: TextModel, text: Column) -> Column:
+    """The tempered log-likelihoods of a text by language; null for a letterless one. Only the
+    text goes to Python, and only these numbers come back."""
+    @F.arrow_udf("array<double>")
+    def scores(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kept_in_worker()
+        for column in columns:
+            found = [model.likelihood(_plain(t)) for t in column]
+            yield pa.array([x if n else None for x, n in found], pa.list_(pa.float64()))
+    return scores(text)
 
-    def posteriors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [model.likelihood(t) for t in batch.column(2).to_pylist()]
-            p = np.array([_softmax(x) if n else np.zeros(k) for x, n in rows])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *[pa.array(p[:, i]) for i in range(k)]],
-                ["declared", "host", *[f"p{i}" for i in range(k)]])
 
-    schema = "declared string, host string, " + ", ".join(f"p{i} double" for i in range(k))
-    sums = plain.select("declared", "host", "text").mapInArrow(posteriors, schema).groupBy("declared", "host").agg(
-        *[F.sum(f"p{i}").alias(f"p{i}") for i in range(k)])
+def _odds(scores: Column) -> Column:
+    """e to the scores, the highest as 1."""
+    top = F.array_max(scores)
+    return F.transform(scores, lambda x: F.exp(x - top))
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda s, x: s + x)
+
+
+def identify(df: DataFrame, model: TextModel, text: Column, declared: Column, host: Column,
+             carried: list[str] | None = None) -> DataFrame:
+    """(row: the ``carried`` columns of ``df`` as a struct, language, confidence) for every row of
+    ``df``. With all columns carried (None) each text is scored in both passes, and rows move
+    only if the evidence is too large to broadcast. With some (``carried``, for tables whose
+    texts are not needed again) rows of scores are staged, and no text ever moves."""
+    names, k = model.languages, len(model.languages)
+    own = F.struct(*[F.col(f"`{c}`") for c in (df.columns if carried is None else carried)])
+    scored = df.select(own.alias("row"), declared.alias("declared"), host.alias("host"), _scores(model, text).alias("scores"))
+    if carried is not None:
+        scored = stage(scored, "language-scores")
+    odds = scored.select("declared", "host", _odds(F.col("scores")).alias("odds"))
+    odds = odds.select("declared", "host", "odds", _total(F.col("odds")).alias("all"))
+    sums = odds.groupBy("declared", "host").agg(
+        *[F.coalesce(F.sum(F.col("odds")[i] / F.col("all")), F.lit(0.0)).alias(f"p{i}") for i in range(k)])
     sums = stage(sums.withColumn("domain", F.substring_index("host", ".", -2))
                  .withColumn("suffix", F.substring_index("host", ".", -1)), "language-sums")
     prior = stage(_evidence(sums, k), "language-priors")
     prior = broadcast_if_small(prior.withColumnsRenamed({"declared": "declared_", "host": "host_"}))
-    beside = plain.join(prior, F.col("declared").eqNullSafe(F.col("declared_"))
-                        & F.col("host").eqNullSafe(F.col("host_")), "left").select("row", "text", "prior")
-
-    def fuse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            languages, sure = [], []
-            for t, own in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                x, n = model.likelihood(t)
-                p = _softmax(x + np.array(own)) if own is not None else _softmax(x)
-                best = int(p.argmax())
-                languages.append(names[best] if n else UND)
-                sure.append(round(float(p[best]), 6) if n else 0.0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(languages, pa.string()),
-                                              pa.array(sure, pa.float64())], ["row", "language", "confidence"])
-
-    out = T.StructType([beside.schema["row"], T.StructField("language", T.StringType()),
-                        T.StructField("confidence", T.DoubleType())])
-    return beside.mapInArrow(fuse, out)
+    beside = scored.join(prior, F.col("declared").eqNullSafe(F.col("declared_"))
+                         & F.col("host").eqNullSafe(F.col("host_")), "left")
+    fused = beside.select("row", F.zip_with("scores", "prior", lambda x, q: x + q).alias("fused"))
+    best = F.array_position("fused", F.array_max("fused"))
+    sure = F.round(1.0 / _total(_odds(F.col("fused"))), 6)
+    return fused.select("row", F.coalesce(F.element_at(F.array(*map(F.lit, names)), best.cast("int")), F.lit(UND)).alias("language"),
+                        F.coalesce(sure, F.lit(0.0)).alias("confidence"))
 
 
 def accepted(least: float = 0.5, wanted: list[str] | None = None) -> Column:
@@ -213,11 +239,11 @@ def identify_pages(pages: DataFrame, model: TextModel, id_col: str = "page_id",
                    html_col: str = "html") -> DataFrame:
     """id, url, declared, host, language, confidence, accepted of every page."""
     html = F.col(html_col)
-    out = identify(pages.select(id_col, url_col, html_col), model, markup_text(html), markup_language(html),
-                   host_of(F.col(url_col)))
-    return out.select(f"row.{id_col}", f"row.{url_col}", markup_language(F.col(f"row.{html_col}")).alias("declared"),
-                      host_of(F.col(f"row.{url_col}")).alias("host"), "language", "confidence",
-                      accepted().alias("accepted"))
+    own = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), html.alias("html"),
+                       markup_language(html).alias("said"), host_of(F.col(url_col)).alias("host"))
+    out = identify(own, model, markup_text(F.col("html")), F.col("said"), F.col("host"), ["id", "url", "said", "host"])
+    return out.select(F.col("row.id").alias(id_col), F.col("row.url").alias(url_col), F.col("row.said").alias("declared"),
+                      F.col("row.host").alias("host"), "language", "confidence", accepted().alias("accepted"))
 
 
 def keep_identified(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",

@@ -40,12 +40,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stage
+from .common import kept_in_worker, stage
 
 CHUNK_BITS = 8
 RANK_BITS = 512
 SEGMENT_IDS = 1 << 16
-REMEMBERED = 200_000  # words, and cores, in each of the two generations that an encoder remembers
+REMEMBERED_BYTES = 24 << 20  # of words, and of cores, in each of the two generations that an encoder remembers
+_ENTRY_BYTES = 180  # of a remembered word beside its letters and ids
 _MAGIC = b"DAC1"
 _PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -138,10 +139,11 @@ class WordEncoder:
     """Ids of texts through their words, for a lower-casing byte-level tokenizer whose tokens cross
     neither ASCII white space nor the border between letters and ASCII punctuation (other
     than an apostrophe). Remembers words and their cores in two generations each: when the
-    young one is full it becomes the old one, so frequent words stay and memory is bounded.
+    young one holds ``remembered`` bytes it becomes the old one, so frequent words stay and
+    memory is bounded, however long the words are.
     A core of letters goes straight to the library's model, all else through its whole pipeline."""
 
-    def __init__(self, tokenizer_path: str, remembered: int = REMEMBERED):
+    def __init__(self, tokenizer_path: str, remembered: int = REMEMBERED_BYTES):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.normalize, self.model = self.tokenizer.normalizer.normalize_str, self.tokenizer.model.tokenize
@@ -150,6 +152,7 @@ class WordEncoder:
         self.old_words: dict[bytes, bytes] = {}
         self.cores: dict[bytes, bytes] = {}
         self.old_cores: dict[bytes, bytes] = {}
+        self.word_bytes = self.core_bytes = 0
 
     def whole(self, text: bytes | None) -> np.ndarray:
         plain = (text or b"").decode("utf-8", "replace")
@@ -163,10 +166,10 @@ class WordEncoder:
         found = list(map(self.words.get, words))
         if None in found:
             found = [self._word(w) if ids is None else ids for w, ids in zip(words, found, strict=True)]
-            if len(self.words) > self.remembered:
-                self.old_words, self.words = self.words, {}
-            if len(self.cores) > self.remembered:
-                self.old_cores, self.cores = self.cores, {}
+            if self.word_bytes > self.remembered:
+                self.old_words, self.words, self.word_bytes = self.words, {}, 0
+            if self.core_bytes > self.remembered:
+                self.old_cores, self.cores, self.core_bytes = self.cores, {}, 0
         return np.frombuffer(b"".join(found), np.uint32)
 
     def _word(self, word: bytes) -> bytes:
@@ -180,6 +183,7 @@ class WordEncoder:
             else:
                 ids = self._core(word)
         self.words[word] = ids
+        self.word_bytes += len(word) + len(ids) + _ENTRY_BYTES
         return ids
 
     def _plain(self, core: bytes) -> str:
@@ -196,17 +200,16 @@ class WordEncoder:
             else:
                 ids = self.whole(core).tobytes()
         self.cores[core] = ids
+        self.core_bytes += len(core) + len(ids) + _ENTRY_BYTES
         return ids
 
 
 _SPELT = _byte_letters()
-_ENCODERS: dict[str, WordEncoder] = {}  # of this Python worker
 
 
 def encoder(tokenizer_path: str) -> WordEncoder:
-    if tokenizer_path not in _ENCODERS:
-        _ENCODERS[tokenizer_path] = WordEncoder(tokenizer_path)
-    return _ENCODERS[tokenizer_path]
+    """This Python worker's encoder, until another operator uses the worker."""
+    return kept_in_worker(("encoder", tokenizer_path), lambda: WordEncoder(tokenizer_path))
 
 
 # --- files ---------------------------------------------------------------------------------

@@ -111,3 +111,79 @@ def test_empty_tables(spark):
     assert L.identify_pages(pages.limit(0), model).collect() == []
 
 
+
+
+def fused_plainly(model, rows):
+    """The fusion over (text, declared, host) rows, one number at a time."""
+    import math
+    k = len(model.languages)
+    scores = [model.likelihood(t) for t, _, _ in rows]
+    by: dict[tuple, list[float]] = {}
+    for (_, declared, host), (x, n) in zip(rows, scores):
+        odds = [math.exp(v - max(x)) for v in x] if n else [0.0] * k
+        own = by.setdefault((declared, host), [0.0] * k)
+        for i in range(k):
+            own[i] += odds[i] / (sum(odds) or 1)
+
+    def summed(f):
+        out: dict = {}
+        for key, p in by.items():
+            out[f(key)] = [a + b for a, b in zip(out.get(f(key), [0.0] * k), p)]
+        return out
+    label = lambda h, n: None if h is None else ".".join(h.split(".")[-n:])
+    size = [sum(p[i] for p in by.values()) for i in range(k)]
+    world = [(m + 1) / (sum(size) + k) for m in size]
+    said, suffix = summed(lambda d: d[0]), summed(lambda d: label(d[1], 1))
+    domain, hosts = summed(lambda d: label(d[1], 2)), summed(lambda d: d[1])
+    out = []
+    for (_, declared, host), (x, n) in zip(rows, scores):
+        if not n:
+            out.append((L.UND, 0.0))
+            continue
+        d, h, fused = domain[label(host, 2)], hosts[host], []
+        for i in range(k):
+            of_domain = (d[i] + L.SMOOTHING * world[i]) / (sum(d) + L.SMOOTHING)
+            of_host = (h[i] + L.SMOOTHING * of_domain) / (sum(h) + L.SMOOTHING)
+            fused.append(x[i] + math.log((said[declared][i] + 1) / (size[i] + L.SMOOTHING))
+                         + math.log((suffix[label(host, 1)][i] + 1) / (size[i] + L.SMOOTHING)) + math.log(of_host))
+        out.append((model.languages[fused.index(max(fused))], 1 / sum(math.exp(v - max(fused)) for v in fused)))
+    return out
+
+
+def test_posterior_against_brute_force(spark):
+    rng = random.Random(21)
+    rows = [(text(rng, rng.choice(sorted(LETTERS)), rng.randint(1, 6)), rng.choice(["de", "en", None]),
+             rng.choice(["a.one.de", "b.one.de", "two.com", None])) for _ in range(120)] + [(None, None, None), ("12", "en", "two.com")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i long, text string, declared string, host string")
+    model = L.fit_text_model(docs(spark, labelled()))
+    want = fused_plainly(model, rows)
+    for carried in (None, ["i"]):
+        got = {r["row"]["i"]: r for r in L.identify(df, model, F.col("text"), F.col("declared"), F.col("host"), carried).collect()}
+        assert [got[i]["language"] for i in range(len(rows))] == [w[0] for w in want]
+        assert all(abs(got[i]["confidence"] - w[1]) < 2e-6 for i, w in enumerate(want))
+
+
+def test_more_labels_than_classes(spark):
+    rows = labelled(300) + [(1000 + i, "the handing", f"x{i}", "s1", 1) for i in range(300)]
+    df = docs(spark, rows)
+    model = L.fit_text_model(df)
+    assert len(model.languages) <= L.MAX_LANGUAGES + 1 and set(LETTERS) < set(model.languages)
+    assert L.identify(df, model, F.col("text"), F.col("lang"), F.col("source")).count() == 600
+
+
+def test_long_texts_take_constant_memory():
+    import tracemalloc
+
+    import numpy as np
+    model = L.TextModel(["a", "b", "c"], np.ones((L.BUCKETS, 3)))
+    once = "Ab, cd efg ÀÉ  \n zz " * 1000
+    assert np.allclose(model.likelihood(once * 40)[0], model.likelihood(once)[0], atol=1e-2)
+    whole = np.concatenate(list(L.trigram_blocks(once * 40)))
+    cut = np.concatenate(list(L.trigram_blocks(once * 40, 7)))
+    assert (whole == cut).all()
+    long = "the handing " * 1_400_000
+    tracemalloc.start()
+    _, n = model.likelihood(long)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 16_000_000 and peak < 40 << 20
