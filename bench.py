@@ -22,7 +22,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from polikit.operators import kpis, profile, quality, reports  # noqa: E402
-from polikit.operators.clean import funnel_counts, to_bronze, to_silver  # noqa: E402
+from polikit.operators.clean import funnel_of_written, to_bronze, to_silver  # noqa: E402
 from polikit.operators.lifecycle import to_gold  # noqa: E402
 from polikit.operators.star import build_star  # noqa: E402
 from polikit.session import local_session  # noqa: E402
@@ -57,7 +57,7 @@ def run_all(spark, sf_dir: str, out: str, times: dict[str, float] | None) -> Non
             for n in ("dim_vehicle", "dim_insurance_type", "dim_date", "fact_policies")}
 
     queries = {
-        "mon_clean_funnel": lambda: funnel_counts(bronze),
+        "mon_clean_funnel": lambda: funnel_of_written(bronze, silver),
         "kpi_portfolio": lambda: kpis.portfolio_kpis(gold),
         "kpi_vehicle": lambda: kpis.vehicle_kpis(gold),
         "kpi_product": lambda: kpis.product_kpis(gold),

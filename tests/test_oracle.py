@@ -24,11 +24,11 @@ def duck():
 
 
 @pytest.mark.parametrize("key", _keys())
-def test_against_oracle(spark, duck, key):
+def test_against_oracle(built, duck, key):
     import __spark_entry__ as E
     from tools.check_oracle import rows_of
     sf, con = duck
-    df = E.queries()[key](spark, sf)
+    df = built(key, sf)
     srows = [tuple(r) for r in df.collect()]
     orc = E.oracle_sql()
     if key not in orc:

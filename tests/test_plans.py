@@ -22,9 +22,8 @@ def _keys():
 
 
 @pytest.mark.parametrize("key", _keys())
-def test_plan_shape(spark, key):
-    import __spark_entry__ as E
-    df = E.queries()[key](spark, SMOKE)
+def test_plan_shape(spark, built, key):
+    df = built(key)
     plan = plan_of(spark, df)
     for bad in FORBIDDEN:
         assert bad not in plan, f"{key}: {bad} in plan"
