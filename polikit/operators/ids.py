@@ -36,6 +36,7 @@ _LOW33 = (1 << 33) - 1
 
 #: Rows that one range partition is meant to sort, unless the caller gives a count.
 ROWS_PER_PARTITION = 1_000_000
+LEAST_ROWS = 50_000
 
 
 def partitions_for(rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
@@ -77,12 +78,10 @@ def storage_ids(table: DataFrame, id_col: str, start: int = 1, id_type: str = "l
     return _numbered(stage_table(_located(table), "located"), table.columns, id_col, start, id_type)
 
 
-def _day_buckets(rows: DataFrame, days: list[str], last: str, size: int) -> DataFrame:
-    """One row per combination of ``days``: (days, _lo, _width, _p, _from). Rows with at most ``size`` others
+def _day_buckets(rows: DataFrame, per: DataFrame, days: list[str], last: str, size: int) -> DataFrame:
+    """``per``: rows (_n), least and greatest ``last`` by day. One row per combination of ``days``: (days, _lo, _width, _p, _from). Rows with at most ``size`` others
     of their days are one bucket; of crowded days, slices of ``last`` of equal width are. _p and _from
     hold each slice's partition and the number of rows before that partition."""
-    per = stage_table(rows.groupBy(*days).agg(F.count(F.lit(1)).alias("_n"), F.min(last).alias("_lo"), F.max(last).alias("_hi")),
-                      "day-counts")
     slices = F.when(F.col("_lo").isNull(), F.lit(1)).otherwise(F.ceil(F.col("_n") / size)).cast("long")
     # (hi - lo) / slices, rounded down, plus one: no slice lies beyond the last
     per = per.withColumn("_slices", slices).withColumn("_width", F.expr("(_hi - _lo) div _slices + 1"))
@@ -96,7 +95,7 @@ def _day_buckets(rows: DataFrame, days: list[str], last: str, size: int) -> Data
         empty = crowded.select(*days, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slices") - 1)).alias("_slice"),
                                F.lit(0).cast("long").alias("_n"))
         counts = counts.unionByName(sliced.unionByName(empty).groupBy(*days, "_slice").agg(F.sum("_n").alias("_n")))
-    counts = stage_table(counts, "day-buckets")
+        counts = stage_table(counts, "day-buckets")
     up_to = Window.unboundedPreceding, -1
     by_day = counts.groupBy(F.col(days[0]).alias("_day")).agg(F.sum("_n").alias("_all"))
     by_day = by_day.select("_day", F.coalesce(F.sum("_all").over(Window.orderBy(F.asc_nulls_last("_day")).rowsBetween(*up_to)),
@@ -119,7 +118,7 @@ def _slice_of(last: str, slices: Column) -> Column:
 
 
 def counted_ids(df: DataFrame, days: list[str], last: str, id_col: str, counts_from: DataFrame | None = None,
-                rows_per_partition: int = ROWS_PER_PARTITION, start: int = 1, id_type: str = "long") -> DataFrame:
+                rows_per_partition: int | None = None, start: int = 1, id_type: str = "long") -> DataFrame:
     """Dense ids in the order of ``days`` (integers of few different values), then ``last`` (an integer), nulls last.
 
     Rows are counted by day (partial sums, at most a row a combination of days), the counts
@@ -129,9 +128,15 @@ def counted_ids(df: DataFrame, days: list[str], last: str, id_col: str, counts_f
     id is the partition's offset plus its place: one shuffle of the rows, no sampling, no
     staging, and a lost partition is numbered alike when it is made again.
 
-    The order must be total. ``counts_from`` may name a narrower table with the same rows."""
+    The order must be total. ``counts_from`` may name a narrower table with the same rows. By default
+    a small table is dealt over all cores, and a large one by ``ROWS_PER_PARTITION``."""
     narrow = (df if counts_from is None else counts_from).select(*days, F.col(last).cast("long").alias(last))
-    places = _day_buckets(narrow, days, last, rows_per_partition)
+    per = stage_table(narrow.groupBy(*days).agg(F.count(F.lit(1)).alias("_n"), F.min(last).alias("_lo"), F.max(last).alias("_hi")),
+                      "day-counts")
+    if rows_per_partition is None:
+        total = per.agg(F.sum("_n")).first()[0] or 0
+        rows_per_partition = max(LEAST_ROWS, min(ROWS_PER_PARTITION, -(-total // df.sparkSession.sparkContext.defaultParallelism)))
+    places = _day_buckets(narrow, per, days, last, rows_per_partition)
     top = places.agg(F.max(F.array_max("_p"))).first()[0]
     beside = df.join(broadcast_if_small(places), reduce(lambda a, b: a & b, [F.col(d).eqNullSafe(F.col(f"_{d}")) for d in days]))
     slice_ = F.when(F.size("_p") == 1, F.lit(0)).otherwise(_slice_of(last, F.size("_p").cast("long"))).cast("int")

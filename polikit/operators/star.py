@@ -11,7 +11,7 @@ from ..functions import policy as P
 from ..functions.dates import date_key
 from ..rules import DEFAULT_RULES, PolicyRules
 from ..sources.calendar import dim_date as _calendar_dim
-from .ids import ROWS_PER_PARTITION, counted_ids, dense_ids, storage_ids
+from .ids import counted_ids, dense_ids, storage_ids
 from .staging import BROADCAST_ROWS, broadcast_if_small, stage_table
 
 FACT_MEASURE_COLUMNS = [
@@ -138,7 +138,7 @@ def fact_policies(gold: DataFrame, vehicles: DataFrame, types: DataFrame, rules:
     )
     if not ordered_ids:
         return storage_ids(rows, "fact_id")
-    size = ROWS_PER_PARTITION if num_partitions is None else max(1, -(-known.count() // num_partitions))
+    size = None if num_partitions is None else max(1, -(-known.count() // num_partitions))
     return counted_ids(rows, ["insr_begin_id", "insr_end_id"], "object_id", "fact_id", known.select(*keys), size)
 
 
