@@ -56,6 +56,18 @@ def kept_in_worker(key=None, make=None):
     return _KEPT.get(key)
 
 
+#: Bytes of a batch of rows on its way to Python and back; Spark's own bound is eight times that.
+BATCH_BYTES = "8m"
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Send whole texts to Python in smaller batches, unless the session sets their size: a batch is held by
+    the JVM, the pipe and Python at once, for each task of an executor."""
+    if spark.conf.get(_BATCH_CONF, None) == "67108864b":  # the default
+        spark.conf.set(_BATCH_CONF, BATCH_BYTES)
+
+
 def broadcast_if_small(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only for a side counted to be at most ``limit`` rows (``rows``: its
     count if known); a larger one is left to a shuffle join, with the same result."""

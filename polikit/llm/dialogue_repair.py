@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, stage
+from .common import bounded_batches, broadcast_if_small, stage
 
 SEGMENT = 1024  # rows
 SEGMENT_CHARS = 1 << 20  # a segment ends with the row that reaches these
@@ -218,6 +218,7 @@ def segments(rows: DataFrame, size: int = SEGMENT, size_chars: int = SEGMENT_CHA
     conversations; the whole ones with their best plan, the others with their costs between
     states. Staged, so that what follows sees one cut."""
     kinds = dict(rows.dtypes)
+    bounded_batches(rows.sparkSession)
     plain = rows.select("conv_id", "turn", *[F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")], "copies")
     spread = _marked(plain).repartitionByRange("conv_id", "turn", "role", F.substring("text", 1, 128))
     ordered = spread.sortWithinPartitions("conv_id", "turn", "role", "text")

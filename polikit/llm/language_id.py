@@ -34,13 +34,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, kept_in_worker, stage
+from .common import BROADCAST_ROWS, bounded_batches, broadcast_if_small, kept_in_worker, stage
 
 UND = "und"
 BUCKETS = 1 << 15
 EVIDENCE = 200.0
 SAMPLE_ROWS = 8_000
 MAX_LANGUAGES = 200
+PRIOR_BYTES = 32 << 20  # of priors that are broadcast
 SMOOTHING = 20.0  # pseudo-rows that a parent lends to its child
 _LETTERS = bytes(c if chr(c).isalpha() or c >= 128 else 32 for c in range(256))
 
@@ -93,6 +94,7 @@ def fit_text_model(labelled: DataFrame, text_col: str = "text", label_col: str =
                    sample_rows: int = SAMPLE_ROWS) -> TextModel:
     """Trigram counts by language over a hash-chosen sample of the labelled texts."""
     share = 1 << 40
+    bounded_batches(labelled.sparkSession)
     rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label")).dropna()
     rows = rows.filter(F.col("text").rlike(r"[A-Za-z]|[^\x00-\x7F]")).withColumn("key", F.pmod(F.xxhash64("text"), F.lit(share)))
     sizes = rows.select("label", "key").distinct().groupBy("label").agg(
@@ -208,6 +210,7 @@ def identify(df: DataFrame, model: TextModel, text: Column, declared: Column, ho
     only if the evidence is too large to broadcast. With some (``carried``, for tables whose
     texts are not needed again) rows of scores are staged, and no text ever moves."""
     names, k = model.languages, len(model.languages)
+    bounded_batches(df.sparkSession)
     own = F.struct(*[F.col(f"`{c}`") for c in (df.columns if carried is None else carried)])
     scored = df.select(own.alias("row"), declared.alias("declared"), host.alias("host"), _scores(model, text).alias("scores"))
     if carried is not None:
@@ -219,7 +222,8 @@ def identify(df: DataFrame, model: TextModel, text: Column, declared: Column, ho
     sums = stage(sums.withColumn("domain", F.substring_index("host", ".", -2))
                  .withColumn("suffix", F.substring_index("host", ".", -1)), "language-sums")
     prior = stage(_evidence(sums, k), "language-priors")
-    prior = broadcast_if_small(prior.withColumnsRenamed({"declared": "declared_", "host": "host_"}))
+    prior = broadcast_if_small(prior.withColumnsRenamed({"declared": "declared_", "host": "host_"}),
+                               limit=min(BROADCAST_ROWS, PRIOR_BYTES // (8 * k + 100)))
     beside = scored.join(prior, F.col("declared").eqNullSafe(F.col("declared_"))
                          & F.col("host").eqNullSafe(F.col("host_")), "left")
     fused = beside.select("row", F.zip_with("scores", "prior", lambda x, q: x + q).alias("fused"))

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import kept_in_worker, stage
+from .common import bounded_batches, kept_in_worker, stage
 
 INDEX_BYTES = 4 << 20  # of the texts of the items in one index
 CELLS = 1 << 20  # (document, item) scores, or terms' uses in items, that are held at once
@@ -182,6 +182,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = 20, id_col: str = "doc_id
     """The ``k`` best documents of each item: item id, rank, document id, score."""
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
     item_type = dict(items.dtypes)[item_col]
+    bounded_batches(spark)
     out = spark.createDataFrame([], f"{item_col} {item_type}, rank int, {id_col} long, score long")
     for block in _blocks(items, item_col, item_text_col, index_bytes):
         built = Index([text for _, text in block])

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import kept_in_worker
+from .common import bounded_batches, kept_in_worker
 
 BASE = ["email", "ip", "card", "phone"]
 KINDS = ["email", "phone", "address", "id", "name"]  # that the field knows
@@ -504,6 +504,7 @@ def all_spans(field: Field, texts: list[str]) -> list[list[tuple[str, int, int,
 
 def find(df: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, spans: kind, start, end, base) of every row of ``df``."""
+    bounded_batches(df.sparkSession)
     span = "array<struct<kind: string, start: int, end: int, base: boolean>>"
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
 

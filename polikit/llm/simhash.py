@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import broadcast_if_small, stage
+from .common import bounded_batches, broadcast_if_small, stage
 
 SEED = 42
 _BLOCK = 16_384  # shingle hashes whose bits are counted at once
@@ -62,6 +62,7 @@ def simhash(text: bytes | None, shingle: int = 3) -> int:
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(id_col, fp): the signed 64-bit form of each row's fingerprint."""
     source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

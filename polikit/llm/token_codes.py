@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import kept_in_worker, stage
+from .common import bounded_batches, kept_in_worker, stage
 
 CHUNK_BITS = 8
 RANK_BITS = 512
@@ -218,6 +218,7 @@ def write_codes(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text
                 segment_ids: int = SEGMENT_IDS, whole_texts: bool = False) -> DataFrame:
     """Encode, append ``end_id`` to each document, write the files and return the table that
     reads them. ``id_col`` must be an integer."""
+    bounded_batches(df.sparkSession)
     source = (df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
               .withColumn("tie", F.xxhash64("text")))
     ordered = source.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").select("id", "text")
