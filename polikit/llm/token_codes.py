@@ -45,7 +45,7 @@ from .common import bounded_batches, kept_in_worker, stage
 CHUNK_BITS = 8
 RANK_BITS = 512
 SEGMENT_IDS = 1 << 16
-REMEMBERED_BYTES = 24 << 20  # of words, and of cores, in each of the two generations that an encoder remembers
+REMEMBERED_BYTES = 48 << 20  # of words, and of cores, in each of the two generations that an encoder remembers
 _ENTRY_BYTES = 180  # of a remembered word beside its letters and ids
 _MAGIC = b"DAC1"
 _PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
