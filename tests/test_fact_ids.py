@@ -103,3 +103,24 @@ def test_a_crowded_key_is_dealt_over_tasks(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_many_vehicles_meet_the_fact_without_a_shuffle(spark, scratch, monkeypatch):
+    """Beyond the rows that are broadcast whole, keys and values alone are; colliding keys go the verified way."""
+    left, right, want = sides(spark)
+    left = left.filter("obj >= 0")
+
+    def joined():
+        return star.surrogate_join(left, right, ATTRS, "vid", "many", "obj", salt_rows=50, broadcast_rows=0, lookup_rows=100)
+
+    out = joined()
+    assert out.columns == [*left.columns, "vid"]
+    got = [(r["obj"], r["vid"]) for r in out.collect()]
+    assert len(got) == len(want) and dict(got) == want
+    left.write.parquet(f"{scratch}/left")
+    left = spark.read.parquet(f"{scratch}/left")
+    plan = joined()._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan and plan.count("Join") == 1
+    monkeypatch.setattr(star, "surrogate", lambda attrs: F.lit(1).cast("long"))
+    got = [(r["obj"], r["vid"]) for r in joined().collect()]
+    assert len(got) == len(want) and dict(got) == want
