@@ -160,3 +160,31 @@ def test_joins_without_broadcasts_are_sort_merge_joins(spark, scratch):
         assert "NestedLoop" not in _tree(spark, star["fact_policies"])
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_silver_groups_where_the_feed_was_joined(spark, monkeypatch):
+    """Without broadcasts the policy key needs no shuffle behind the feed's joins; a large feed is dealt by its rows."""
+    from polikit.plans import layers as L
+    from polikit.sources import feed
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    want = sorted(map(str, L.silver(spark, SMOKE).collect()))
+    try:
+        for k, v in zip(before, ("-1", "false"), strict=True):
+            spark.conf.set(k, v)
+        monkeypatch.setattr(feed, "LEAST_ROWS", 0)
+        monkeypatch.setattr(feed, "ROWS_PER_PARTITION", 50)
+        df = L.silver(spark, SMOKE)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(") == 6 and "l_orderkey" in plan  # two a join, none for the key
+        n = -(-spark.read.parquet(f"{SMOKE}/lineitem.parquet").count() // 50)
+        assert df.rdd.getNumPartitions() == n and sorted(map(str, df.collect())) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("key", ["dq_silver", "dq_summary"])
+def test_suites_read_written_layers(built, key):
+    """The joins of the feed are not made again for each pass of a suite."""
+    plan = built(key)._jdf.queryExecution().analyzed().toString()
+    assert "l_orderkey" not in plan and "o_orderkey" not in plan
