@@ -99,7 +99,8 @@ def dq_bronze(spark, sf):
 
 @register("dq_silver", O.with_ctes("silver", union(silver_items_sql())))
 def dq_silver(spark, sf):
-    return Q.dq_silver(L.silver(spark, sf))
+    """Silver is written once: the counts and the duplicate check read it, not the joins and the grouping twice."""
+    return Q.dq_silver(stage_table(L.silver(spark, sf), "silver"))
 
 
 @register("dq_gold", O.with_ctes("gold", union(gold_items_sql())))
