@@ -207,6 +207,91 @@ def test_article_after_siblings_like_it():
                 assert H.extract(p, made) == H.extract(f"<article>{b}</article>", None)
 
 
+def wrappers_of(spark, rows):
+    import json
+    df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], PAGES).repartition(5)
+    return {r["host"]: json.loads(r["wrapper"]) for r in H.wrappers(df).collect()}
+
+
+def test_all_pages_vote_for_the_wrapper(spark):
+    """The pages with the smallest hashes have another layout than the other three quarters of their host."""
+    from pyspark.sql import functions as F
+    rng = random.Random(31)
+    odd = [f'<html><body><div class="old"><h1>{para(rng, 3)}</h1><p>{para(rng, 60)}</p></div></body></html>' for _ in range(400)]
+    new = [f'<html><body><p>On every page</p><div class="new"><h1>{para(rng, 3)}</h1><p>{para(rng, 60)}</p></div></body></html>' for _ in range(200)]
+    made = spark.createDataFrame([(h,) for h in odd + new], "html string").withColumn("key", F.xxhash64("html")).collect()
+    key = {r["html"]: r["key"] for r in made}
+    first = sorted(odd, key=key.get)[:8]
+    rest = [h for h in new if key[h] > key[first[-1]]][:40]
+    assert len(rest) == 40
+    found = wrappers_of(spark, [("http://a.example.com/", h) for h in first + rest])["a.example.com"]
+    assert found["path"] == ["html", "body", "div new"]
+
+
+def test_constants_are_of_whole_pages_and_all_of_them(spark):
+    """Constant texts amid long pages, and long ones, are found; one that a page in ten lacks, or that three in ten have, is told apart."""
+    rng = random.Random(32)
+    legal = "Every word is given without any warranty. " * 8
+
+    def made(i):
+        body = [f"<p>{para(rng, 5)}</p>" for _ in range(200)]
+        return ("<html><body>" + "".join(body[:100]) + f"<h3>{legal}</h3>" + ("<h4>Nine of ten</h4>" if i % 10 else "")
+                + ("<h5>Three of ten</h5>" if i % 10 < 3 else "") + "".join(body[100:]) + "</body></html>")
+    rows = [("http://long.example.com/", made(i)) for i in range(40)] + [("http://two.example.com/", made(1)), ("http://two.example.com/", made(2))]
+    found = wrappers_of(spark, rows)
+    mark = H._mark(H.Node("#", "", legal))
+    assert len(mark) < len(legal) and set(found["two.example.com"]["constant"]) == {mark, "Nine of ten", "Three of ten"}
+    assert set(found["long.example.com"]["constant"]) in ({mark, "Nine of ten"}, {mark})  # the anchor may be a page that lacks it
+    top = H.parse(f"<body><div>{legal}</div><section>{para(rng, 20)}</section></body>")
+    assert H.container(top, {"path": ["nowhere"], "constant": [mark]}).tag == "section"
+
+
+def test_few_pages_are_induced_alike_in_one_place(spark):
+    """All of up to eight pages in the table, and their skeletons in one place, give one wrapper."""
+    rng = random.Random(33)
+    rows = []
+    for n in range(2, 9):
+        rows += [(f"http://h{n}.example.com/{i}", p) for i, p in enumerate(boxed(rng, n)[1])]
+    found = wrappers_of(spark, rows)
+    for n in range(2, 9):
+        own = H.induce([H.skeleton(p) for u, p in rows if f"/h{n}." in u])
+        assert (found[f"h{n}.example.com"]["path"], found[f"h{n}.example.com"]["constant"]) == (own["path"], own["constant"])
+
+
+def test_long_lists_are_matched_alike(monkeypatch):
+    """By rows of numpy as by plain tables, and a list of thousands in little memory."""
+    import tracemalloc
+    rng = random.Random(34)
+
+    def tree(depth, most):
+        node = H.Node(rng.choice("ab") if depth < 3 else "r")
+        if depth:
+            node.children = [tree(depth - 1, 3) for _ in range(rng.randint(0, most))]
+        return node
+    for _ in range(60):
+        a, b = tree(3, 12), tree(3, 12)
+        plain = [(id(x), id(y)) for x, y in H.tree_match(a, b)]
+        with monkeypatch.context() as m:
+            m.setattr(H, "CELLS", 0)
+            assert plain == [(id(x), id(y)) for x, y in H.tree_match(a, b)]
+        assert len(plain) == slow_match(a, b)
+    texts = [[H.Node(rng.choice(("p", "h2", "ul", "ol"))) for _ in range(3000)] for _ in range(2)]
+    a, b = H.Node("r"), H.Node("r")
+    a.children, b.children = texts
+    tracemalloc.start()
+    pairs = H.tree_match(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(pairs) > 1500 and peak < 16 << 20
+
+
+def test_outlines_are_whole():
+    html = "<div>" * 20_000 + "x" + "</div>" * 20_000 + "".join(f"<p>{i}</p>" for i in range(5000))
+    made, plain = H._outlined(H.outline(html)), H.parse(html)
+    assert H.placed_blocks(made) == H.placed_blocks(plain) and len(H._texts(made)) == 5001
+    assert len(H.repeated(made, plain)) == 5001
+
+
 def test_whole_table(spark):
     rng = random.Random(4)
     rows, want = [], {}
