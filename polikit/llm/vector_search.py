@@ -3,7 +3,7 @@
 Vectors are cut in two halves, each quantised by its own k-means codebook (``CENTROIDS``
 each, fitted on at most ``SAMPLE`` vectors chosen by hash). A pair of centroids is a
 cell; a vector lies in the cell of its two nearest ones. A query walks the cells in
-order of summed distance with a heap (the multi-sequence traversal) until the cells met
+order of summed distance (the multi-sequence order) until the cells met
 hold ``max(LEAST, share * rows)`` entries, and reranks those by exact Euclidean
 distance on the original vectors, in double precision.
 
@@ -11,11 +11,14 @@ distance on the original vectors, in double precision.
 (64 dimensions, the nearest neighbour hardly nearer than the hundredth), need about half of
 the cells for a recall of 0.9; on well clustered vectors a few hundredths do.
 
-Scale: every row is indexed. Entries are packed by cell in shards of about ``SHARD_ROWS``
-(a larger cell, such as that of one very common vector, is split by hash), queries in
-packs of ``QUERY_ROWS``; a pack meets only the shards that hold a cell one of its queries
-visits, and a task reranks a pack against a shard, giving ten rows a query. Only the
-codebooks and the number of entries a cell (at most ``CENTROIDS`` squared) are on the driver.
+Scale: every row is indexed. Entries are written once, by cell, in shards of about ``SHARD_ROWS``
+(a larger cell, such as that of one very common vector, is split by hash). Queries, with the cells they visit, are
+written, too, and taken in blocks of ``QUERY_BLOCK``: a block goes to all tasks, and each reads its part of the
+entries once, keeping the best of each query as it goes, so neither queries nor entries are shuffled for one another and a
+task gives ten rows a query. A chunk of entries meets only the queries that visit one of its cells, by a product in single
+precision whose rounding is bounded; what may be among a query's best by that is measured in doubles, and of equal vectors
+of a batch only those that can be. Only the codebooks, the number of entries a cell (at most ``CENTROIDS`` squared) and one
+block of queries are on the driver.
 
 Codebooks and cells are of vectors moved by the sample's mean and scaled by a power of two, so
 neither an offset common to all vectors nor their magnitude spoils them. What is reranked is
@@ -32,13 +35,14 @@ vector. Ties go to the smaller id. With few rows every cell is visited: the resu
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import stage
 
@@ -47,14 +51,21 @@ SAMPLE = 16_384
 LEAST = 10_000
 SHARE = 0.5
 SHARD_ROWS = 4096
-QUERY_ROWS = 128
+QUERY_BLOCK = 16_384
+CHUNK_ROWS = 512  # entries that meet a block at a time
+CHUNK_QUERIES = 2048
+_SAFE = 1e15  # scaled components up to which sums of squares are taken in single precision
 _LARGE = 1e140  # scaled components beyond are cut to it and always reranked
 _EPS = np.finfo(np.float64).eps
+_EPS32 = float(np.finfo(np.float32).eps)
+_NONE = np.iinfo(np.int64).max
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, v: array<double>) of the rows that take part."""
-    rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
+    """(vec_id, v: array of doubles, or of floats as they are) of the rows that take part."""
+    plain = df.schema[vector_col].dataType == T.ArrayType(T.FloatType())
+    vector = F.col(vector_col) if plain else F.col(vector_col).cast("array<double>")
+    rows = df.select(F.col(id_col).cast("long").alias("vec_id"), vector.alias("v"))
     odd = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     rows = rows.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", odd)
                        & F.exists("v", lambda x: x != 0))
@@ -100,23 +111,13 @@ def _nearest(points: np.ndarray, centroids: np.ndarray) -> np.ndarray:
 
 def visit(a: np.ndarray, b: np.ndarray, counts: np.ndarray, enough: int) -> list[int]:
     """Cells i * len(b) + j in ascending a[i] + b[j], up to that which makes the entries ``enough``."""
-    first, second = np.argsort(a, kind="stable").tolist(), np.argsort(b, kind="stable").tolist()
-    x, y = np.sort(a, kind="stable").tolist(), np.sort(b, kind="stable").tolist()
-    held, cells = 0, []
-    heap = [(x[0] + y[0], 0, 0)]
-    done_to = [0] * len(x)  # of each row of the grid, how many columns have been taken
-    while heap and held < enough:
-        _, i, j = heapq.heappop(heap)
-        cell = first[i] * len(y) + second[j]
-        done_to[i] = j + 1
-        if n := int(counts[cell]):
-            cells.append(cell)
-            held += n
-        if j + 1 < len(y) and (i == 0 or done_to[i - 1] > j + 1):
-            heapq.heappush(heap, (x[i] + y[j + 1], i, j + 1))
-        if i + 1 < len(x) and done_to[i + 1] == j:
-            heapq.heappush(heap, (x[i + 1] + y[j], i + 1, j))
-    return cells
+    first, second = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
+    # of equal sums, as a heap of (sum, rank, rank) gives them
+    order = np.argsort((a[first][:, None] + b[second][None]).ravel(), kind="stable")
+    cells = first[order // len(b)] * len(b) + second[order % len(b)]
+    cells = cells[counts[cells] > 0]
+    held = np.cumsum(counts[cells])
+    return cells[:np.searchsorted(held, enough) + 1].tolist() if enough > 0 else []
 
 
 def _distances(difference: np.ndarray) -> np.ndarray:
@@ -124,8 +125,8 @@ def _distances(difference: np.ndarray) -> np.ndarray:
     are too large or too small, of the scaled components."""
     with np.errstate(over="ignore", under="ignore"):
         square = np.zeros(len(difference))
-        for d in range(difference.shape[1]):
-            square += difference[:, d] ** 2
+        for column in np.ascontiguousarray(difference.T):
+            square += column ** 2
         out = np.sqrt(square)
         top = np.abs(difference).max(axis=1, initial=0.0)
         odd = np.flatnonzero((top > 1e150) | ((top > 0) & (top < 1e-150)))
@@ -136,7 +137,7 @@ def _distances(difference: np.ndarray) -> np.ndarray:
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width).astype(np.float64, copy=False)
 
 
 def _mover(centre: np.ndarray, scale: float):
@@ -148,7 +149,7 @@ def _mover(centre: np.ndarray, scale: float):
 
 
 class Index:
-    """Codebooks, cell counts and the layout of shards (all of bounded size), and the shards."""
+    """Codebooks, cell counts and the layout of shards (all of bounded size), and the entries, by shard and cell."""
 
     def __init__(self, rows: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE, shard_rows: int = SHARD_ROWS):
         widths = rows.groupBy(F.size("v").alias("width")).agg(F.count("*").alias("n"))
@@ -159,8 +160,7 @@ class Index:
             return
         self.other_lengths = rows.filter(F.size("v") != self.width).count()
         rows = rows.filter(F.size("v") == self.width)
-        some = rows.select("v").orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas()["v"]
-        points = np.array(some.tolist(), dtype=np.float64)
+        points = np.array(_smallest(rows, self.rows, sample).tolist(), dtype=np.float64)
         half = max(1, self.width // 2)
         self.centre = (points / len(points)).sum(axis=0)
         spread = np.abs(points / 2 - self.centre / 2).max(initial=0.0) * 2
@@ -179,7 +179,7 @@ class Index:
                     yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cell.astype(np.int32))],
                                                      ["vec_id", "v", "cell"])
 
-        entries = stage(rows.mapInArrow(assign, "vec_id long, v array<double>, cell int"), "cells")
+        entries = rows.mapInArrow(assign, T.StructType([*rows.schema.fields, T.StructField("cell", T.IntegerType())]))
         self.counts = np.zeros(n_cells, np.int64)
         for cell, n in entries.groupBy("cell").agg(F.count("*")).collect():  # at most centroids ** 2
             self.counts[cell] = n
@@ -190,80 +190,193 @@ class Index:
                 shard, held = shard + (held > 0), 0
             first[cell] = shard
             shard, held = (shard + int(parts[cell]), 0) if parts[cell] > 1 else (shard, held + int(self.counts[cell]))
-        self.first, self.parts = first, parts
         places = F.broadcast(rows.sparkSession.createDataFrame(  # a row a cell
             [(c, int(first[c]), int(parts[c])) for c in np.flatnonzero(self.counts).tolist()], "cell int, first long, parts long"))
         shard_of = F.col("first") + F.pmod(F.xxhash64("vec_id", "v"), F.col("parts"))
-        self.shards = entries.join(places, "cell").groupBy(shard_of.alias("shard")).agg(
-            F.collect_list(F.struct("vec_id", "cell", "v")).alias("entries"))  # about shard_rows
+        self.entries = stage(entries.join(places, "cell").withColumn("shard", shard_of).repartition("shard").sortWithinPartitions(
+            "shard", "cell").select("vec_id", "v", "cell"), "entries")
+
+
+def _smallest(rows: DataFrame, n: int, sample: int):
+    """Vectors of the ``sample`` rows with the smallest hash of the id, of ``n``. So that tasks send few rows, those
+    below a bound that about twice as many are below; all, should they not suffice."""
+    key = F.xxhash64("vec_id")
+    first = lambda some: some.orderBy(key, "vec_id").limit(sample).select("v").toPandas()["v"]
+    if n > 4 * sample:
+        some = first(rows.filter(key < -(1 << 63) + (1 << 64) * 2 * sample // n))
+        if len(some) == sample:
+            return some
+    return first(rows)
+
+
+def _distinct(ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
+    """Places of the rows that can be among the k best of a query, whatever its id: of equal vectors the rows of the k + 1
+    smallest ids, at most k of an id."""
+    odd = np.random.default_rng(0).integers(1, 1 << 62, x.shape[1], dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    key = (np.ascontiguousarray(x).view(np.uint64) * odd).sum(axis=1)
+    order = np.lexsort((ids, key))
+    key, own, at = key[order], ids[order], np.arange(len(ids))
+    group = np.concatenate(([True], key[1:] != key[:-1]))
+    if group.all():
+        return at
+    run = group | np.concatenate(([True], own[1:] != own[:-1]))
+    start = np.maximum.accumulate(np.where(group, at, 0))
+    nth_id = np.cumsum(run) - np.cumsum(run)[start]
+    nth = at - np.maximum.accumulate(np.where(run, at, 0))
+    inner = np.flatnonzero(~group)
+    equal = np.ones(len(ids), bool)
+    equal[inner] = (x[order[inner]] == x[order[start[inner]]]).all(axis=1)
+    return np.sort(order[~equal | (nth_id <= k) & (nth < k)])
+
+
+class Best:
+    """The k nearest of a block of queries among the entries met so far."""
+
+    def __init__(self, ids: np.ndarray, q: np.ndarray, seen: np.ndarray, k: int, moved, scale: float):
+        self.ids, self.q, self.seen, self.k, self.moved, self.scale = ids, q, seen, k, moved, scale
+        self.z = moved(q)
+        self.scores, self.found = np.full((len(q), k), np.inf), np.full((len(q), k), _NONE)
+        self.n = np.zeros(len(q), np.int64)
+        self.edge = np.full(len(q), np.inf)  # of moved vectors, squared: none farther can be among the best
+        self.safe = np.abs(self.z).max(axis=1, initial=0.0) <= _SAFE
+        z = np.where(self.safe[:, None], self.z, 0.0)
+        self.slack = 4 * (q.shape[1] + 8) * _EPS32
+        self.half = (1 - self.slack) * (z ** 2).sum(axis=1) / 2
+        self.single = np.concatenate([z, np.full((len(z), 1), -1.0)], axis=1).astype(np.float32)
+
+    def visits(self, queries: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        return (self.seen[queries, cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 != 0
+
+    def meet(self, ids: np.ndarray, cell: np.ndarray, x: np.ndarray) -> None:
+        """Entries, those of a cell together."""
+        keep = _distinct(ids, x, self.k)
+        ids, cell, x = ids[keep], cell[keep], x[keep]
+        for at in range(0, len(ids), CHUNK_ROWS):
+            part = slice(at, at + CHUNK_ROWS)
+            self._chunk(ids[part], cell[part], x[part])
+
+    def _chunk(self, ids: np.ndarray, cell: np.ndarray, x: np.ndarray) -> None:
+        cells = np.unique(cell)
+        z = self.moved(x)
+        row_safe = np.abs(z).max(initial=0.0) <= _SAFE
+        half = (1 - self.slack) * (z ** 2).sum(axis=1, keepdims=True) / 2 if row_safe else None
+        single = np.concatenate([z, half], axis=1).astype(np.float32).T if row_safe else None
+        every = np.arange(len(self.ids))
+        active = np.flatnonzero(self.visits(every[:, None], cells[None]).any(axis=1))
+        fast = active[self.safe[active] & (self.n[active] == self.k)] if row_safe else active[:0]
+        met = [self._single(fast[i:i + CHUNK_QUERIES], single, z) for i in range(0, len(fast), CHUNK_QUERIES)]
+        slow = np.setdiff1d(active, fast, assume_unique=True)
+        met += [self._double(slow[i:i + CHUNK_ROWS], ids, cell, z) for i in range(0, len(slow), CHUNK_ROWS)]
+        if not met:
+            return
+        rows, cols = np.concatenate([m[0] for m in met]), np.concatenate([m[1] for m in met])
+        good = self.visits(rows, cell[cols]) & (self.ids[rows] != ids[cols])
+        rows, cols = rows[good], cols[good]
+        score = np.empty(len(rows))
+        with np.errstate(over="ignore"):
+            for at in range(0, len(rows), 4096):
+                part = slice(at, at + 4096)
+                score[part] = _distances(self.q[rows[part]] - x[cols[part]])
+        good = score <= self.scores[rows, -1]
+        self._merge(rows[good], ids[cols[good]], score[good])
+
+    def _single(self, queries: np.ndarray, single: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs that may be among the best, by products in single precision; where these tell little, in double."""
+        least = self.half[queries] - (self.edge[queries] + 1e-25) / 2
+        least = np.nextafter(np.maximum(least, -3e38).astype(np.float32), np.float32(-np.inf))
+        rows, cols = np.nonzero(self.single[queries] @ single >= least[:, None])
+        if len(rows) > 0.1 * len(queries) * len(z):
+            rows, cols = np.nonzero(_bounds(self.z[queries], z)[0] <= self.edge[queries, None])
+        return queries[rows], cols
+
+    def _double(self, queries: np.ndarray, ids: np.ndarray, cell: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same in double precision, with an edge from the entries themselves."""
+        least, most = _bounds(self.z[queries], z)
+        away = ~self.visits(queries[:, None], cell[None]) | (self.ids[queries][:, None] == ids[None])
+        least[away] = most[away] = np.inf
+        at = min(self.k, len(ids)) - 1
+        edge = np.partition(most, at, axis=1)[:, at] if len(ids) >= self.k else np.inf
+        edge = np.minimum(edge, self.edge[queries])
+        rows, cols = np.nonzero((least <= edge[:, None]) & ~away)
+        return queries[rows], cols
+
+    def _merge(self, rows: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
+        if not len(rows):
+            return
+        who, place = np.unique(rows, return_inverse=True)
+        old, nth = np.nonzero(np.arange(self.k)[None] < self.n[who, None])
+        place = np.concatenate([place, old])
+        ids = np.concatenate([ids, self.found[who[old], nth]])
+        score = np.concatenate([score, self.scores[who[old], nth]])
+        order = np.lexsort((ids, score, place))
+        place, ids, score = place[order], ids[order], score[order]
+        nth = np.arange(len(place)) - np.searchsorted(place, place)
+        top = nth < self.k
+        self.scores[who[place[top]], nth[top]], self.found[who[place[top]], nth[top]] = score[top], ids[top]
+        self.n[who] = np.minimum(np.bincount(place, minlength=len(who)), self.k)
+        with np.errstate(over="ignore", under="ignore"):
+            self.edge[who] = (self.scores[who, -1] * self.scale) ** 2 * (1 + 1e-12) + 1e-300
+
+    def rows(self) -> pa.RecordBatch:
+        rows, nth = np.nonzero(np.arange(self.k)[None] < self.n[:, None])
+        return pa.RecordBatch.from_arrays([pa.array(self.ids[rows]), pa.array(self.found[rows, nth]), pa.array(self.scores[rows, nth])],
+                                          ["query_id", "vec_id", "score"])
 
 
 def search(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding",
            share: float = SHARE, least: int = LEAST, centroids: int = CENTROIDS, sample: int = SAMPLE,
-           shard_rows: int = SHARD_ROWS) -> DataFrame:
+           shard_rows: int = SHARD_ROWS, query_block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): of each row of ``queries`` (columns as ``df``) the k nearest
     found among the rows of ``df`` with another id; score is the Euclidean distance."""
+    spark = df.sparkSession
     index = Index(usable(df, id_col, vector_col), centroids, sample, shard_rows)
     kinds = "query_id long, rank int, vec_id long, score double"
-    asked = usable(queries, id_col, vector_col)
     if not index.rows:
-        return df.sparkSession.createDataFrame([], kinds)
-    width, half, books, moved = index.width, max(1, index.width // 2), index.books, _mover(index.centre, index.scale)
-    counts, first, parts, enough = index.counts, index.first, index.parts, max(least, int(np.ceil(share * index.rows)))
+        return spark.createDataFrame([], kinds)
+    width, half, books, scale, moved = index.width, max(1, index.width // 2), index.books, index.scale, _mover(index.centre, index.scale)
+    counts, enough = index.counts, max(least, int(np.ceil(share * index.rows)))
+    asked = usable(queries, id_col, vector_col)
     asked = asked.filter(F.size("v") == width).groupBy("vec_id").agg(F.min("v").alias("v"))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Packs of queries with the cells they visit, one row for each shard they need."""
-        for batch in batches:
-            for at in range(0, len(batch), QUERY_ROWS):
-                pack = batch.slice(at, QUERY_ROWS)
-                v = _matrix(pack.column(1), width)
-                seen = np.zeros((len(v), len(counts)), bool)
-                z = moved(v)
-                a, b = _gaps(z[:, :half], books[0]), _gaps(z[:, half:], books[1])
-                for i in range(len(v)):
-                    seen[i, visit(a[i], b[i], counts, enough)] = True
-                cells = np.flatnonzero(seen.any(axis=0))
-                needed = sorted({s for c in cells.tolist() for s in range(first[c], first[c] + parts[c])})
-                n = len(needed)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(needed, pa.int64()), pa.array([pack.column(0).to_numpy().tobytes()] * n, pa.binary()),
-                     pa.array([v.tobytes()] * n, pa.binary()), pa.array([np.packbits(seen).tobytes()] * n, pa.binary())],
-                    ["shard", "ids", "vectors", "seen"])
-
-    packs = asked.mapInArrow(walk, "shard long, ids binary, vectors binary, seen binary")
-    met = packs.join(index.shards, "shard").select("ids", "vectors", "seen", "entries")
-
-    def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Queries with the cells they visit, a bit for each."""
         for batch in batches:
-            for r in range(len(batch)):
-                q_ids = np.frombuffer(batch.column(0)[r].as_py(), np.int64)
-                q = np.frombuffer(batch.column(1)[r].as_py(), np.float64).reshape(-1, width)
-                seen = np.unpackbits(np.frombuffer(batch.column(2)[r].as_py(), np.uint8),
-                                     count=len(q) * len(counts)).reshape(len(q), -1).view(bool)
-                e = batch.column(3)[r].values
-                ids, cell = e.field("vec_id").to_numpy(), e.field("cell").to_numpy()
-                x = _matrix(e.field("v"), width)
-                least, most = _bounds(moved(q), moved(x))
-                away = ~seen[:, cell] | (q_ids[:, None] == ids[None])
-                least[away] = most[away] = np.inf
-                at = min(k, len(ids)) - 1
-                edge = np.partition(most, at, axis=1)[:, at]
-                rows, cols = np.nonzero((least <= edge[:, None]) & ~away)
-                with np.errstate(over="ignore"):
-                    score = _distances(q[rows] - x[cols])
-                order = np.lexsort((ids[cols], score, rows))
-                rows, cols, score = rows[order], cols[order], score[order]
-                starts = np.searchsorted(rows, rows)  # the first place of each query
-                top = np.arange(len(rows)) - starts < k
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(q_ids[rows[top]]), pa.array(ids[cols[top]]), pa.array(score[top])],
-                    ["query_id", "vec_id", "score"])
-
-    found = met.mapInArrow(rerank, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score")
+            z = moved(_matrix(batch.column(1), width))
+            a, b = _gaps(z[:, :half], books[0]), _gaps(z[:, half:], books[1])
+            bits = []
+            for i in range(len(z)):
+                seen = np.zeros(len(counts), bool)
+                seen[visit(a[i], b[i], counts, enough)] = True
+                bits.append(np.packbits(seen).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bits, pa.binary())], ["vec_id", "v", "seen"])
+
+    asked = stage(asked.mapInArrow(walk, T.StructType([*asked.schema.fields, T.StructField("seen", T.BinaryType())])), "asked")
+    blocks = -(-asked.count() // query_block)
+
+    def nearest(block: int) -> DataFrame:
+        own = asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block).toArrow().combine_chunks()
+        ids, seen = own.column(0).to_numpy(), [np.frombuffer(bits, np.uint8) for bits in own.column(2).to_pylist()]
+        sent = spark.sparkContext.broadcast((ids, _matrix(own.column(1).combine_chunks(), width), np.array(seen)) if len(ids) else None)
+
+        def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best = None
+            for batch in batches:
+                if len(batch) and sent.value is not None:
+                    best = best or Best(*sent.value, k, moved, scale)
+                    best.meet(batch.column(0).to_numpy(), batch.column(2).to_numpy(), _matrix(batch.column(1), width))
+            if best is not None:
+                yield best.rows()
+
+        found = index.entries.mapInArrow(rerank, "query_id long, vec_id long, score double")
+        order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+        found = stage(found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
+            "query_id", "rank", "vec_id", "score"), "nearest")
+        sent.destroy()
+        return found
+
+    if not blocks:
+        return spark.createDataFrame([], kinds)
+    return reduce(DataFrame.unionAll, [nearest(block) for block in range(blocks)])
 
 
 def search_every(df: DataFrame, every: int, k: int = 10, id_col: str = "vec_id", **options) -> DataFrame:

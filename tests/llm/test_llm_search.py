@@ -135,3 +135,76 @@ def test_recall_of_the_index_itself(spark, hot):
         kth = np.partition(d, 9)[9]
         hits += sum(d[i] <= kth for i in found[q])  # any of equal ones counts
     assert hits / (10 * len(found)) >= 0.9 and len(found) == n // 200
+
+
+def heap_visit(a, b, counts, enough):
+    """The cells by a heap of (sum, rank, rank), one at a time."""
+    first, second = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
+    heap, held, out = [(a[first[0]] + b[second[0]], 0, 0)], 0, []
+    while heap and held < enough:
+        _, i, j = heapq.heappop(heap)
+        cell = int(first[i] * len(b) + second[j])
+        if counts[cell]:
+            out.append(cell)
+            held += counts[cell]
+        if j + 1 < len(b):
+            heapq.heappush(heap, (a[first[i]] + b[second[j + 1]], i, j + 1))
+        if j == 0 and i + 1 < len(a):
+            heapq.heappush(heap, (a[first[i + 1]] + b[second[0]], i + 1, 0))
+    return out
+
+
+def test_traversal_is_that_of_a_heap():
+    rng = np.random.default_rng(4)
+    for n in range(60):
+        a, b = (rng.integers(0, 4, size).astype(float) if n % 2 else rng.random(size) for size in (6, 5))
+        counts = rng.integers(0, 3, 30)
+        for enough in (0, 1, 7, 30, 1000):
+            assert V.visit(a, b, counts, enough) == heap_visit(a, b, counts, enough)
+
+
+@pytest.mark.parametrize("offset,size", [(0.0, 1.0), (1e8, 1.0), (0.0, 1e-30), (0.0, 1e200)])
+def test_few_pairs_are_measured(monkeypatch, offset, size):
+    """Queries meet thousands of entries, a third of them one vector: a few hundredths of the pairs are measured, with the exact best."""
+    rng, k, n = np.random.default_rng(12), 5, 6000
+    x = offset + rng.normal(size=(n, 16)) * size
+    x[::3] = x[0]
+    ids, cell = rng.permutation(n), np.sort(rng.integers(0, 16, n)).astype(np.int32)
+    ids[1::200] = ids[0]  # ids that repeat
+    q_ids, q = ids[:300:3][:90].copy(), x[:270:3] + 0.0
+    q[::2] = x[1:270:6]
+    seen = rng.random((len(q), 16)) < 0.6
+    spread = np.abs(x / 2 - x.mean(axis=0) / 2).max() * 2
+    scale, measured, plain = 2.0 ** -np.ceil(np.log2(spread)), [], V._distances
+    monkeypatch.setattr(V, "_distances", lambda d: measured.append(len(d)) or plain(d))
+    best = V.Best(q_ids, q, np.packbits(seen, axis=1), k, V._mover(x.mean(axis=0), scale), scale)
+    for at in range(0, n, 1000):
+        best.meet(ids[at:at + 1000], cell[at:at + 1000], x[at:at + 1000])
+    got = {}
+    for query, own, score in zip(*[c.to_pylist() for c in best.rows().columns], strict=True):
+        got.setdefault(query, []).append((score, own))
+    for i in range(len(q)):
+        met = np.flatnonzero(seen[i, cell] & (ids != q_ids[i]))
+        want = sorted(zip(plain(q[i] - x[met]).tolist(), ids[met].tolist(), strict=True))[:k]
+        assert want == got[q_ids[i]][:k] or list(q_ids).count(q_ids[i]) > 1
+    assert sum(measured) < (0.1 if size > 1e-30 else 1) * n * len(q)
+
+
+def test_blocks_of_queries_give_what_one_gives(spark):
+    """Queries that come in many blocks; entries are shuffled once, and not with every pack of queries."""
+    rows = rows_of()
+    df = spark.createDataFrame(rows, VEC)
+    got = V.search_every(df, 20, shard_rows=50, query_block=4).collect()
+    assert sorted(map(tuple, got)) == sorted(exact(rows, 20))
+
+
+def test_the_sample_is_that_of_all_rows(spark):
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(i % 900, v) for i, v in enumerate(rng.normal(size=(3000, 3)).tolist())], "vec_id long, v array<double>")
+    from pyspark.sql import functions as F
+    for sample in (40, 700):
+        want = df.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").collect()
+        some = V._smallest(df, 3000, sample)
+        key = df.select(F.xxhash64("vec_id").alias("h"), "v").collect()
+        of = {tuple(r["v"]): r["h"] for r in key}
+        assert sorted(of[tuple(v)] for v in some) == sorted(of[tuple(r["v"])] for r in want)
