@@ -138,14 +138,23 @@ def _totals(df: DataFrame, counts: list[Column], keys=None, dup_name: str = "")
     return totals.select("*", key_duplicates(df, keys).select("duplicate_groups").scalar().alias(dup_name))
 
 
-def run_suite(df: DataFrame, items: list, with_ordinal: bool = False) -> DataFrame:
-    """Findings (check, column, issue, row_count, pct, status) in suite order."""
+def suite_totals(df: DataFrame, items: list) -> DataFrame:
+    """One row: the rows of ``df`` (_total) and those, or the keys, that each item of a suite finds (_c and its place)."""
     checks = [(i, it) for i, it in enumerate(items) if isinstance(it, Check)]
     dups = [(i, it) for i, it in enumerate(items) if isinstance(it, Duplicates)]
     if len(dups) > 1:
         raise ValueError("one duplicate-key check per suite")
     counts = [_count_if(c.violation, f"_c{i}") for i, c in checks]
-    totals = _totals(df, counts, dups[0][1].keys, f"_c{dups[0][0]}") if dups else _totals(df, counts)
+    return _totals(df, counts, dups[0][1].keys, f"_c{dups[0][0]}") if dups else _totals(df, counts)
+
+
+def summed_totals(totals: DataFrame) -> DataFrame:
+    """The totals of a table from those of its parts; the rows of a key are in one part."""
+    return totals.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in totals.columns])
+
+
+def suite_findings(totals: DataFrame, items: list, with_ordinal: bool = False) -> DataFrame:
+    """Findings (check, column, issue, row_count, pct, status) in suite order, from the suite's totals."""
     rows = []
     for i, it in enumerate(items):
         kind, issue = (it.check, it.issue) if isinstance(it, Check) else ("uniqueness", "duplicate keys")
@@ -159,6 +168,11 @@ def run_suite(df: DataFrame, items: list, with_ordinal: bool = False) -> DataFra
     return out if with_ordinal else out.select(*FINDING_COLUMNS)
 
 
+def run_suite(df: DataFrame, items: list, with_ordinal: bool = False) -> DataFrame:
+    """Findings (check, column, issue, row_count, pct, status) in suite order."""
+    return suite_findings(suite_totals(df, items), items, with_ordinal)
+
+
 def bronze_suite(df: DataFrame, rules: PolicyRules = DEFAULT_RULES) -> list:
     fmt = rules.date_format
     return (nulls(df) + [duplicates(*rules.policy_key), positive("PREMIUM"), positive("INSURED_VALUE"),

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from ..operators import profile as PF
 from ..operators import quality as Q
+from ..operators.clean import to_silver
 from ..operators.lifecycle import to_gold
-from ..operators.staging import stage_table
+from ..operators.staging import release_staged, shuffles_dropped, stage_table, staged_mark
 from ..rules import DEFAULT_RULES as R
 from ..schemas import RAW_SCHEMA
 from ..session import ensure_checkpoint_dir
-from ..sources import files
+from ..sources import feed, files
 from ..sources.feed import policy_feed_files
 from . import layers as L
 from . import oracle as O
@@ -147,10 +148,26 @@ SELECT layer, COUNT(*) AS check_count, COUNT(*) FILTER (WHERE status = 'FAIL') A
   UNION ALL SELECT 'silver', status FROM ({union(silver_items_sql())}) s
   UNION ALL SELECT 'gold', status FROM ({union(gold_items_sql())}) g) t GROUP BY layer"""))
 def dq_summary(spark, sf):
-    """Bronze and silver are written once each: their suites, and gold, which follows row by row, read these."""
-    b = stage_table(L.bronze(spark, sf), "bronze")
-    s = stage_table(L.silver(spark, sf), "silver")
-    return Q.summarize({"bronze": Q.dq_bronze(b), "silver": Q.dq_silver(s), "gold": Q.dq_gold(to_gold(s))})
+    """The feed is taken in parts of whole order keys, so what lies on disk at a time is a part's. Of each, bronze is
+    written, silver, which follows from it, too, and gold follows row by row; the suites read these, and their totals add
+    up over the parts: no policy key is in two."""
+    found: dict[str, list] = {"bronze": [], "silver": [], "gold": []}
+    for part in feed.parts(spark, sf):
+        mark = staged_mark()
+        with shuffles_dropped(spark):
+            b = stage_table(L.bronze(spark, sf, part=part), "bronze")
+            s = stage_table(to_silver(b), "silver")
+            g = to_gold(s).select(*Q.GOLD_CHECK_COLUMNS)
+            suites = {"bronze": (b, Q.bronze_suite(b)), "silver": (s, Q.silver_suite(s)), "gold": (g, Q.gold_suite(g))}
+            for layer, (df, items) in suites.items():
+                found[layer].append(Q.suite_totals(df, items).first())  # a row of counters
+        release_staged(spark, mark)
+    return Q.summarize({layer: Q.suite_findings(Q.summed_totals(_frame(spark, found[layer])), items)
+                        for layer, (_, items) in suites.items()})
+
+
+def _frame(spark, counters: list):
+    return spark.createDataFrame(counters, ", ".join(f"`{c}` long" for c in counters[0].__fields__))
 
 
 @register("dq_silver_spec", O.with_ctes("silver", union([
